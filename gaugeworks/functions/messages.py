@@ -35,19 +35,19 @@ def rescue_unread(text: Column, parsed: Column, schema: T.StructType) -> Column:
     is no JSON object is kept whole. ``parsed`` must carry the corrupt-record column; the
     second, generic parse runs only for rows where something is left over.
     """
-    known = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
-    blank = F.map_from_arrays(
-        known, F.array(*[parsed[f.name].isNull() for f in schema.fields]).cast("array<boolean>")
-    )
+    names = [f.name for f in schema.fields]
+    known = F.array(*map(F.lit, names)).cast("array<string>")
+    read = F.array_compact(
+        F.array(*[F.when(parsed[name].isNotNull(), F.lit(name)) for name in names])
+    ).cast("array<string>")
     extra = F.coalesce(F.size(F.array_except(F.json_object_keys(text), known)) > 0, F.lit(True))
     left_over = F.map_filter(
         F.from_json(text, "map<string,string>"),
-        lambda key, value: F.when(F.try_element_at(blank, key).isNull(), True).otherwise(
-            F.try_element_at(blank, key) & value.isNotNull()
-        ),
+        lambda key, value: ~F.array_contains(read, key)
+        & (value.isNotNull() | ~F.array_contains(known, key)),
     )
     whole = F.to_json(F.create_map(F.lit(CORRUPT_COLUMN), text))
-    kept = F.when(F.size(left_over) > 0, F.to_json(left_over)).otherwise(whole)
+    kept = F.coalesce(F.nullif(F.to_json(left_over), F.lit("{}")), whole)
     return F.when(extra | parsed[CORRUPT_COLUMN].isNotNull(), kept)
 
 

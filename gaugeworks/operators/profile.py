@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,14 @@ def column_overview(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*facts).alias("_facts")).select(F.inline("_facts"))
 
 
+def _number(f: T.StructField) -> Column:
+    """The column as a number; text that cannot be one skips the costly failing cast."""
+    number = F.col(f.name).try_cast("double")
+    if isinstance(f.dataType, T.StringType):
+        return F.when(F.col(f.name).rlike(r"(?i)^\s*[-+]?(\d|\.\d|inf|nan)"), number)
+    return number
+
+
 def describe_columns(df: DataFrame) -> DataFrame:
     """``describe`` turned around: one row per column with count, mean, stddev, min and max.
 
@@ -60,13 +68,11 @@ def describe_columns(df: DataFrame) -> DataFrame:
     over the table; min and max are text. Mean and stddev of text that is no number are NULL.
     """
     described = [
-        f
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.NumericType | T.StringType)
+        f for f in df.schema.fields if isinstance(f.dataType, T.NumericType | T.StringType)
     ]
     stats = []
     for f in described:
-        number = F.col(f.name).try_cast("double")
+        number = _number(f)
         stats.append(
             F.struct(
                 F.lit(f.name).alias("column_name"),

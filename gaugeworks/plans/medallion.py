@@ -18,15 +18,16 @@ from gaugeworks.settings import (
     GOLD_ALERTS,
     GOLD_SUMMARY,
     GOLD_WIDE,
+    MAX_BATCH_BYTES,
     PAYLOAD_SCHEMA,
     SILVER_QUARANTINE,
     SILVER_TELEMETRY,
     TARGET_FILE_BYTES,
     DimensionSpec,
 )
-from gaugeworks.sinks.layout import compact, stored_bytes
+from gaugeworks.sinks.layout import compact, files_needed
 from gaugeworks.sinks.tables import Namespace, overwrite, read_batches, read_if_present
-from gaugeworks.sources.files import read_snapshot
+from gaugeworks.sources.files import read_snapshot, stream_lines
 from gaugeworks.sources.schema_store import SchemaStore
 from gaugeworks.streaming.flows import ingest_stream, run_alerts, run_silver
 
@@ -116,7 +117,7 @@ def build_gold_wide(
 ) -> DataFrame:
     """Rebuild the wide table, clustered by date and engine."""
     facts = namespace.silver(SILVER_TELEMETRY)
-    files = max(1, -(-stored_bytes(spark, facts) // target_bytes))
+    files = files_needed(spark, facts, target_bytes)
     dims = [namespace.silver(f"slv_dim_{name}") for name in ("engines", "aircraft", "locations")]
     wide = build_wide_clustered(read_batches(spark, facts), *map(spark.table, dims), files=files)
     target = namespace.gold(GOLD_WIDE)
@@ -149,6 +150,7 @@ def process_telemetry(
     telemetry_time: Column | None = None,
     extra_schema: str | None = None,
     sampling_ratio: float = 1.0,
+    max_bytes: int = MAX_BATCH_BYTES,
     **silver_options,
 ) -> None:
     """New telemetry files to bronze, silver, alerts and gold tables, in that order.
@@ -161,7 +163,8 @@ def process_telemetry(
     schema = store.evolve(source, T.StructType.fromDDL(ddl), sampling_ratio)
     bronze = namespace.bronze(BRONZE_TELEMETRY)
     silver = namespace.silver(SILVER_TELEMETRY)
-    ingest_stream(spark, source, bronze, f"{state}/{BRONZE_TELEMETRY}", schema)
+    lines = stream_lines(spark, source, max_bytes=max_bytes)
+    ingest_stream(lines, bronze, f"{state}/{BRONZE_TELEMETRY}", schema)
     run_silver(
         spark,
         bronze,
@@ -169,6 +172,7 @@ def process_telemetry(
         namespace.silver(SILVER_QUARANTINE),
         f"{state}/{SILVER_TELEMETRY}",
         telemetry_time=telemetry_time,
+        max_bytes=max_bytes,
         **silver_options,
     )
     run_alerts(
@@ -177,6 +181,7 @@ def process_telemetry(
         namespace.silver("slv_dim_thresholds"),
         namespace.gold(GOLD_ALERTS),
         f"{state}/{GOLD_ALERTS}",
+        max_bytes=max_bytes,
     )
     build_gold_wide(spark, namespace)
     build_gold_summary(spark, namespace)

@@ -49,7 +49,7 @@ from gaugeworks.settings import (
     SILVER_TELEMETRY,
     dimension,
 )
-from gaugeworks.sinks.archive import ENGINE, read_archive, write_archive
+from gaugeworks.sinks.archive import archive_batch, read_archive
 from gaugeworks.sinks.layout import cluster_table, compact
 from gaugeworks.sinks.tables import (
     Namespace,
@@ -59,7 +59,7 @@ from gaugeworks.sinks.tables import (
     overwrite,
     read_batches,
 )
-from gaugeworks.sources.files import read_fields, read_snapshot
+from gaugeworks.sources.files import read_fields, read_snapshot, stream_lines
 from gaugeworks.streaming.flows import ingest_stream, run_alerts, run_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,9 +134,8 @@ class _Area:
         source = self.land_telemetry(sf_dir)
         target = self.names.bronze(BRONZE_TELEMETRY)
         schema = T.StructType.fromDDL(TIMED_SCHEMA)
-        ingest_stream(
-            self.spark, source, target, f"{self.path}/state/bronze", schema, max_files=8
-        )
+        lines = stream_lines(self.spark, source, max_files=8)
+        ingest_stream(lines, target, f"{self.path}/state/bronze", schema)
         return target
 
     def drain_silver(self, sf_dir: str) -> tuple[str, str]:
@@ -464,8 +463,8 @@ def _explode_sensor_array(spark, sf_dir):
 
 @query("archive_latest_per_key")
 def _archive_latest_per_key(spark, sf_dir):
-    """Events archived as readings of an engine per hour, twice over, then read back."""
-    path = f"{scratch_dir(spark, 'archive')}/messages"
+    """Events archived as readings of an engine per hour: a batch, its replay, and a resend."""
+    archive = _Area(spark, "archive").names.bronze("raw_messages")
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("offset"),
         F.to_json(
@@ -477,10 +476,11 @@ def _archive_latest_per_key(spark, sf_dir):
             )
         ).alias("value"),
     )
-    write_archive(events, path, files_per_engine=2)
-    write_archive(events, path, files_per_engine=2)
+    for batch in ("first", "first", "second"):
+        archive_batch(events, archive, batch)
     schema = "engine_id double, cycle double, event_id long, reading double"
-    return decode_messages(read_archive(spark, path), schema).drop(ENGINE)
+    latest = read_archive(spark, archive).select("value")
+    return decode_messages(latest, schema)
 
 
 # -- sources and layout -----------------------------------------------------
@@ -558,7 +558,7 @@ def _zorder_layout(spark, sf_dir):
     area = _Area(spark, "cluster")
     target = area.names.gold(GOLD_WIDE)
     overwrite(_wide(spark, sf_dir), target)
-    cluster_table(spark, target, ["telemetry_date", "engine_id"], target_bytes=256 * 1024)
+    cluster_table(spark, target, ["telemetry_date", "engine_id"], target_bytes=4 * 1024 * 1024)
     return spark.table(target)
 
 

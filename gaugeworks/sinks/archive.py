@@ -1,55 +1,73 @@
-"""Archive of raw messages: one JSON object per engine and cycle, the last write wins."""
+"""Archive of raw messages: one message per engine and cycle, the last one sent wins.
+
+Each micro-batch adds its own partition and nothing stored is rewritten, so the cost of a write
+does not grow with the archive, and a stream over the archive sees each file once. Which
+message of a key is the last is settled per batch on writing and over all batches on reading.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.operators.dedupe import latest_per_key
+from gaugeworks.sinks.tables import read_batches, write_batch
 
 ENGINE = "engine"
 CYCLE = "cycle"
+_PLACE = ("partition", "offset")
 
 
-def _id(name: str) -> Column:
-    """An id field of the message as the text it was sent as; NULL and empty read "null"."""
-    text = F.get_json_object(F.col("value").cast("string"), f"$.{name}")
-    return F.coalesce(F.nullif(text, F.lit("")), F.lit("null"))
+def keyed_messages(messages: DataFrame) -> DataFrame:
+    """Messages with the engine and cycle their JSON names, as the text they were sent as."""
+    text = F.col("value").cast("string")
+    partition = F.col("partition") if "partition" in messages.columns else F.lit(0)
+    return messages.select(
+        F.get_json_object(text, "$.engine_id").alias(ENGINE),
+        F.get_json_object(text, "$.cycle").alias(CYCLE),
+        partition.cast("int").alias("partition"),
+        F.col("offset").cast("long").alias("offset"),
+        text.alias("value"),
+    )
 
 
-def latest_messages(messages: DataFrame, order: str | Column = "offset") -> DataFrame:
-    """(engine, cycle, value): the last message text of each engine and cycle."""
-    rank = F.col(order) if isinstance(order, str) else order
-    keyed = messages.select(
-        _id("engine_id").alias(ENGINE),
-        _id("cycle").alias(CYCLE),
-        rank.alias("_order"),
-        F.col("value").cast("string").alias("value"),
-    )
-    return latest_per_key(keyed, [ENGINE, CYCLE], "value", "_order")
+def latest_messages(keyed: DataFrame) -> DataFrame:
+    """The last message of each engine and cycle; messages without both ids are all kept.
+
+    The key of a message decides its topic partition, so offsets order the messages of a key.
+    """
+    has_key = F.col(ENGINE).isNotNull() & F.col(CYCLE).isNotNull()
+    own = F.when(~has_key, F.struct(*_PLACE)).alias("_own")
+    last = F.max(F.struct("offset", "partition", "value")).alias("_last")
+    grouped = keyed.groupBy(ENGINE, CYCLE, own).agg(last)
+    return grouped.select(ENGINE, CYCLE, *[F.col("_last")[n].alias(n) for n in (*_PLACE, "value")])
 
 
-def write_archive(
-    messages: DataFrame, path: str, order: str = "offset", files_per_engine: int = 1
-) -> None:
-    """Put messages into the archive at ``path``, replacing those of the same engine and cycle.
+def archive_batch(messages: DataFrame, table: str, batch: str) -> None:
+    """Store the last message per key of one batch; the same ``batch`` again replaces it.
 
-    Files hold one JSON object per line in a folder per engine. Folders of engines without a
-    new message are not touched. A folder that is touched is rewritten with its older messages,
-    so running the same batch again changes nothing. Raise ``files_per_engine`` where one
-    engine holds a large share: its cycles are then spread over as many tasks.
+    Rows are sorted by engine and cycle inside each file, so that a lookup skips by statistics.
     """
-    fresh = messages.select(
-        F.lit(1).alias("_pass"), F.col(order).cast("long").alias("_at"), "value"
-    )
-    stored = _touched(messages.sparkSession, path, fresh)
-    if stored is not None:
-        fresh = fresh.unionByName(stored)
-    latest = latest_messages(fresh, F.struct("_pass", "_at"))
-    share = F.pmod(F.xxhash64(CYCLE), F.lit(files_per_engine)).alias("_share")
+    latest = latest_messages(keyed_messages(messages))
+    write_batch(latest.sortWithinPartitions(ENGINE, CYCLE), table, batch)
+
+
+def read_archive(spark: SparkSession, table: str, engine: str | None = None) -> DataFrame:
+    """The last message of each key over all batches, of one engine if given."""
+    stored = read_batches(spark, table)
+    if engine is not None:
+        stored = stored.where(F.col(ENGINE) == engine)
+    return latest_messages(stored)
+
+
+def export_archive(archive: DataFrame, path: str, files_per_engine: int = 1) -> None:
+    """Write archived messages as JSON lines in one folder per engine.
+
+    Folders of other engines below ``path`` stay. Raise ``files_per_engine`` where one engine
+    holds a large share: its cycles are then spread over as many tasks.
+    """
+    share = F.pmod(F.xxhash64(CYCLE), F.lit(files_per_engine))
     (
-        latest.select(ENGINE, "value", share)
+        archive.select(ENGINE, "value", share.alias("_share"))
         .repartition(ENGINE, "_share")
         .select(ENGINE, "value")
         .write.mode("overwrite")
@@ -57,23 +75,3 @@ def write_archive(
         .partitionBy(ENGINE)
         .text(path)
     )
-
-
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The archived messages: engine id as text and JSON text."""
-    return spark.read.schema(f"value string, {ENGINE} string").text(path)
-
-
-def _touched(spark: SparkSession, path: str, fresh: DataFrame) -> DataFrame | None:
-    """Stored messages of the engines that have a new one."""
-    try:
-        stored = read_archive(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    engines = fresh.select(_id("engine_id").alias(ENGINE)).distinct()
-    kept = stored.join(engines, ENGINE, "left_semi")
-    return kept.select(
-        F.lit(0).alias("_pass"), F.lit(None).cast("long").alias("_at"), "value"
-    )

@@ -15,17 +15,25 @@ from gaugeworks.sinks.tables import replace_staged
 _ACCURACY = 10_000
 
 
-def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES) -> None:
+def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES) -> bool:
     """Rewrite a table into files of about ``target_bytes`` without a shuffle.
 
     The scan already packs small files into one task up to a size; with that size set to the
-    target and one output file per task, reading and writing back is the compaction.
+    target and one output file per task, reading and writing back is the compaction. Returns
+    False, with nothing rewritten, when the table has no more files than that would give.
     """
+    if len(spark.table(table).inputFiles()) <= files_needed(spark, table, target_bytes):
+        return False
     packing = spark.newSession()
     packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     packing.conf.set("spark.sql.files.openCostInBytes", str(64 * 1024))
     packing.conf.set("spark.sql.files.minPartitionNum", "1")
     replace_staged(packing.table(table), table)
+    return True
+
+
+def files_needed(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    return max(1, -(-stored_bytes(spark, table) // target_bytes))
 
 
 def stored_bytes(spark: SparkSession, table: str) -> int:
@@ -76,5 +84,5 @@ def cluster_table(
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> None:
     """Rewrite ``table`` clustered by ``columns`` in files of about ``target_bytes``."""
-    files = max(1, -(-stored_bytes(spark, table) // target_bytes))
+    files = files_needed(spark, table, target_bytes)
     replace_staged(cluster(spark.table(table), columns, files), table)

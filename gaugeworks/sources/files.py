@@ -8,18 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.functions.messages import parse_json_lines
 from gaugeworks.settings import MAX_BATCH_BYTES, PAYLOAD_COLUMNS
 
 
-def stream_json(
+def stream_lines(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
     max_files: int | None = None,
     max_bytes: int = MAX_BATCH_BYTES,
 ) -> DataFrame:
-    """New JSON files below ``path`` as a stream, with rescue column and file path.
+    """Lines of the files below ``path`` as a stream (value, source_file_path).
 
     The checkpoint of the query that reads it remembers the files already taken.
     """
@@ -28,15 +26,23 @@ def stream_json(
         reader = reader.option("maxFilesPerTrigger", max_files)
     else:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("source_file_path"))
-    return parse_json_lines(lines, schema)
+    return _lines(reader.text(path))
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The same columns as ``stream_json`` from all files at once."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    lines = lines.select("value", F.col("_metadata.file_path").alias("source_file_path"))
-    return parse_json_lines(lines, schema)
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same lines from all files at once."""
+    return _lines(spark.read.option("recursiveFileLookup", "true").text(path))
+
+
+def stream_archive(
+    spark: SparkSession, table: str, max_bytes: int = MAX_BATCH_BYTES
+) -> DataFrame:
+    """Archived messages as a stream of lines, for the same ingestion as files."""
+    return _lines(spark.readStream.option("maxBytesPerTrigger", max_bytes).table(table))
+
+
+def _lines(frame: DataFrame) -> DataFrame:
+    return frame.select("value", F.col("_metadata.file_path").alias("source_file_path"))
 
 
 def read_snapshot(
