@@ -75,14 +75,8 @@ def parse_json_lines(
 
 
 def explode_readings(
-    df: DataFrame, value: str, element: str = "sensor string, reading double"
+    df: DataFrame, value: str, element: str = "struct<sensor:string,reading:double>"
 ) -> DataFrame:
     """One row per element of the JSON array of objects in ``value``."""
     others = [name for name in df.columns if name != value]
-    parsed = F.from_json(F.col(value), f"array<struct<{_struct_fields(element)}>>")
-    return df.select(*others, F.inline(parsed))
-
-
-def _struct_fields(ddl: str) -> str:
-    schema = T.StructType.fromDDL(ddl)
-    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema.fields)
+    return df.select(*others, F.inline(F.from_json(F.col(value), f"array<{element}>")))

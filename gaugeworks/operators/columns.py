@@ -38,7 +38,7 @@ def rename_cast(
     now = F.current_timestamp()
     produced["telemetry_timestamp"] = now if telemetry_time is None else telemetry_time
     produced["silver_processing_timestamp"] = now
-    codes = [source for name, source, _ in mapping if source != name]
+    codes = [source for _, source, _ in mapping if source not in produced]
     return df.withColumns(produced).drop(*codes, RESCUED_COLUMN)
 
 

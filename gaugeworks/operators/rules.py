@@ -57,7 +57,7 @@ def split_evaluated(evaluated: DataFrame, null_policy: str = "drop") -> Split:
     elif null_policy != "drop":
         raise ValueError(f"null_policy must be drop, valid or quarantine, not {null_policy!r}")
     return Split(
-        evaluated.where(valid).drop(FLAG, REASON),
+        evaluated.where(valid).drop(FLAG, REASON, UNREADABLE),
         evaluated.where(quarantined),
         evaluated.where(flag.isNull()),
     )

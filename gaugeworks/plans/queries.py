@@ -458,7 +458,7 @@ def _explode_sensor_array(spark, sf_dir):
         ]
     )
     nested = raw.select("cycle", F.to_json(readings).alias("value"))
-    return explode_readings(nested, "value", "sensor string, reading double")
+    return explode_readings(nested, "value")
 
 
 @query("archive_latest_per_key")

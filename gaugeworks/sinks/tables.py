@@ -147,8 +147,8 @@ def read_if_present(spark: SparkSession, table: str) -> DataFrame | None:
 
 
 def _require_same(given: T.StructType, stored: T.StructType, table: str) -> None:
-    have = {f.name: f.dataType for f in given}
-    want = {f.name: f.dataType for f in stored}
+    have = {f.name: f.dataType.simpleString() for f in given}
+    want = {f.name: f.dataType.simpleString() for f in stored}
     if have != want:
         raise SchemaMismatch(
             f"{table}: unexpected {sorted(set(have) - set(want))}, "
