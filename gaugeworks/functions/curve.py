@@ -1,25 +1,28 @@
-"""Bit interleaving for multi-column clustering."""
+"""Position of a row on a bit-interleaved curve, for multi-column clustering."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bucket_of(column: Column, bounds: Sequence, first: int = 0) -> Column:
-    """Number of ``bounds`` (ascending literals) at or below the value, by binary search.
+def with_bucket(
+    df: DataFrame, bucket: str, column: str, bounds: Sequence, bits: int
+) -> DataFrame:
+    """``df`` plus ``bucket``: how many of 2 ** bits - 1 ascending bounds are at or below the value.
 
-    The bounds become a balanced tree of comparisons, so a value passes log2(n) of them.
-    NULL takes the last bucket.
+    A binary search over an array literal, one projection per step, so that the generated code
+    stays small however many bounds there are. NULL takes bucket 0.
     """
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    return F.when(
-        column < F.lit(bounds[middle]), bucket_of(column, bounds[:middle], first)
-    ).otherwise(bucket_of(column, bounds[middle + 1 :], first + middle + 1))
+    values = F.array(*map(F.lit, bounds))
+    found = df.withColumn(bucket, F.lit(0))
+    for step in (1 << bit for bit in reversed(range(bits))):
+        above = F.get(values, F.col(bucket) + F.lit(step - 1)) <= F.col(column)
+        moved = F.col(bucket) + F.when(above, F.lit(step)).otherwise(F.lit(0))
+        found = found.withColumn(bucket, moved)
+    return found
 
 
 def interleave(buckets: Sequence[Column], bits: int) -> Column:

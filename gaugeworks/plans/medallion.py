@@ -151,12 +151,14 @@ def process_telemetry(
     extra_schema: str | None = None,
     sampling_ratio: float = 1.0,
     max_bytes: int = MAX_BATCH_BYTES,
+    rebuild_gold: bool = True,
     **silver_options,
 ) -> None:
     """New telemetry files to bronze, silver, alerts and gold tables, in that order.
 
     ``state`` is the folder of checkpoints and the schema store. A stage that fails raises and
-    the ones after it do not run.
+    the ones after it do not run. The gold tables are rebuilt in full, since a changed
+    dimension reaches every fact; ``rebuild_gold=False`` leaves that to a rarer run.
     """
     ddl = f"{PAYLOAD_SCHEMA}, {extra_schema}" if extra_schema else PAYLOAD_SCHEMA
     store = SchemaStore(spark, f"{state}/schema")
@@ -183,5 +185,6 @@ def process_telemetry(
         f"{state}/{GOLD_ALERTS}",
         max_bytes=max_bytes,
     )
-    build_gold_wide(spark, namespace)
-    build_gold_summary(spark, namespace)
+    if rebuild_gold:
+        build_gold_wide(spark, namespace)
+        build_gold_summary(spark, namespace)

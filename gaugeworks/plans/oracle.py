@@ -351,6 +351,13 @@ FROM (SELECT l_orderkey, l_linenumber,
         "archive_latest_per_key": "SELECT CAST(user_id AS DOUBLE) AS engine_id, "
         "CAST(hour(ts) AS DOUBLE) AS cycle, max(event_id) AS event_id, "
         "arg_max(value, event_id) AS reading FROM events GROUP BY user_id, hour(ts)",
+        "stream_archive_ingest": "SELECT CAST(user_id AS DOUBLE) AS engine_id, "
+        "CAST(hour(ts) AS DOUBLE) AS cycle, max(event_id) AS event_id, "
+        "arg_max(value, event_id) AS reading, CAST(NULL AS VARCHAR) AS _rescued_data "
+        "FROM events GROUP BY user_id, hour(ts)",
+        "schema_evolution": "SELECT event_id, event_type, CAST(NULL AS DOUBLE) AS value, "
+        "CAST(NULL AS VARCHAR) AS _rescued_data FROM events UNION ALL "
+        "SELECT event_id, CAST(NULL AS VARCHAR), value, CAST(NULL AS VARCHAR) FROM events",
         "whitespace_text_scan": "SELECT "
         + _columns(
             f"CAST({field} AS DOUBLE) AS {name}"

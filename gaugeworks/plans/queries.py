@@ -59,8 +59,14 @@ from gaugeworks.sinks.tables import (
     overwrite,
     read_batches,
 )
-from gaugeworks.sources.files import read_fields, read_snapshot, stream_lines
-from gaugeworks.streaming.flows import ingest_stream, run_alerts, run_silver
+from gaugeworks.sources.files import read_fields, read_snapshot, stream_archive, stream_lines
+from gaugeworks.sources.schema_store import SchemaStore
+from gaugeworks.streaming.flows import (
+    archive_stream,
+    ingest_stream,
+    run_alerts,
+    run_silver,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -465,17 +471,7 @@ def _explode_sensor_array(spark, sf_dir):
 def _archive_latest_per_key(spark, sf_dir):
     """Events archived as readings of an engine per hour: a batch, its replay, and a resend."""
     archive = _Area(spark, "archive").names.bronze("raw_messages")
-    events = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("offset"),
-        F.to_json(
-            F.struct(
-                F.col("user_id").cast("double").alias("engine_id"),
-                F.hour("ts").cast("double").alias("cycle"),
-                "event_id",
-                F.col("value").alias("reading"),
-            )
-        ).alias("value"),
-    )
+    events = _event_messages(table(spark, sf_dir, "events"))
     for batch in ("first", "first", "second"):
         archive_batch(events, archive, batch)
     schema = "engine_id double, cycle double, event_id long, reading double"
@@ -565,6 +561,45 @@ def _zorder_layout(spark, sf_dir):
 # -- streams ----------------------------------------------------------------
 
 
+def _event_messages(events: DataFrame) -> DataFrame:
+    """Events as broker messages: readings of an engine (user) per cycle (hour)."""
+    body = F.struct(
+        F.col("user_id").cast("double").alias("engine_id"),
+        F.hour("ts").cast("double").alias("cycle"),
+        "event_id",
+        F.col("value").alias("reading"),
+    )
+    return events.select(F.col("event_id").alias("offset"), F.to_json(body).alias("value"))
+
+
+@query("stream_archive_ingest")
+def _stream_archive_ingest(spark, sf_dir):
+    """A message stream archived, and the archive streamed on into bronze."""
+    area = _Area(spark, "archived")
+    messages = _event_messages(table(spark, sf_dir, "events"))
+    messages.write.parquet(f"{area.path}/topic")
+    topic = spark.readStream.schema(messages.schema).parquet(f"{area.path}/topic")
+    archive, bronze = area.names.bronze("raw_messages"), area.names.bronze(BRONZE_TELEMETRY)
+    archive_stream(topic, archive, f"{area.path}/state/archive")
+    schema = T.StructType.fromDDL("engine_id double, cycle double, event_id long, reading double")
+    ingest_stream(stream_archive(spark, archive), bronze, f"{area.path}/state/bronze", schema)
+    return spark.table(bronze).drop(*_AUDIT)
+
+
+@query("schema_evolution")
+def _schema_evolution(spark, sf_dir):
+    """Events ingested before and after their messages gain a field."""
+    area = _Area(spark, "evolving")
+    landing, bronze = f"{area.path}/landing", area.names.bronze(BRONZE_TELEMETRY)
+    store = SchemaStore(spark, f"{area.path}/state/schema")
+    events = table(spark, sf_dir, "events")
+    for wave, columns in (("1", ["event_id", "event_type"]), ("2", ["event_id", "value"])):
+        events.select(*columns).write.json(f"{landing}/{wave}")
+        schema = store.evolve(landing)
+        ingest_stream(stream_lines(spark, landing), bronze, f"{area.path}/state/bronze", schema)
+    return spark.table(bronze).drop(*_AUDIT)
+
+
 @query("stream_bronze_ingest")
 def _stream_bronze_ingest(spark, sf_dir):
     area = _Area(spark, "bronze")

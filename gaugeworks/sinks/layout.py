@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.curve import bucket_of, interleave
+from gaugeworks.functions.curve import interleave, with_bucket
 from gaugeworks.settings import TARGET_FILE_BYTES
 from gaugeworks.sinks.tables import replace_staged
 
@@ -52,29 +52,57 @@ def cluster(
     """Order ``df`` along a bit-interleaved curve over numeric, date or time ``columns``.
 
     Rows close in all columns land in the same files, so the min/max statistics of a file let
-    a filter on any of them skip it. One aggregation finds the quantiles, then rows are range
-    partitioned by curve position. Within a position they are spread by input partition, so
-    that a position holding a third of the rows still fills many files.
+    a filter on any of them skip it. Two aggregations that read only ``columns`` find the
+    quantiles and the number of rows per curve position, of which there are at most
+    2 ** (bits * columns). From those each position gets its files, so the rows themselves are
+    read and shuffled once, without a sampling pass. A position that fills several files is
+    spread over them by input partition, which a rerun of a task reproduces.
     """
+    spark = df.sparkSession
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = _placed(df, columns, bits)
+    counts = placed.groupBy("_curve").agg(F.count("*").alias("n")).orderBy("_curve").collect()
+    slots = spark.createDataFrame(
+        file_slots([(row["_curve"], row["n"]) for row in counts], files),
+        "_curve int, _first int, _span int",
+    )
+    # A left join: rows added meanwhile may sit at a position that was not counted.
+    file = F.coalesce(F.col("_first") + F.pmod(F.spark_partition_id(), F.col("_span")), F.lit(0))
+    targeted = placed.join(F.broadcast(slots), "_curve", "left").withColumn("_file", file)
+    return (
+        targeted.repartitionById(files, F.col("_file"))
+        .sortWithinPartitions("_curve", *columns)
+        .select(*df.columns)
+    )
+
+
+def _placed(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+    """``df`` with the curve position of each row."""
     steps = 1 << bits
     shares = [step / steps for step in range(1, steps)]
     found = df.agg(
         *[F.percentile_approx(name, shares, _ACCURACY).alias(name) for name in columns]
     ).first()
-    buckets = {
-        f"_bucket_{place}": bucket_of(F.col(name), sorted(set(found[name] or [])))
-        for place, name in enumerate(columns)
-    }
-    placed = (
-        df.withColumns(buckets)
-        .withColumn("_curve", interleave([F.col(name) for name in buckets], bits))
-        .withColumn("_spread", F.spark_partition_id())
-    )
-    order = ["_curve", "_spread"]
-    ranged = (
-        placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
-    )
-    return ranged.sortWithinPartitions("_curve", *columns).drop("_curve", "_spread", *buckets)
+    # A column without any value does not place rows.
+    used = [name for name in columns if found[name]]
+    placed = df
+    for name in used:
+        placed = with_bucket(placed, f"_bucket_{name}", name, sorted(found[name]), bits)
+    buckets = [f"_bucket_{name}" for name in used]
+    curve = interleave([F.col(name) for name in buckets], bits) if used else F.lit(0)
+    return placed.withColumn("_curve", curve).drop(*buckets)
+
+
+def file_slots(counts: Sequence[tuple[int, int]], files: int) -> list[tuple[int, int, int]]:
+    """(position, first file, number of files) for rows per position in curve order."""
+    total = max(1, sum(n for _, n in counts))
+    slots, before = [], 0
+    for position, n in counts:
+        first = before * files // total
+        last = (before + n - 1) * files // total
+        slots.append((position, first, last - first + 1))
+        before += n
+    return slots
 
 
 def cluster_table(

@@ -92,12 +92,18 @@ def replace_staged(df: DataFrame, table: str, fmt: str = "parquet") -> None:
 
 
 def write_batch(
-    df: DataFrame, table: str, batch: str, merge_schema: bool = False, fmt: str = "parquet"
+    df: DataFrame,
+    table: str,
+    batch: str,
+    merge_schema: bool = False,
+    few_rows: bool = False,
+    fmt: str = "parquet",
 ) -> None:
     """Write the rows of one micro-batch into its own partition.
 
     Writing the same ``batch`` again replaces the partition, so a retry adds nothing. The
-    schema is strict unless ``merge_schema``.
+    schema is strict unless ``merge_schema``. ``few_rows`` is for results much smaller than
+    the batch: they are rebalanced first, else each task of the batch leaves a tiny file.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -109,6 +115,8 @@ def write_batch(
     if not merge_schema:
         _require_same(df.schema, stored, table)
     rows = _aligned(df, stored)
+    if few_rows:
+        rows = rows.hint("rebalance")
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH_COLUMN} = {_quoted(batch)}) "
         "SELECT * FROM {rows}",

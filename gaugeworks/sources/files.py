@@ -16,12 +16,15 @@ def stream_lines(
     path: str,
     max_files: int | None = None,
     max_bytes: int = MAX_BATCH_BYTES,
+    **options: str,
 ) -> DataFrame:
     """Lines of the files below ``path`` as a stream (value, source_file_path).
 
-    The checkpoint of the query that reads it remembers the files already taken.
+    The checkpoint of the query that reads it remembers the files already taken. Where files
+    pile up, pass ``cleanSource="archive"`` and ``sourceArchiveDir`` to move those that are
+    done out of the folder, so that listing it stays cheap.
     """
-    reader = spark.readStream.option("recursiveFileLookup", "true")
+    reader = spark.readStream.option("recursiveFileLookup", "true").options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     else:

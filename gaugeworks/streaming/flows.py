@@ -121,7 +121,7 @@ def routing(
             else:
                 drop_batch(spark, valid_table, name)
             if counts["quarantined"] or (undecided and null_policy == "quarantine"):
-                write_batch(branches.quarantined, quarantine_table, name, merge_schema=True)
+                write_batch(branches.quarantined, quarantine_table, name, True, few_rows=True)
             else:
                 drop_batch(spark, quarantine_table, name)
             on_counts(name, counts)
@@ -174,7 +174,7 @@ def alerting(
     def alert(batch: DataFrame, batch_id: int) -> None:
         limits = batch.sparkSession.table(limits_table)
         alerts = stamp(threshold_alerts(batch, limits, sensors), "alert_generated_at")
-        write_batch(alerts, alerts_table, batch_name(batch, batch_id), merge_schema=True)
+        write_batch(alerts, alerts_table, batch_name(batch, batch_id), True, few_rows=True)
 
     return alert
 

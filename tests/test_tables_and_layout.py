@@ -5,8 +5,8 @@ from conftest import as_list, as_set
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.curve import bucket_of, interleave
-from gaugeworks.sinks.layout import cluster, cluster_table, compact, files_needed
+from gaugeworks.functions.curve import interleave, with_bucket
+from gaugeworks.sinks.layout import cluster, cluster_table, compact, file_slots, files_needed
 from gaugeworks.sinks.tables import (
     SchemaMismatch,
     append_merging,
@@ -107,10 +107,12 @@ def test_compaction_respects_the_target_size(spark, names):
     assert spark.table(table).distinct().count() == 200_000
 
 
-def test_bucket_of_counts_the_bounds_at_or_below(spark):
+def test_buckets_count_the_bounds_at_or_below(spark):
     df = spark.createDataFrame([(v,) for v in (-1, 0, 4, 5, 9, 10, 99, None)], "v int")
-    got = [r[0] for r in df.select(bucket_of(F.col("v"), [0, 5, 10])).collect()]
-    assert got == [0, 1, 1, 2, 2, 3, 3, 3]
+    got = [r["b"] for r in with_bucket(df, "b", "v", [0, 5, 10], 2).collect()]
+    assert got == [0, 1, 1, 2, 2, 3, 3, 0]
+    repeated = [r["b"] for r in with_bucket(df, "b", "v", [0, 5, 5, 5, 5, 5, 10], 3).collect()]
+    assert repeated == [0, 1, 1, 6, 6, 7, 7, 0]
 
 
 def test_interleave_takes_bits_in_turn(spark):
@@ -147,6 +149,12 @@ def test_clustering_spreads_a_hot_position(spark):
     assert len(sizes) == 4 and max(sizes) < 6000
 
 
+def test_file_slots_follow_the_row_counts():
+    assert file_slots([(0, 10), (5, 10)], 2) == [(0, 0, 1), (5, 1, 1)]
+    assert file_slots([(0, 1), (3, 98), (9, 1)], 4) == [(0, 0, 1), (3, 0, 4), (9, 3, 1)]
+    assert file_slots([], 3) == []
+
+
 def test_clustering_an_empty_or_null_column(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a int, b double")
     assert cluster(df, ["a", "b"], files=2).count() == 2
