@@ -64,25 +64,28 @@ def _number(f: T.StructField) -> Column:
 def describe_columns(df: DataFrame) -> DataFrame:
     """``describe`` turned around: one row per column with count, mean, stddev, min and max.
 
-    Covers numeric and text columns, as ``describe`` does. All values are computed in one pass
-    over the table; min and max are text. Mean and stddev of text that is no number are NULL.
+    Covers numeric and text columns, as ``describe`` does; min and max are text. Mean and
+    stddev of text that is no number are NULL. Numbers and text are aggregated apart: each
+    column is still read once, and text does not keep the numbers from hash aggregation.
     """
-    described = [
-        f for f in df.schema.fields if isinstance(f.dataType, T.NumericType | T.StringType)
-    ]
-    stats = []
-    for f in described:
-        number = _number(f)
-        stats.append(
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.count(f.name).alias("count"),
-                F.avg(number).alias("mean"),
-                F.stddev(number).alias("stddev"),
-                F.min(f.name).cast("string").alias("min"),
-                F.max(f.name).cast("string").alias("max"),
-            )
+    numeric = [f for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    text = [f for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    parts = [_described(df, fields) for fields in (numeric, text) if fields]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _described(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    stats = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.count(f.name).alias("count"),
+            F.avg(_number(f)).alias("mean"),
+            F.stddev(_number(f)).alias("stddev"),
+            F.min(f.name).cast("string").alias("min"),
+            F.max(f.name).cast("string").alias("max"),
         )
+        for f in fields
+    ]
     return df.agg(F.array(*stats).alias("_stats")).select(F.inline("_stats"))
 
 

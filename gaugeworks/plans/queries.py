@@ -439,7 +439,9 @@ def _rescued_fields(spark, sf_dir):
         F.col("user_id").cast("string")
     )
     messages = events.select(
-        F.to_json(F.struct("event_id", "event_type", "value", wrong.alias("user_id"))).alias("value")
+        F.to_json(F.struct("event_id", "event_type", "value", wrong.alias("user_id"))).alias(
+            "value"
+        )
     )
     schema = T.StructType.fromDDL("event_id long, event_type string, user_id double")
     quoted = F.regexp_replace("value", r'"user_id":"(\d+)"', '"user_id":$1')

@@ -59,17 +59,15 @@ def read_archive(spark: SparkSession, table: str, engine: str | None = None) ->
     return latest_messages(stored)
 
 
-def export_archive(archive: DataFrame, path: str, files_per_engine: int = 1) -> None:
+def export_archive(archive: DataFrame, path: str) -> None:
     """Write archived messages as JSON lines in one folder per engine.
 
-    Folders of other engines below ``path`` stay. Raise ``files_per_engine`` where one engine
-    holds a large share: its cycles are then spread over as many tasks.
+    Folders of other engines below ``path`` stay. Rows are rebalanced by engine: adaptive
+    execution packs small engines together and splits one that holds a large share.
     """
-    share = F.pmod(F.xxhash64(CYCLE), F.lit(files_per_engine))
     (
-        archive.select(ENGINE, "value", share.alias("_share"))
-        .repartition(ENGINE, "_share")
-        .select(ENGINE, "value")
+        archive.select(ENGINE, "value")
+        .hint("rebalance", ENGINE)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(ENGINE)

@@ -78,12 +78,15 @@ def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
 
 
 def replace_staged(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Replace ``table`` by ``df``, which may read it.
+    """Replace ``table``, which is not partitioned, by ``df``, which may read it.
 
     The rows go to a staging table that then takes the name. A failure before the swap leaves
-    the table as it was; readers can miss it for the moment of the swap.
+    the table as it was; readers can miss it for the moment of the swap. A stream over the
+    table would take all rows for new ones, so this is for tables that no stream reads.
     """
     spark = df.sparkSession
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        raise ValueError(f"{table} is partitioned; its partitions are replaced batch by batch")
     staging = f"{table}__staging"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     df.write.format(fmt).mode("overwrite").saveAsTable(staging)

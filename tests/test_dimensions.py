@@ -100,7 +100,8 @@ def test_first_per_key_keeps_the_smallest_row_whatever_the_order(spark):
 
 
 def test_latest_per_key(spark):
-    df = spark.createDataFrame([(1, 10, "a"), (1, 30, "c"), (1, 20, "b"), (2, 5, "x")], "k int, o int, v string")
+    rows = [(1, 10, "a"), (1, 30, "c"), (1, 20, "b"), (2, 5, "x")]
+    df = spark.createDataFrame(rows, "k int, o int, v string")
     assert as_list(latest_per_key(df, ["k"], "v", "o")) == [(1, "c"), (2, "x")]
 
 

@@ -52,4 +52,5 @@ def test_profile_table(spark):
     assert profile.sample.count() == 2
     assert profile.row_count.first()[0] == 3
     assert as_set(profile.distinct["t"]) == {("x",), (None,), ("10",)}
-    assert {r.summary for r in profile.summary.collect()} == {"count", "mean", "stddev", "min", "max"}
+    stats = {row.summary for row in profile.summary.collect()}
+    assert stats == {"count", "mean", "stddev", "min", "max"}

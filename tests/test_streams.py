@@ -34,7 +34,13 @@ from gaugeworks.sinks.archive import read_archive
 from gaugeworks.sinks.tables import overwrite, read_batches
 from gaugeworks.sources.files import stream_archive, stream_lines
 from gaugeworks.sources.schema_store import SchemaStore, merge_schemas
-from gaugeworks.streaming.flows import archive_stream, ingest_stream, routing, run_alerts, run_silver
+from gaugeworks.streaming.flows import (
+    archive_stream,
+    ingest_stream,
+    routing,
+    run_alerts,
+    run_silver,
+)
 
 PAYLOAD = T.StructType([T.StructField(name, T.DoubleType()) for name in PAYLOAD_COLUMNS])
 
@@ -60,7 +66,12 @@ def landing(tmp_path):
         reading(None, 2.0),
         reading(2.0, 3.0, s3=-60.0),
     )
-    land(folder / "engine_2.0", "cycle_4.0.json", reading(2.0, 4.0, s9=None), reading(3.0, 5.0, s9=-1.0))
+    land(
+        folder / "engine_2.0",
+        "cycle_4.0.json",
+        reading(2.0, 4.0, s9=None),
+        reading(3.0, 5.0, s9=-1.0),
+    )
     return folder
 
 
@@ -162,7 +173,10 @@ def test_alert_stream_equals_the_batch_result_and_rereads_limits(spark, landing,
     ingest(spark, landing, names, tmp_path)
     silver(spark, names, tmp_path)
     run_alerts(spark, valid, limits, alerts, state)
-    assert as_set(spark.table(alerts), "engine_id", "alert_description") == {(1, "Hot"), (9, "Pressed")}
+    assert as_set(spark.table(alerts), "engine_id", "alert_description") == {
+        (1, "Hot"),
+        (9, "Pressed"),
+    }
 
 
 def test_schema_store_grows_by_new_keys_only(spark, tmp_path):
@@ -212,7 +226,8 @@ def test_an_unmapped_column_does_not_reach_the_strict_silver_table(
     ingest(spark, landing, names, tmp_path)
     valid, _ = silver(spark, names, tmp_path)
     land(landing, "new.json", reading(5.0, 6.0, s11=7.5))
-    ingest(spark, landing, names, tmp_path, T.StructType([*PAYLOAD, T.StructField("s11", T.DoubleType())]))
+    wider = T.StructType([*PAYLOAD, T.StructField("s11", T.DoubleType())])
+    ingest(spark, landing, names, tmp_path, wider)
     with pytest.raises(StreamingQueryException, match="s11"):
         silver(spark, names, tmp_path)
     assert spark.table(valid).count() == 1
@@ -244,7 +259,8 @@ def export(folder: Path):
     land(
         folder / "dim_aircraft",
         "a.json",
-        *[{"tail_number": "N1", "airline_owner": "delta", "fleet_status": "Active", "total_flight_hours": 9}] * 2,
+        *[{"tail_number": "N1", "airline_owner": "delta", "fleet_status": "Active",
+           "total_flight_hours": 9}] * 2,
     )
     land(
         folder / "dim_locations",
@@ -272,7 +288,9 @@ def test_a_missing_snapshot_is_skipped_and_the_rest_goes_on(spark, names, tmp_pa
 
 def test_failed_tables_stop_the_run():
     with pytest.raises(RunFailed, match="dim_x: broken"):
-        require_written([TableStatus("dim_y", "written"), TableStatus("dim_x", "failed", message="broken")])
+        require_written(
+            [TableStatus("dim_y", "written"), TableStatus("dim_x", "failed", message="broken")]
+        )
 
 
 def test_all_stages_in_order(spark, landing, names, tmp_path):
@@ -285,8 +303,10 @@ def test_all_stages_in_order(spark, landing, names, tmp_path):
     assert len(wide.columns) == 30
     assert as_list(wide, "engine_id", "airline_owner", "climate") == [(1, "Delta", "unknown")]
     summary = spark.table(names.gold(GOLD_SUMMARY))
-    assert as_list(summary, "airline_owner", "region", "total_sensor_pings") == [("Delta", "Asia", 1)]
-    assert as_list(spark.table(names.gold(GOLD_ALERTS)), "engine_id", "alert_description") == [(1, "Hot")]
+    got = as_list(summary, "airline_owner", "region", "total_sensor_pings")
+    assert got == [("Delta", "Asia", 1)]
+    alerts = spark.table(names.gold(GOLD_ALERTS))
+    assert as_list(alerts, "engine_id", "alert_description") == [(1, "Hot")]
     today = spark.sql("SELECT current_date() AS d").first().d
     assert abs((summary.first().telemetry_date - today).days) <= 1
 

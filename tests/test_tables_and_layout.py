@@ -80,6 +80,20 @@ def test_batches_are_strict_unless_merging(spark, names):
     assert as_list(read_batches(spark, table), "extra") == [("e",), (None,), (None,)]
 
 
+def test_batch_tables_are_not_swapped(spark, names):
+    table = names.silver("t")
+    write_batch(spark.range(20).repartition(5), table, "a")
+    with pytest.raises(ValueError, match="partitioned"):
+        compact(spark, table)
+    assert spark.table(table).count() == 20
+
+
+def test_few_rows_leave_few_files(spark, names):
+    table = names.silver("t")
+    write_batch(spark.range(100, numPartitions=10), table, "a", few_rows=True)
+    assert len(spark.table(table).inputFiles()) == 1
+
+
 def test_tenant_view_quotes_its_value(spark, names):
     table = names.gold("t")
     overwrite(spark.createDataFrame([("O'Hare\\", 1), ("x", 2)], "owner string, v int"), table)
