@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.curve import interleave, with_bucket
 from gaugeworks.settings import TARGET_FILE_BYTES
-from gaugeworks.sinks.tables import replace_staged
+from gaugeworks.sinks.tables import overwrite
 
 # Bounds are quantiles within 1/accuracy of the exact rank; they only place rows.
 _ACCURACY = 10_000
@@ -28,7 +28,7 @@ def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYT
     packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     packing.conf.set("spark.sql.files.openCostInBytes", str(64 * 1024))
     packing.conf.set("spark.sql.files.minPartitionNum", "1")
-    replace_staged(packing.table(table), table)
+    overwrite(packing.table(table), table)
     return True
 
 
@@ -113,4 +113,4 @@ def cluster_table(
 ) -> None:
     """Rewrite ``table`` clustered by ``columns`` in files of about ``target_bytes``."""
     files = files_needed(spark, table, target_bytes)
-    replace_staged(cluster(spark.table(table), columns, files), table)
+    overwrite(cluster(spark.table(table), columns, files), table)

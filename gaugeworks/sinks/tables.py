@@ -73,23 +73,22 @@ def append_merging(df: DataFrame, table: str, fmt: str = "parquet") -> None:
 
 
 def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Replace rows and schema. ``df`` must not read ``table``; see ``replace_staged``."""
-    df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    """Replace rows and schema of ``table``, which is not partitioned; ``df`` may read it.
 
-
-def replace_staged(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Replace ``table``, which is not partitioned, by ``df``, which may read it.
-
-    The rows go to a staging table that then takes the name. A failure before the swap leaves
-    the table as it was; readers can miss it for the moment of the swap. A stream over the
-    table would take all rows for new ones, so this is for tables that no stream reads.
+    An existing table is replaced by way of a staging table that then takes its name: a failure
+    before the swap leaves it as it was, and readers can miss it for the moment of the swap
+    only. A stream over the table would take all rows for new ones, so this is for tables that
+    no stream reads.
     """
     spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.format(fmt).saveAsTable(table)
+        return
     if any(column.isPartition for column in spark.catalog.listColumns(table)):
         raise ValueError(f"{table} is partitioned; its partitions are replaced batch by batch")
     staging = f"{table}__staging"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.format(fmt).mode("overwrite").saveAsTable(staging)
+    df.write.format(fmt).saveAsTable(staging)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 

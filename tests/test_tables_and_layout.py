@@ -15,7 +15,6 @@ from gaugeworks.sinks.tables import (
     drop_batch,
     overwrite,
     read_batches,
-    replace_staged,
     write_batch,
 )
 
@@ -47,10 +46,10 @@ def test_overwrite_replaces_the_schema(spark, names):
     assert as_list(spark.table(table)) == [("a", 1)]
 
 
-def test_staged_replacement_may_read_the_table(spark, names):
+def test_overwrite_may_read_the_table(spark, names):
     table = names.gold("t")
     overwrite(spark.range(5), table)
-    replace_staged(spark.table(table).where("id > 2"), table)
+    overwrite(spark.table(table).where("id > 2"), table)
     assert as_set(spark.table(table)) == {(3,), (4,)}
 
 
