@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from gaugeworks.sinks.tables import overwrite
 
 # Bounds are quantiles within 1/accuracy of the exact rank; they only place rows.
 _ACCURACY = 10_000
+_MAX_CURVE_BITS = 18
 
 
 def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES) -> bool:
@@ -47,25 +50,30 @@ def cluster(
     df: DataFrame,
     columns: Sequence[str],
     files: int | None = None,
-    bits: int = 6,
+    bits: int | None = None,
 ) -> DataFrame:
     """Order ``df`` along a bit-interleaved curve over numeric, date or time ``columns``.
 
     Rows close in all columns land in the same files, so the min/max statistics of a file let
     a filter on any of them skip it. Two aggregations that read only ``columns`` find the
-    quantiles and the number of rows per curve position, of which there are at most
-    2 ** (bits * columns). From those each position gets its files, so the rows themselves are
-    read and shuffled once, without a sampling pass. A position that fills several files is
-    spread over them by input partition, which a rerun of a task reproduces.
+    quantiles and the number of rows per curve position. From those each position gets its
+    files, so the rows themselves are read and shuffled once, without a sampling pass. A
+    position that fills several files is spread over them by input partition, which a rerun of
+    a task reproduces.
+
+    ``bits`` per column set the resolution; without them it follows the number of files. There
+    are at most 2 ** 18 positions, which bounds what the driver sees and what is broadcast.
     """
     spark = df.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bits is None:
+        wanted = min(_MAX_CURVE_BITS, max(6, (files * 8).bit_length()))
+        bits = max(1, wanted // len(columns))
+    if bits * len(columns) > _MAX_CURVE_BITS:
+        raise ValueError(f"at most {_MAX_CURVE_BITS} bits in all columns together")
     placed = _placed(df, columns, bits)
-    counts = placed.groupBy("_curve").agg(F.count("*").alias("n")).orderBy("_curve").collect()
-    slots = spark.createDataFrame(
-        file_slots([(row["_curve"], row["n"]) for row in counts], files),
-        "_curve int, _first int, _span int",
-    )
+    counts = placed.groupBy("_curve").agg(F.count("*").alias("n")).orderBy("_curve").toArrow()
+    slots = spark.createDataFrame(file_slots(counts, files))
     # A left join: rows added meanwhile may sit at a position that was not counted.
     file = F.coalesce(F.col("_first") + F.pmod(F.spark_partition_id(), F.col("_span")), F.lit(0))
     targeted = placed.join(F.broadcast(slots), "_curve", "left").withColumn("_file", file)
@@ -93,16 +101,25 @@ def _placed(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
     return placed.withColumn("_curve", curve).drop(*buckets)
 
 
-def file_slots(counts: Sequence[tuple[int, int]], files: int) -> list[tuple[int, int, int]]:
-    """(position, first file, number of files) for rows per position in curve order."""
-    total = max(1, sum(n for _, n in counts))
-    slots, before = [], 0
-    for position, n in counts:
-        first = before * files // total
-        last = (before + n - 1) * files // total
-        slots.append((position, first, last - first + 1))
-        before += n
-    return slots
+def file_slots(counts: pa.Table, files: int) -> pa.Table:
+    """First file and number of files of each position, for (_curve, n) in curve order.
+
+    A position of no more rows than a file goes whole to the file of its middle row.
+    """
+    rows = counts["n"].to_numpy()
+    total = max(1, int(rows.sum()))
+    after = rows.cumsum()
+    before = after - rows
+    first, last = before * files // total, np.maximum(after - 1, 0) * files // total
+    middle = (before + rows // 2) * files // total
+    fits = rows * files <= total
+    return pa.table(
+        {
+            "_curve": counts["_curve"],
+            "_first": pa.array(np.where(fits, middle, first), pa.int32()),
+            "_span": pa.array(np.where(fits, 1, last - first + 1), pa.int32()),
+        }
+    )
 
 
 def cluster_table(

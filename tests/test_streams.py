@@ -135,6 +135,27 @@ def test_replaying_a_batch_adds_nothing(spark, names, cache):
     assert spark.table(valid).count() == 1 and spark.table(quarantine).count() == 2
 
 
+def test_a_batch_that_failed_after_writing_is_replayed_without_duplicates(
+    spark, landing, names, tmp_path
+):
+    ingest(spark, landing, names, tmp_path)
+
+    def fail(batch, counts):
+        raise RuntimeError("lost the driver here")
+
+    with pytest.raises(StreamingQueryException, match="lost the driver"):
+        silver(spark, names, tmp_path, on_counts=fail)
+    valid, quarantine = silver(spark, names, tmp_path)
+    assert spark.table(valid).count() == 1 and spark.table(quarantine).count() == 3
+
+
+def test_a_fresh_checkpoint_does_not_overwrite_earlier_batches(spark, landing, names, tmp_path):
+    ingest(spark, landing, names, tmp_path)
+    valid, _ = silver(spark, names, tmp_path)
+    silver(spark, names, tmp_path / "again")
+    assert spark.table(valid).count() == 2
+
+
 def test_empty_branches_write_no_table(spark, names):
     rows = spark.createDataFrame(
         [(1, 1.0, 1.0)], "engine_id int, temp_hpc_out double, physical_core_speed double"

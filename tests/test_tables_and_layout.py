@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from conftest import as_list, as_set
 from pyspark.errors import AnalysisException
@@ -162,10 +163,34 @@ def test_clustering_spreads_a_hot_position(spark):
     assert len(sizes) == 4 and max(sizes) < 6000
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "bigint", "double"])
+def test_clustering_by_each_ordered_type(spark, kind):
+    moment = F.timestamp_seconds(F.col("id") * 100_000)
+    value = moment.cast(kind) if "stamp" in kind or kind == "date" else F.col("id").cast(kind)
+    df = spark.range(1000).select(value.alias("v"), (F.col("id") % 10).alias("w"))
+    placed = cluster(df, ["v"], files=4).withColumn("p", F.spark_partition_id())
+    ranges = placed.groupBy("p").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    edges = [(row.low, row.high) for row in ranges.orderBy("low").collect()]
+    assert len(edges) == 4 and placed.count() == 1000
+    assert all(edges[n][1] <= edges[n + 1][0] for n in range(3))
+
+
+def slots(counts, files):
+    rows = pa.array([n for _, n in counts], pa.int64())
+    table = pa.table({"_curve": pa.array([c for c, _ in counts], pa.int32()), "n": rows})
+    return [tuple(row.values()) for row in file_slots(table, files).to_pylist()]
+
+
 def test_file_slots_follow_the_row_counts():
-    assert file_slots([(0, 10), (5, 10)], 2) == [(0, 0, 1), (5, 1, 1)]
-    assert file_slots([(0, 1), (3, 98), (9, 1)], 4) == [(0, 0, 1), (3, 0, 4), (9, 3, 1)]
-    assert file_slots([], 3) == []
+    assert slots([(0, 10), (5, 10)], 2) == [(0, 0, 1), (5, 1, 1)]
+    assert slots([(0, 1), (3, 98), (9, 1)], 4) == [(0, 0, 1), (3, 0, 4), (9, 3, 1)]
+    assert slots([(0, 4), (1, 4), (2, 4)], 2) == [(0, 0, 1), (1, 1, 1), (2, 1, 1)]
+    assert slots([], 3) == []
+
+
+def test_the_resolution_is_bounded(spark):
+    with pytest.raises(ValueError, match="18 bits"):
+        cluster(spark.range(1), ["id"], files=1, bits=19)
 
 
 def test_clustering_an_empty_or_null_column(spark):
