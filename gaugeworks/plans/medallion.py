@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
 from pyspark.errors import AnalysisException, PySparkException
@@ -58,6 +59,12 @@ def require_written(statuses: Sequence[TableStatus]) -> None:
         raise RunFailed("; ".join(failed))
 
 
+def _each(items: Sequence, work: Callable[..., TableStatus]) -> list[TableStatus]:
+    """``work`` on all items at once: small independent jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
+        return list(pool.map(work, items))
+
+
 def ingest_dimensions(
     spark: SparkSession,
     source: str,
@@ -70,19 +77,19 @@ def ingest_dimensions(
     A snapshot that cannot be read is skipped, a table that cannot be written is reported;
     the others go on.
     """
-    statuses = []
-    for name in names:
+
+    def ingest(name: str) -> TableStatus:
         try:
             snapshot = read_snapshot(spark, f"{source}/{name}", fmt)
         except AnalysisException as error:
-            statuses.append(TableStatus(name, "skipped", message=error.getCondition()))
-            continue
+            return TableStatus(name, "skipped", message=error.getCondition())
         try:
             overwrite(stamp(snapshot, "ingestion_timestamp"), namespace.bronze(f"brz_{name}"))
-            statuses.append(TableStatus(name, "written"))
         except PySparkException as error:
-            statuses.append(TableStatus(name, "failed", message=str(error)))
-    return statuses
+            return TableStatus(name, "failed", message=str(error))
+        return TableStatus(name, "written")
+
+    return _each(names, ingest)
 
 
 def clean_dimensions(
@@ -94,22 +101,22 @@ def clean_dimensions(
 
     Both counts are taken from stored tables, where they need no column.
     """
-    statuses = []
-    for spec in specs:
+
+    def clean(spec: DimensionSpec) -> TableStatus:
         raw = read_if_present(spark, namespace.bronze(f"brz_{spec.name}"))
         if raw is None:
-            statuses.append(TableStatus(spec.name, "skipped", message="bronze table missing"))
-            continue
-        cleaned = stamp(clean_dimension(raw, spec), "silver_processing_timestamp")
+            return TableStatus(spec.name, "skipped", message="bronze table missing")
         target = namespace.silver(f"slv_{spec.name}")
         try:
-            overwrite(cleaned, target)
+            cleaned = clean_dimension(raw, spec)
+            overwrite(stamp(cleaned, "silver_processing_timestamp"), target)
             compact(spark, target)
             read, kept = raw.count(), spark.table(target).count()
-            statuses.append(TableStatus(spec.name, "written", read, read - kept))
         except PySparkException as error:
-            statuses.append(TableStatus(spec.name, "failed", message=str(error)))
-    return statuses
+            return TableStatus(spec.name, "failed", message=str(error))
+        return TableStatus(spec.name, "written", read, read - kept)
+
+    return _each(specs, clean)
 
 
 def build_gold_wide(

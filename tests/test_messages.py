@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from conftest import as_list, as_set
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +15,7 @@ from gaugeworks.functions.messages import (
     parse_json_lines,
 )
 from gaugeworks.sinks.archive import archive_batch, export_archive, read_archive
+from gaugeworks.sources.broker import stream_messages
 from gaugeworks.sources.files import read_fields, read_lines, read_snapshot
 
 SCHEMA = (
@@ -93,6 +96,11 @@ def test_snapshots_in_three_formats(spark, tmp_path):
         assert as_set(got, "k", "n") == {("k1", 1), ("k2", None)}
 
 
+def test_the_broker_source_needs_its_package(spark):
+    with pytest.raises(AnalysisException, match="kafka"):
+        stream_messages(spark, "host:9092", "readings", max_offsets=10)
+
+
 def messages(spark, *rows):
     return spark.createDataFrame(
         [(partition, offset, text.encode()) for partition, offset, text in rows],

@@ -307,6 +307,20 @@ def test_a_missing_snapshot_is_skipped_and_the_rest_goes_on(spark, names, tmp_pa
     assert cleaned["dim_parts_bom"].status == "skipped"
 
 
+def test_a_snapshot_with_bad_data_fails_alone(spark, names, tmp_path):
+    export(tmp_path / "erp")
+    land(
+        tmp_path / "erp" / "dim_parts_bom",
+        "p.json",
+        {"part_id": "P", "engine_id": 1, "component_name": "c", "supplier_name": "s",
+         "last_replaced_date": "02.01.2024"},
+    )
+    require_written(ingest_dimensions(spark, str(tmp_path / "erp"), names))
+    cleaned = {s.dimension: s.status for s in clean_dimensions(spark, names)}
+    assert cleaned.pop("dim_parts_bom") == "failed"
+    assert set(cleaned.values()) == {"written"}
+
+
 def test_failed_tables_stop_the_run():
     with pytest.raises(RunFailed, match="dim_x: broken"):
         require_written(
