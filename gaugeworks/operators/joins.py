@@ -41,7 +41,7 @@ def salted_join(
     salt = "_salt"
     spread = large.withColumn(salt, F.spark_partition_id() % F.lit(salts))
     repeated = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [*keys, salt], how).drop(salt)
+    return spread.join(repeated.hint("merge"), [*keys, salt], how).drop(salt)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -61,7 +61,8 @@ def join_reference(
     The reference side is measured, unless ``broadcast`` carries an earlier answer. Within
     ``max_broadcast_bytes`` it is broadcast and ``large`` is not shuffled. Beyond, it is a
     shuffle join: adaptive execution splits the skewed partitions, and where that is off the
-    keys are salted.
+    keys are salted. The shuffle is asked for by a hint, as Spark's own estimate of the size
+    may be lower than what was measured.
     """
     keys = list(keys)
     if broadcast is None:
@@ -71,5 +72,5 @@ def join_reference(
     conf = large.sparkSession.conf
     adaptive = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
     if all(conf.get(name, "false") == "true" for name in adaptive):
-        return large.join(small, keys, how)
+        return large.join(small.hint("merge"), keys, how)
     return salted_join(large, small, keys, how)

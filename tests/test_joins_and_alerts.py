@@ -49,6 +49,11 @@ def test_the_measured_size_decides_the_broadcast(spark, skewed, reference):
     assert 40 * 12 <= size <= 40 * 100
     assert fits_broadcast(reference, size) and not fits_broadcast(reference, size - 1)
     assert "BroadcastHashJoin" in plan(join_reference(skewed, reference, ["k"]))
+    for joined in (
+        join_reference(skewed, reference, ["k"], max_broadcast_bytes=size - 1),
+        salted_join(skewed, reference, ["k"], "left"),
+    ):
+        assert "SortMergeJoin" in plan(joined) and "BroadcastHashJoin" not in plan(joined)
     assert measured_bytes(reference.where("false")) == 0
     texts = spark.createDataFrame([("x" * 1000,), (None,)], "t string")
     assert measured_bytes(texts) >= 1000
