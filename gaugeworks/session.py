@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,13 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="gaugeworks-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    """The temporary folder of one local application; the setting itself cannot be changed later."""
+    return tempfile.mkdtemp(prefix=f"gaugeworks-{application}-")
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
