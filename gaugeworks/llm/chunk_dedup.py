@@ -11,7 +11,7 @@ A chunk alone can be alike by chance, a run of ``min_run`` bytes is not. Of a re
 about one neighbourhood and one chunk stay at either end.
 
 Edge cases: NULL stays NULL, empty text empty; text without cuts (one byte repeated) is cut every
-``longest`` bytes; documents without an id are ordered by a hash of their text; rows with the same id are
+``longest`` bytes; documents without an id follow those that have one, ordered by a hash of their text; rows with the same id are
 parts of one document: what they share stays; repeated rows give repeated results; other columns
 are kept.
 """
@@ -36,6 +36,8 @@ WINDOW = 16
 LONGEST = 512
 # Repeated runs of fewer bytes stay.
 MIN_RUN = 96
+# Stand-ins of missing ids begin here.
+_NAMELESS = 1 << 62
 # How far a cut may move to start at a word.
 _TO_WORD = 32
 
@@ -75,6 +77,8 @@ def chunk_block(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]
     The texts lie in one buffer with filling between them, which no hash and no neighbourhood
     reaches across, so a text's chunks do not depend on its company.
     """
+    if not texts:
+        return [], []
     buffer = _FILLING + b"".join(text + _FILLING for text in texts)
     sizes = np.array([len(text) for text in texts], np.int64)
     begins = np.cumsum([len(_FILLING), *(sizes[:-1] + len(_FILLING))])
@@ -223,7 +227,9 @@ def deduplicate_chunks(
     Adds the removed spans (bytes of the old text), the chunks, those repeated (counted whether or
     not their run is long enough), and the ids of the documents that have them first.
     """
-    key = F.coalesce(F.col(id_column).cast("long"), text_key(text_column))
+    # A document without an id comes after all others; a hash of its text stands for it.
+    nameless = F.shiftrightunsigned(text_key(text_column), 2) + F.lit(_NAMELESS)
+    key = F.coalesce(F.col(id_column).cast("long"), nameless)
     digests = F.arrow_udf(_digests, "array<long>", F.ArrowUDFType.SCALAR_ITER)
     chunks = written(
         documents.select(key.alias("owner"), F.col(text_column).alias("text"))
@@ -262,7 +268,10 @@ def deduplicate_chunks(
                 spans_column: F.col(f"{OWN}cut")["spans"],
                 chunks_column: F.col(f"{OWN}cut")["chunks"],
                 repeated_column: F.col(f"{OWN}cut")["repeated"],
-                holders_column: F.coalesce(f"{OWN}holders", F.array().cast("array<long>")),
+                holders_column: F.coalesce(
+                    F.filter(f"{OWN}holders", lambda holder: holder < _NAMELESS),
+                    F.array().cast("array<long>"),
+                ),
             }
         )
         .drop(f"{OWN}key", f"{OWN}digests", f"{OWN}holders", f"{OWN}cut")

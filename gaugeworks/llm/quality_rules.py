@@ -167,11 +167,12 @@ def keep_good(documents: DataFrame, rules: list[Rule], text_column: str = "text"
     """The documents that pass, with the columns they came with."""
     # The row mark keeps the optimizer from moving the filter, and with it copies of the
     # statistics, below the projections that compute them once.
+    packed = documents.select(F.struct(*documents.columns).alias(f"{OWN}row"), F.col(text_column))
     return (
-        with_statistics(documents, text_column)
+        with_statistics(packed, text_column)
         .withColumn(f"{OWN}mark", F.monotonically_increasing_id())
         .filter(kept(rules) & (F.col(f"{OWN}mark") >= 0))
-        .select(*documents.columns)
+        .select(f"{OWN}row.*")
     )
 
 

@@ -1,0 +1,196 @@
+"""The parts of the corpus operators that are plain Python, against brute force."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from gaugeworks.llm import chunk_dedup, decontaminate, jaccard, language, token_counts
+from gaugeworks.llm.bpe import Codec, read_vocabulary
+from gaugeworks.llm.common import WordHashes
+from gaugeworks.llm.queries import VOCABULARY
+from gaugeworks.llm.url_rules import rule_regex, rule_tokens
+
+LETTERS = st.text("ab cé\n.'1 \u00a0\u3000ß漢😀", max_size=60)
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return Codec(read_vocabulary(VOCABULARY))
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+def ids(codec, text):
+    return np.frombuffer(codec.encode([text])[0], np.int32).tolist()
+
+
+SPECIALS = [
+    "",
+    " ",
+    "<|endoftext|>",
+    "a<|endoftext|><|endoftext|> b",
+    "don't we'll I'M it's  x   y\n\n z\t",
+    "a" * 5000,
+    "ab" * 3000 + " " * 700 + "!" * 900,
+    "naïve café ½ ² Ⅷ ١٢٣ \u1c89 \x1c\x1d\x85\u200b",
+    "".join(map(chr, range(1, 0x250))),
+]
+
+
+@pytest.mark.parametrize("text", SPECIALS)
+def test_bpe_equals_the_library_on_odd_texts(codec, tokenizer, text):
+    got = ids(codec, text)
+    assert got == tokenizer.encode(text, add_special_tokens=False).ids
+    assert codec.decode(got) == tokenizer.decode(got, skip_special_tokens=False) == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(text=st.one_of(st.text(max_size=80), LETTERS))
+def test_bpe_equals_the_library(codec, tokenizer, text):
+    got = ids(codec, text)
+    assert got == tokenizer.encode(text, add_special_tokens=False).ids
+    assert codec.decode(got) == text
+
+
+def test_bpe_on_random_letter_runs(codec, tokenizer):
+    dice = random.Random(5)
+    for _ in range(300):
+        text = "".join(dice.choice("etaoinshrdluETAON -'") for _ in range(dice.randint(1, 60)))
+        assert ids(codec, text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_bpe_speculation_fails_sometimes_and_is_then_merged(codec):
+    words = ["".join(random.Random(k).choices("etaoinshr", k=9)) for k in range(400)]
+    wrong = [w for w in words if codec.propose(w.encode()) != codec.merge(w.encode())]
+    assert 0 < len(wrong) < len(words)
+    assert all(ids(codec, w) == codec.merge(w.encode()) for w in words)
+
+
+def test_decoding_broken_utf8_and_unknown_ids(codec, tokenizer):
+    for some in ([447], [447, 220, 447], [50256, 172]):
+        assert codec.decode(some) == tokenizer.decode(some, skip_special_tokens=False)
+    with pytest.raises(KeyError):
+        codec.decode([10**6])
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    pieces=st.sets(st.text("abc", min_size=1, max_size=5), max_size=12), word=st.text("abc", max_size=25)
+)
+def test_automaton_counts_greedy_pieces(pieces, word):
+    vocabulary = {p.encode() for p in pieces}
+    place = count = 0
+    data = word.encode()
+    while place < len(data):
+        size = next((n for n in range(len(data) - place, 0, -1) if data[place : place + n] in vocabulary), 0)
+        if not size:
+            count = 1
+            break
+        place, count = place + size, count + 1
+    assert token_counts.count_pieces(data, token_counts.build_automaton(vocabulary)) == count
+
+
+@settings(max_examples=100, deadline=None)
+@given(texts=st.lists(st.text("ab cé漢\n", max_size=400), max_size=6))
+def test_chunks_cover_texts_and_do_not_depend_on_company(texts):
+    data = [t.encode() for t in texts]
+    ends, digests = chunk_dedup.chunk_block(data)
+    for text, own_ends, own in zip(data, ends, digests, strict=True):
+        alone, alone_digests = chunk_dedup.chunk_block([text])
+        assert own_ends.tolist() == alone[0].tolist() and own.tolist() == alone_digests[0].tolist()
+        assert sorted(set(own_ends.tolist())) == own_ends.tolist()
+        assert (own_ends[-1] if len(own_ends) else 0) == len(text)
+        start = 0
+        for end in own_ends.tolist():
+            text[start:end].decode()  # no character is cut
+            start = end
+
+
+def prose(seed, words):
+    dice = random.Random(seed)
+    syllables = "the and tion er re in on at ed nd ha en of or es is it ti".split()
+    return " ".join("".join(dice.choices(syllables, k=dice.randint(1, 4))) for _ in range(words))
+
+
+def test_passages_of_51_words_are_found_wherever_they_stand():
+    missed = 0
+    for k in range(300):
+        passage = prose(k, 51)
+        texts = [f"{prose(1000 + k, 40 + k % 9)} {passage} {prose(2000 + k, 33)}", passage]
+        (ends, _), (mine, other) = chunk_dedup.chunk_block([t.encode() for t in texts])
+        spans, _ = chunk_dedup.cut_repeats(ends.tolist(), mine.tolist(), set(other.tolist()), 96)
+        missed += not spans
+    assert missed == 0
+
+
+def test_one_byte_repeated_is_cut_at_the_longest():
+    ends, digests = chunk_dedup.chunk_block([b"x" * 1300])
+    assert max(np.diff(ends[0], prepend=0)) <= chunk_dedup.LONGEST
+    assert len(set(digests[0].tolist())) < len(digests[0])
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    words=st.lists(st.sampled_from("abc"), max_size=40),
+    items=st.lists(st.lists(st.sampled_from("abc"), max_size=14), max_size=4),
+)
+def test_hits_are_all_occurrences_and_winnowing_meets_them(words, items):
+    document = [w.encode() for w in words]
+    wanted = [[w.encode() for w in item] for item in items]
+    places, real = decontaminate.find_hits(document, wanted, 10)
+    hit, occurring = set(), set()
+    for number, item in enumerate(wanted):
+        size = min(10, len(item))
+        for a in range(len(item) - size + 1 if size else 0):
+            for b in range(len(document) - size + 1):
+                if item[a : a + size] == document[b : b + size]:
+                    hit |= set(range(b, b + size))
+                    occurring.add(number)
+    assert places.tolist() == sorted(hit) and real == sorted(occurring)
+    hashes = WordHashes()
+    mine = set(decontaminate.kept_hashes(hashes.of(document), 10, 4).tolist())
+    for number in occurring:
+        if len(wanted[number]) >= 10:
+            assert mine & set(decontaminate.kept_hashes(hashes.of(wanted[number]), 10, 4).tolist())
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    left=st.sets(st.integers(0, 2**63), max_size=60), right=st.sets(st.integers(0, 2**63), max_size=60)
+)
+def test_bitmaps_bound_the_difference(left, right):
+    maps = [jaccard.bitmap(np.array(sorted(s), np.uint64)) for s in (left, right)]
+    differ = sum(int(x).bit_count() for x in (maps[0] ^ maps[1]).view(np.uint64))
+    assert differ <= len(left ^ right)
+
+
+def test_shingles_of_short_texts():
+    hashes = WordHashes()
+    assert len(jaccard.shingle_set(b" \n", 5, hashes)) == 0
+    assert len(jaccard.shingle_set(b"One two", 5, hashes)) == 1
+    assert jaccard.shingle_set(b"ONE  two", 5, hashes) == jaccard.shingle_set(b"one two\n", 5, hashes)
+    assert len(jaccard.shingle_set(b"a a a a a a a", 5, hashes)) == 1
+    assert jaccard.shingle_set(b"a b", 5, hashes) != jaccard.shingle_set(b"a", 5, hashes)
+
+
+def test_rules_are_filed_under_whole_tokens_only():
+    assert rule_tokens("www.Example.com/en/") == ["com", "en", "example", "www"]
+    assert rule_tokens("example.com/adv") == ["com", "example"]
+    assert rule_tokens("a.com/x*tail/") == ["a", "com"]
+    assert rule_tokens("net") == ["net"]
+    assert rule_regex("net/es/").endswith("net/es/")
+
+
+def test_language_scores_stay_between_0_and_1():
+    nothing = {"languages": [], "masks": np.zeros((1, 8), np.uint64), "wrong": np.zeros(0)}
+    assert language.score_text("abc", nothing) == ("und", 0.0)
+    assert language.gram_codes("").size == 0
