@@ -2,27 +2,48 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def with_bucket(
-    df: DataFrame, bucket: str, column: str, bounds: Sequence, bits: int
+def as_number(kind: T.DataType, name: str) -> Column:
+    """A numeric, date or time column as a double that keeps its order."""
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.col(name).cast("timestamp").cast("double")
+    return F.col(name).cast("double")
+
+
+def with_position(
+    df: DataFrame, place: str, number: Column, bounds: Sequence[float], bits: int
 ) -> DataFrame:
-    """``df`` plus ``bucket``: how many of 2 ** bits - 1 ascending bounds are at or below the value.
+    """``df`` plus ``place``: the number's share of the way through the bounds, in 2 ** bits steps.
 
-    A binary search over an array literal, one projection per step, so that the generated code
-    stays small however many bounds there are. NULL takes bucket 0.
+    Between two ascending bounds the way is linear, so equal counts of rows take equal steps as
+    far as the bounds tell. A binary search over one array literal, one projection per step, keeps
+    the generated code small. NULL and numbers below the bounds take 0.
     """
-    values = F.array(*map(F.lit, bounds))
-    found = df.withColumn(bucket, F.lit(0))
-    for step in (1 << bit for bit in reversed(range(bits))):
-        above = F.get(values, F.col(bucket) + F.lit(step - 1)) <= F.col(column)
-        moved = F.col(bucket) + F.when(above, F.lit(step)).otherwise(F.lit(0))
-        found = found.withColumn(bucket, moved)
-    return found
+    # One literal instead of one per bound.
+    values = F.from_json(F.lit(json.dumps([float(bound) for bound in bounds])), "array<double>")
+    found = df.withColumn(place, F.lit(0)).withColumn(f"{place}_n", number)
+    for step in (1 << bit for bit in reversed(range(len(bounds).bit_length()))):
+        above = F.get(values, F.col(place) + F.lit(step - 1)) <= F.col(f"{place}_n")
+        moved = F.col(place) + F.when(above, F.lit(step)).otherwise(F.lit(0))
+        found = found.withColumn(place, moved)
+    low = F.get(values, F.col(place) - 1)
+    high = F.get(values, F.col(place))
+    within = F.coalesce(
+        F.try_divide(F.col(f"{place}_n") - low, high - low), F.lit(0.0)
+    )
+    share = (F.greatest(F.col(place) - 1, F.lit(0)) + within) / F.lit(float(len(bounds)))
+    top = (1 << bits) - 1
+    position = F.least(F.floor(share * F.lit(float(1 << bits))), F.lit(top)).cast("long")
+    return found.withColumn(place, F.coalesce(position, F.lit(0).cast("long"))).drop(f"{place}_n")
 
 
 def interleave(buckets: Sequence[Column], bits: int) -> Column:

@@ -21,11 +21,37 @@ def encode_keyed(df: DataFrame, key: str, columns: list[str] | None = None) -> D
     )
 
 
-def decode_messages(df: DataFrame, schema: T.StructType | str, value: str = "value") -> DataFrame:
-    """Replace the JSON text (or bytes) in ``value`` by the columns of ``schema``."""
+def decode_messages(
+    df: DataFrame,
+    schema: T.StructType | str,
+    value: str = "value",
+    rescued: str | None = None,
+) -> DataFrame:
+    """Replace the JSON text (or bytes) in ``value`` by the columns of ``schema``.
+
+    With ``rescued``, a column of that name takes what the schema cannot hold of a message:
+    unknown keys, values of another type, and text that is no JSON object, whole. No row is lost;
+    a NULL or blank message has NULL everywhere.
+    """
     others = [name for name in df.columns if name != value]
-    read = df.select(*others, F.from_json(F.col(value).cast("string"), schema).alias("_body"))
-    return read.select(*others, "_body.*")
+    text = F.col(value).cast("string")
+    if rescued is None:
+        read = df.select(*others, F.from_json(text, schema).alias("_body"))
+        return read.select(*others, "_body.*")
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    read = df.select(*others, text.alias("_text")).withColumn("_body", _with_corrupt("_text", kind))
+    return read.select(
+        *others,
+        *[F.col("_body")[f.name].alias(f.name) for f in kind.fields],
+        F.when(F.length(F.trim("_text")) > 0, rescue_unread(F.col("_text"), F.col("_body"), kind))
+        .alias(rescued),
+    )
+
+
+def _with_corrupt(text: str, schema: T.StructType) -> Column:
+    """The text read by ``schema`` plus the corrupt-record column."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    return F.from_json(F.col(text), full, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
 
 
 def rescue_unread(text: Column, parsed: Column, schema: T.StructType) -> Column:
@@ -61,11 +87,9 @@ def parse_json_lines(
 
     Blank rows are skipped, other columns of ``lines`` are passed on.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
     others = [name for name in lines.columns if name != value]
     read = lines.where(F.length(F.trim(F.col(value))) > 0).withColumn(
-        "_body",
-        F.from_json(F.col(value), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT_COLUMN}),
+        "_body", _with_corrupt(value, schema)
     )
     return read.select(
         *[F.col("_body")[f.name].alias(f.name) for f in schema.fields],
@@ -75,8 +99,40 @@ def parse_json_lines(
 
 
 def explode_readings(
-    df: DataFrame, value: str, element: str = "struct<sensor:string,reading:double>"
+    df: DataFrame,
+    value: str,
+    element: str = "struct<sensor:string,reading:double>",
+    rescued: str = RESCUED_COLUMN,
 ) -> DataFrame:
-    """One row per element of the JSON array of objects in ``value``."""
+    """One row per element of the JSON array of objects in ``value``.
+
+    An array that is empty, NULL or unreadable gives one row of NULLs; unreadable text, and
+    elements with a part that the type cannot hold, are kept whole in the rescue column.
+    """
     others = [name for name in df.columns if name != value]
-    return df.select(*others, F.inline(F.from_json(F.col(value), f"array<{element}>")))
+    items = F.from_json(F.col(value), f"array<{element}>")
+    raw = F.from_json(F.col(value), "array<string>")
+    read = df.select(*others, F.col(value).alias("_text"), items.alias("_items"), raw.alias("_raw"))
+    whole = F.when(F.col("_items").isNull() | F.col("_raw").isNull(), F.col("_text"))
+    numbered = read.select(
+        *others, whole.alias("_whole"), "_raw", F.posexplode_outer("_items").alias("_place", "_item")
+    )
+    piece = F.get("_raw", F.col("_place"))
+    fields = [f.name for f in T.StructType.fromDDL(element.removeprefix("struct<")[:-1]).fields]
+    keys = F.json_object_keys(piece)
+    known = F.array(*map(F.lit, fields))
+    lost = [
+        F.col("_item")[name].isNull() & F.get_json_object(piece, f"$.{name}").isNotNull()
+        for name in fields
+    ]
+    broken = keys.isNull() | (F.size(F.array_except(keys, known)) > 0)
+    for part in lost:
+        broken = broken | part
+    return numbered.select(
+        *others,
+        "_item.*",
+        F.when(F.col("_place").isNull(), F.col("_whole"))
+        .when(broken, piece)
+        .otherwise(F.lit(None).cast("string"))
+        .alias(rescued),
+    )

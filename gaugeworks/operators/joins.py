@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.settings import JOIN_SALTS, MAX_BROADCAST_BYTES
+from gaugeworks.settings import JOIN_TASK_ROWS, MAX_BROADCAST_BYTES
 
 _FIELD_OVERHEAD = 16
 _PLAIN_TYPES = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -29,19 +29,49 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def salted_join(
-    large: DataFrame, small: DataFrame, keys: Sequence[str], how: str, salts: int = JOIN_SALTS
+    large: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    task_rows: int = JOIN_TASK_ROWS,
 ) -> DataFrame:
-    """Shuffle join in which every key of ``large`` is spread over ``salts`` tasks.
+    """Shuffle join in which a key of more than ``task_rows`` rows is spread over several tasks.
 
-    Rows of ``large`` take the salt of the input partition they are in, which a rerun of the
-    task reproduces and which also separates exact copies; ``small`` is repeated per salt.
+    An aggregate finds the hot keys; there are at most rows / ``task_rows`` of them. Only their
+    rows take a salt, from a hash of the row and its place in the input (which a scan reproduces),
+    so exact copies are spread as well; only their rows of ``small`` are repeated, once per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"cannot salt a {how} join")
-    salt = "_salt"
-    spread = large.withColumn(salt, F.spark_partition_id() % F.lit(salts))
-    repeated = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated.hint("merge"), [*keys, salt], how).drop(salt)
+    salt, salts = "_salt", "_salts"
+    hot = (
+        large.groupBy(*keys)
+        .agg(F.count("*").alias(salts))
+        .where(F.col(salts) > task_rows)
+        .select(
+            *[F.col(key).alias(f"_hot_{key}") for key in keys],
+            F.ceil(F.col(salts) / task_rows).cast("int").alias(salts),
+        )
+    )
+
+    def marked(side: DataFrame) -> DataFrame:
+        same = F.lit(True)
+        for key in keys:
+            same = same & F.col(key).eqNullSafe(F.col(f"_hot_{key}"))
+        found = side.join(F.broadcast(hot), same, "left")
+        return found.withColumn(salts, F.coalesce(salts, F.lit(1))).drop(
+            *[f"_hot_{key}" for key in keys]
+        )
+
+    place = F.xxhash64(*large.columns).bitwiseXOR(F.monotonically_increasing_id())
+    spread = marked(large.withColumn("_row", place)).withColumn(
+        salt, F.pmod(F.col("_row"), F.col(salts)).cast("int")
+    )
+    repeated = marked(small).withColumn(
+        salt, F.explode(F.sequence(F.lit(0), F.col(salts) - 1))
+    )
+    joined = spread.drop(salts, "_row").join(repeated.drop(salts).hint("merge"), [*keys, salt], how)
+    return joined.drop(salt)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:

@@ -71,6 +71,9 @@ def describe_columns(df: DataFrame) -> DataFrame:
     numeric = [f for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     text = [f for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     parts = [_described(df, fields) for fields in (numeric, text) if fields]
+    if not parts:
+        shape = "column_name string, count long, mean double, stddev double, min string, max string"
+        return df.sparkSession.createDataFrame([], shape)
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.joins import fits_broadcast, join_reference
@@ -72,10 +72,20 @@ def build_wide_clustered(
     return cluster(joined, CLUSTER_COLUMNS, files)
 
 
+def exact_mean(column: str) -> Column:
+    """The mean as a decimal, from values at six decimal places.
+
+    Sums of decimals do not depend on the order of the rows, so a rerun of a task or another
+    partitioning gives the same figure to the last digit.
+    """
+    value = F.col(column).cast("decimal(18,6)")
+    return F.try_divide(F.sum(value), F.count(value).cast("decimal(18,0)"))
+
+
 def fleet_daily_summary(wide: DataFrame) -> DataFrame:
     """Pings, mean compressor temperature and top core speed per day, owner and region."""
     known = wide.where(F.col("airline_owner").isNotNull() & F.col("region").isNotNull())
-    mean_temp = F.round(F.avg("temp_hpc_out"), 2)
+    mean_temp = F.round(exact_mean("temp_hpc_out"), 2).cast("double")
     top_speed = F.round(F.max("physical_core_speed"), 2)
     return known.groupBy("telemetry_date", "airline_owner", "region").agg(
         F.count("engine_id").alias("total_sensor_pings"),

@@ -47,21 +47,21 @@ SELECT CASE WHEN l_orderkey % 211 = 0 THEN NULL ELSE CAST(l_suppkey AS DOUBLE) E
 FROM {lineitem}""",
     "raw_dim_engines": f"""
 SELECT CAST(s_suppkey AS DOUBLE) AS engine_id,
-       concat('N', CAST(1000 + s_nationkey AS STRING), 'GE') AS tail_number,
+       concat('REG-', CAST(40 + s_nationkey AS STRING)) AS tail_number,
        concat('L-', CAST(s_nationkey % 5 AS STRING)) AS home_location_id,
-       CASE s_suppkey % 4 WHEN 0 THEN ' GE90' WHEN 1 THEN 'GEnx ' WHEN 2 THEN 'CFM56'
-            ELSE 'LEAP-1B' END AS model,
-       CASE s_suppkey % 4 WHEN 0 THEN 'boeing 777' WHEN 1 THEN 'Boeing 787'
-            WHEN 2 THEN 'AIRBUS A320' ELSE ' Boeing 737 MAX ' END AS aircraft_type_supported,
+       CASE s_suppkey % 4 WHEN 0 THEN ' TF-12' WHEN 1 THEN 'TF-20b ' WHEN 2 THEN 'Rho 7'
+            ELSE 'Sigma-4' END AS model,
+       CASE s_suppkey % 4 WHEN 0 THEN 'heron 200' WHEN 1 THEN 'Heron 300'
+            WHEN 2 THEN 'KESTREL K9' ELSE ' Osprey Long Range ' END AS aircraft_type_supported,
        CASE WHEN s_suppkey % 37 = 5 THEN 'unknown'
             WHEN s_suppkey % 10 = 3 THEN {_US_DATE_TEXT}
             ELSE {_DATE_TEXT} END AS manufacture_date
-FROM (SELECT *, DATE '2015-01-01' + CAST(s_suppkey * 29 % 3000 AS INT) AS d FROM {{supplier}}
+FROM (SELECT *, DATE '2011-05-20' + CAST(s_suppkey * 37 % 2500 AS INT) AS d FROM {{supplier}}
       UNION ALL
-      SELECT *, DATE '2015-01-01' + CAST(s_suppkey * 29 % 3000 AS INT) AS d FROM {{supplier}}
+      SELECT *, DATE '2011-05-20' + CAST(s_suppkey * 37 % 2500 AS INT) AS d FROM {{supplier}}
       WHERE s_suppkey % 20 = 0) t""",
     "raw_dim_aircraft": """
-SELECT concat('N', CAST(1000 + n_nationkey AS STRING), 'GE') AS tail_number,
+SELECT concat('REG-', CAST(40 + n_nationkey AS STRING)) AS tail_number,
        CASE WHEN n_nationkey = 24 THEN NULL
             ELSE concat(' ', lower(replace(n_name, '_', ' ')), ' ') END AS airline_owner,
        CASE WHEN n_nationkey % 10 = 0 THEN ' In Maintenance' ELSE 'Active ' END AS fleet_status,
@@ -90,12 +90,12 @@ FROM (SELECT *, DATE '2022-01-01' + CAST(p_partkey % 900 AS INT) AS d FROM {{par
 SELECT CASE s_suppkey % 5 WHEN 0 THEN ' TEMP_HPC_OUT ' WHEN 1 THEN 'temp_hpc_out'
             WHEN 2 THEN 'physical_core_speed' WHEN 3 THEN 'Engine_Pressure_Ratio'
             ELSE NULL END AS sensor_name,
-       CASE s_suppkey % 5 WHEN 0 THEN CAST(1500 AS DOUBLE) WHEN 1 THEN CAST(1500 AS DOUBLE)
-            WHEN 2 THEN CAST(9000 AS DOUBLE) WHEN 3 THEN CAST(1.5 AS DOUBLE)
+       CASE s_suppkey % 5 WHEN 0 THEN CAST(1480 AS DOUBLE) WHEN 1 THEN CAST(1480 AS DOUBLE)
+            WHEN 2 THEN CAST(8990 AS DOUBLE) WHEN 3 THEN CAST(1.45 AS DOUBLE)
             ELSE CAST(1 AS DOUBLE) END AS critical_limit,
-       CASE s_suppkey % 5 WHEN 0 THEN 'high temp compressor WARNING'
-            WHEN 1 THEN 'High Temp Compressor Warning' WHEN 2 THEN 'core speed redline'
-            WHEN 3 THEN ' pressure drop alert' ELSE 'no sensor' END AS alert_description
+       CASE s_suppkey % 5 WHEN 0 THEN 'hot stage AHEAD'
+            WHEN 1 THEN 'Hot Stage Ahead' WHEN 2 THEN 'rotor above its band'
+            WHEN 3 THEN ' ratio out of BAND' ELSE 'no sensor' END AS alert_description
 FROM {supplier}""",
 }
 

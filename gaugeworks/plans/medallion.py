@@ -30,7 +30,7 @@ from gaugeworks.sinks.layout import compact, files_needed
 from gaugeworks.sinks.tables import Namespace, overwrite, read_batches, read_if_present
 from gaugeworks.sources.files import read_snapshot, stream_lines
 from gaugeworks.sources.schema_store import SchemaStore
-from gaugeworks.streaming.flows import ingest_stream, run_alerts, run_silver
+from gaugeworks.streaming.flows import ingest_stream, run_alerts, run_silver, widening
 
 
 @dataclass(frozen=True)
@@ -169,8 +169,10 @@ def process_telemetry(
     """
     ddl = f"{PAYLOAD_SCHEMA}, {extra_schema}" if extra_schema else PAYLOAD_SCHEMA
     store = SchemaStore(spark, f"{state}/schema")
-    schema = store.evolve(source, T.StructType.fromDDL(ddl), sampling_ratio)
     bronze = namespace.bronze(BRONZE_TELEMETRY)
+    schema = store.evolve(
+        source, T.StructType.fromDDL(ddl), sampling_ratio, widening(spark, bronze)
+    )
     silver = namespace.silver(SILVER_TELEMETRY)
     lines = stream_lines(spark, source, max_bytes=max_bytes)
     ingest_stream(lines, bronze, f"{state}/{BRONZE_TELEMETRY}", schema)

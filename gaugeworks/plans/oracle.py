@@ -114,7 +114,11 @@ LEFT JOIN dim_locations l ON e.home_location_id = l.location_id"""
 
 _WITH["summary"] = """
 SELECT telemetry_date, airline_owner, region, count(engine_id) AS total_sensor_pings,
-       round(avg(temp_hpc_out), 2) AS avg_high_pressure_compressor_temp,
+       -- The mean of values at six decimal places, rounded half up, in whole numbers.
+       CASE WHEN count(temp_hpc_out) > 0 THEN
+         ((200 * sum(CAST(temp_hpc_out * 1000000 AS HUGEINT)) + count(temp_hpc_out) * 1000000)
+          // (2 * count(temp_hpc_out) * 1000000)) / 100.0 END
+         AS avg_high_pressure_compressor_temp,
        round(max(physical_core_speed), 2) AS max_core_speed_rpm
 FROM wide WHERE airline_owner IS NOT NULL AND region IS NOT NULL
 GROUP BY telemetry_date, airline_owner, region"""
@@ -330,7 +334,11 @@ FROM (SELECT l_orderkey, l_linenumber,
             "raw_telemetry",
         ),
         "decode_json_messages": "SELECT event_id, CAST(user_id AS VARCHAR) AS key, "
-        "CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+        "CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 7 = 0 THEN NULL "
+        "ELSE CAST(json_extract(props, '$.k') AS INTEGER) END AS k, "
+        "CASE WHEN event_id % 11 = 0 THEN '{\"_corrupt_record\":\"oops\"}' "
+        "WHEN event_id % 13 = 0 THEN NULL "
+        "WHEN event_id % 7 = 0 THEN '{\"k\":\"x\",\"z\":\"2\"}' END AS _rescued_data FROM events",
         "encode_keyed_json": _using(
             "SELECT CAST(CAST(engine_id AS INTEGER) AS VARCHAR) AS key, 15 AS field_count, "
             + _columns(_PAYLOAD)
@@ -343,9 +351,13 @@ FROM (SELECT l_orderkey, l_linenumber,
         "CASE WHEN event_type = 'error' THEN 'n/a' ELSE NULL END AS rescued_user_id FROM events",
         "explode_sensor_array": _using(
             " UNION ALL ".join(
-                f"SELECT cycle, '{name}' AS sensor, {name} AS reading FROM raw_telemetry"
-                for name in ("s3", "s4", "s9")
-            ),
+                f"SELECT cycle, '{name}' AS sensor, {name} AS reading, "
+                "CAST(NULL AS VARCHAR) AS _rescued_data FROM raw_telemetry "
+                "WHERE cycle % 13 <> 0 AND cycle % 17 <> 0 AND cycle % 19 <> 0"
+                for name in _PAYLOAD[5:]
+            )
+            + " UNION ALL SELECT cycle, NULL, NULL, CASE WHEN cycle % 13 = 0 THEN '[{oops' END "
+            "FROM raw_telemetry WHERE cycle % 13 = 0 OR cycle % 17 = 0 OR cycle % 19 = 0",
             "raw_telemetry",
         ),
         "archive_latest_per_key": "SELECT CAST(user_id AS DOUBLE) AS engine_id, "
@@ -358,6 +370,12 @@ FROM (SELECT l_orderkey, l_linenumber,
         "schema_evolution": "SELECT event_id, event_type, CAST(NULL AS DOUBLE) AS value, "
         "CAST(NULL AS VARCHAR) AS _rescued_data FROM events UNION ALL "
         "SELECT event_id, CAST(NULL AS VARCHAR), value, CAST(NULL AS VARCHAR) FROM events",
+        "hostile_fields": "SELECT event_id, "
+        "CASE WHEN event_id % 2 = 0 THEN event_type END AS version, "
+        "CASE WHEN event_id % 2 = 1 THEN CAST(user_id AS BIGINT) END AS odd_key, "
+        "CASE WHEN event_id % 2 = 1 THEN 'elsewhere' END AS rescued_path, "
+        "CASE WHEN event_id % 2 = 1 THEN 'never' END AS rescued_time FROM events",
+        "table_profile": _describe(),
         "whitespace_text_scan": "SELECT "
         + _columns(
             f"CAST({field} AS DOUBLE) AS {name}"

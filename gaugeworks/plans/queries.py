@@ -26,6 +26,7 @@ from gaugeworks.operators.profile import (
     describe_columns,
     distinct_values,
     null_counts,
+    profile_table,
 )
 from gaugeworks.operators.rules import evaluate_rules, split_by_rules
 from gaugeworks.operators.wide import (
@@ -66,6 +67,7 @@ from gaugeworks.streaming.flows import (
     ingest_stream,
     run_alerts,
     run_silver,
+    widening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,7 +192,8 @@ def _obt_shuffle_join(spark, sf_dir):
 def _obt_salted_join(spark, sf_dir):
     """The wide table with the hot engines spread over salts."""
     facts = dated_facts(_valid(spark, sf_dir))
-    return salted_join(facts, engine_profile(*_profile_dims(spark, sf_dir)), ["engine_id"], "left")
+    profile = engine_profile(*_profile_dims(spark, sf_dir))
+    return salted_join(facts, profile, ["engine_id"], "left", task_rows=200)
 
 
 @query("tenant_view")
@@ -364,7 +367,28 @@ def _null_count_per_column(spark, sf_dir):
 
 @query("describe_profile")
 def _describe_profile(spark, sf_dir):
-    described = describe_columns(table(spark, sf_dir, "lineitem"))
+    return _described(describe_columns(table(spark, sf_dir, "lineitem")))
+
+
+@query("table_profile")
+def _table_profile(spark, sf_dir):
+    """The summary part of a whole profile."""
+    summary = profile_table(table(spark, sf_dir, "lineitem")).summary
+    parts = ("count", "mean", "stddev", "min", "max")
+    long = summary.unpivot(["summary"], summary.columns[1:], "column_name", "figure")
+    turned = long.groupBy("column_name").pivot("summary", list(parts)).agg(F.first("figure"))
+    return _described(
+        turned.withColumns(
+            {
+                "count": F.col("count").cast("long"),
+                "mean": F.col("mean").try_cast("double"),
+                "stddev": F.col("stddev").try_cast("double"),
+            }
+        )
+    )
+
+
+def _described(described: DataFrame) -> DataFrame:
     return described.select(
         "column_name",
         "count",
@@ -414,12 +438,19 @@ def _schema_profile(spark, sf_dir):
 
 @query("decode_json_messages")
 def _decode_json_messages(spark, sf_dir):
+    """Event properties as messages, some of them broken, missing or of other fields."""
+    text = (
+        F.when(F.col("event_id") % 11 == 0, F.lit("oops"))
+        .when(F.col("event_id") % 13 == 0, F.lit(None).cast("string"))
+        .when(F.col("event_id") % 7 == 0, F.lit('{"k":"x","z":2}'))
+        .otherwise(F.col("props"))
+    )
     events = table(spark, sf_dir, "events").select(
         "event_id",
         F.col("user_id").cast("string").alias("key"),
-        F.encode("props", "utf-8").alias("value"),
+        F.encode(text, "utf-8").alias("value"),
     )
-    return decode_messages(events, "k int")
+    return decode_messages(events, "k int", rescued="_rescued_data")
 
 
 @query("encode_keyed_json")
@@ -462,11 +493,16 @@ def _explode_sensor_array(spark, sf_dir):
     readings = F.array(
         *[
             F.struct(F.lit(name).alias("sensor"), F.col(name).alias("reading"))
-            for name in ("s3", "s4", "s9")
+            for name in PAYLOAD_COLUMNS[5:]
         ]
     )
-    nested = raw.select("cycle", F.to_json(readings).alias("value"))
-    return explode_readings(nested, "value")
+    # Some messages are broken, empty or missing; none may vanish.
+    damaged = (
+        F.when(F.col("cycle") % 13 == 0, F.lit("[{oops"))
+        .when(F.col("cycle") % 17 == 0, F.lit("[]"))
+        .when(F.col("cycle") % 19 != 0, F.to_json(readings))
+    )
+    return explode_readings(raw.select("cycle", damaged.alias("value")), "value")
 
 
 @query("archive_latest_per_key")
@@ -602,6 +638,38 @@ def _schema_evolution(spark, sf_dir):
     return spark.table(bronze).drop(*_AUDIT)
 
 
+@query("hostile_fields")
+def _hostile_fields(spark, sf_dir):
+    """Two waves of events with keys that need quoting, are nested, or clash with our own."""
+    area = _Area(spark, "hostile")
+    landing, bronze = f"{area.path}/landing", area.names.bronze(BRONZE_TELEMETRY)
+    store = SchemaStore(spark, f"{area.path}/state/schema")
+    events = table(spark, sf_dir, "events")
+    nested = F.struct(F.struct(F.col("event_type").alias("fw-version`x")).alias("in-ner"))
+    waves = {
+        "0": [nested.alias("me-ta")],
+        "1": [
+            F.col("user_id").alias("odd`key"),
+            F.lit("elsewhere").alias("source_file_path"),
+            F.lit("never").alias("Ingestion_Timestamp"),
+        ],
+    }
+    for wave, columns in waves.items():
+        rows = events.where(F.col("event_id") % 2 == int(wave)).select("event_id", *columns)
+        rows.write.json(f"{landing}/{wave}")
+        for _ in range(2):  # the second time there is nothing new
+            schema = store.evolve(landing, widen=widening(spark, bronze))
+            ingest_stream(stream_lines(spark, landing), bronze, f"{area.path}/state/bronze", schema)
+    rescued = F.col("_rescued_data")
+    return spark.table(bronze).select(
+        "event_id",
+        F.col("me-ta")["in-ner"]["fw-version`x"].alias("version"),
+        F.col("`odd``key`").alias("odd_key"),
+        F.get_json_object(rescued, "$.source_file_path").alias("rescued_path"),
+        F.get_json_object(rescued, "$.Ingestion_Timestamp").alias("rescued_time"),
+    )
+
+
 @query("stream_bronze_ingest")
 def _stream_bronze_ingest(spark, sf_dir):
     area = _Area(spark, "bronze")

@@ -128,13 +128,18 @@ PAYLOAD_COLUMNS = tuple(source for _, source, _ in SENSOR_COLUMNS)
 CLEAN_COLUMNS = tuple(name for name, _, _ in SENSOR_COLUMNS)
 PAYLOAD_SCHEMA = ", ".join(f"{name} double" for name in PAYLOAD_COLUMNS)
 
+# Names of columns that ingestion adds; message keys of these names are rescued.
+PATH_COLUMN = "source_file_path"
+INGESTED_COLUMN = "ingestion_timestamp"
+
 # Identifies the micro-batch that wrote a row; the partition column of batch-written tables.
 BATCH_COLUMN = "_batch_id"
+RESERVED_COLUMNS = (RESCUED_COLUMN, CORRUPT_COLUMN, PATH_COLUMN, INGESTED_COLUMN, BATCH_COLUMN)
 
 # A dimension is broadcast only when its measured size is at most this.
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-# Copies of the small side, and so shares of a hot key, when a join has to be salted.
-JOIN_SALTS = 32
+# A key with more rows is spread over several tasks when a join has to be salted.
+JOIN_TASK_ROWS = 5_000_000
 # Size of a data file after compaction or clustering.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 # Upper size of one micro-batch, so that a long backlog is drained in bounded steps.

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.curve import interleave, with_bucket
+from gaugeworks.functions.curve import as_number, interleave, with_position
 from gaugeworks.settings import TARGET_FILE_BYTES
 from gaugeworks.sinks.tables import overwrite
 
 # Bounds are quantiles within 1/accuracy of the exact rank; they only place rows.
 _ACCURACY = 10_000
-_MAX_CURVE_BITS = 18
+_STEPS = 256
+# Bits of a curve position, and of one column's share in it (what a double tells apart).
+_CURVE_BITS = 63
+_MOST_BITS = 31
 
 
 def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES) -> bool:
@@ -25,7 +26,9 @@ def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYT
     target and one output file per task, reading and writing back is the compaction. Returns
     False, with nothing rewritten, when the table has no more files than that would give.
     """
-    if len(spark.table(table).inputFiles()) <= files_needed(spark, table, target_bytes):
+    path = F.col("_metadata.file_path")
+    files = spark.table(table).select(path.alias("path")).distinct().count()
+    if files <= files_needed(spark, table, target_bytes):
         return False
     packing = spark.newSession()
     packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
@@ -55,71 +58,40 @@ def cluster(
     """Order ``df`` along a bit-interleaved curve over numeric, date or time ``columns``.
 
     Rows close in all columns land in the same files, so the min/max statistics of a file let
-    a filter on any of them skip it. Two aggregations that read only ``columns`` find the
-    quantiles and the number of rows per curve position. From those each position gets its
-    files, so the rows themselves are read and shuffled once, without a sampling pass. A
-    position that fills several files is spread over them by input partition, which a rerun of
-    a task reproduces.
-
-    ``bits`` per column set the resolution; without them it follows the number of files. There
-    are at most 2 ** 18 positions, which bounds what the driver sees and what is broadcast.
+    a filter on any of them skip it. One aggregation over ``columns`` finds quantiles; a row's
+    place between two of them refines its position, so the resolution is that of a 64-bit curve
+    however many files there are. The rows are then split by ranges of the curve. Rows at one
+    position are told apart by their place in the input (which a scan reproduces), so a position
+    that fills several files is spread over them.
+
+    ``bits`` per column set the resolution; by default the columns share 63 bits.
     """
-    spark = df.sparkSession
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if bits is None:
-        wanted = min(_MAX_CURVE_BITS, max(6, (files * 8).bit_length()))
-        bits = max(1, wanted // len(columns))
-    if bits * len(columns) > _MAX_CURVE_BITS:
-        raise ValueError(f"at most {_MAX_CURVE_BITS} bits in all columns together")
-    placed = _placed(df, columns, bits)
-    counts = placed.groupBy("_curve").agg(F.count("*").alias("n")).orderBy("_curve").toArrow()
-    slots = spark.createDataFrame(file_slots(counts, files))
-    # A left join: rows added meanwhile may sit at a position that was not counted.
-    file = F.coalesce(F.col("_first") + F.pmod(F.spark_partition_id(), F.col("_span")), F.lit(0))
-    targeted = placed.join(F.broadcast(slots), "_curve", "left").withColumn("_file", file)
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = _placed(df, columns, bits).withColumn("_tie", F.monotonically_increasing_id())
     return (
-        targeted.repartitionById(files, F.col("_file"))
+        placed.repartitionByRange(files, "_curve", "_tie")
         .sortWithinPartitions("_curve", *columns)
         .select(*df.columns)
     )
 
 
-def _placed(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+def _placed(df: DataFrame, columns: Sequence[str], bits: int | None) -> DataFrame:
     """``df`` with the curve position of each row."""
-    steps = 1 << bits
-    shares = [step / steps for step in range(1, steps)]
+    shares = [step / _STEPS for step in range(_STEPS + 1)]
+    numbers = {name: as_number(df.schema[name].dataType, name) for name in columns}
     found = df.agg(
-        *[F.percentile_approx(name, shares, _ACCURACY).alias(name) for name in columns]
+        *[F.percentile_approx(numbers[name], shares, _ACCURACY).alias(name) for name in columns]
     ).first()
     # A column without any value does not place rows.
-    used = [name for name in columns if found[name]]
+    used = [name for name in columns if found[name]][:_CURVE_BITS]
+    bits = bits or max(1, min(_MOST_BITS, _CURVE_BITS // max(1, len(used))))
     placed = df
     for name in used:
-        placed = with_bucket(placed, f"_bucket_{name}", name, sorted(found[name]), bits)
-    buckets = [f"_bucket_{name}" for name in used]
-    curve = interleave([F.col(name) for name in buckets], bits) if used else F.lit(0)
-    return placed.withColumn("_curve", curve).drop(*buckets)
-
-
-def file_slots(counts: pa.Table, files: int) -> pa.Table:
-    """First file and number of files of each position, for (_curve, n) in curve order.
-
-    A position of no more rows than a file goes whole to the file of its middle row.
-    """
-    rows = counts["n"].to_numpy()
-    total = max(1, int(rows.sum()))
-    after = rows.cumsum()
-    before = after - rows
-    first, last = before * files // total, np.maximum(after - 1, 0) * files // total
-    middle = (before + rows // 2) * files // total
-    fits = rows * files <= total
-    return pa.table(
-        {
-            "_curve": counts["_curve"],
-            "_first": pa.array(np.where(fits, middle, first), pa.int32()),
-            "_span": pa.array(np.where(fits, 1, last - first + 1), pa.int32()),
-        }
-    )
+        bounds = sorted(set(found[name]))
+        placed = with_position(placed, f"_place_{name}", numbers[name], bounds, bits)
+    places = [f"_place_{name}" for name in used]
+    curve = interleave([F.col(name) for name in places], bits) if used else F.lit(0).cast("long")
+    return placed.withColumn("_curve", curve).drop(*places)
 
 
 def cluster_table(

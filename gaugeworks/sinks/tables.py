@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gaugeworks.settings import BATCH_COLUMN, SCHEMAS
+from gaugeworks.sinks.quoting import quoted_name, sql_type
 
 
 class SchemaMismatch(ValueError):
@@ -53,7 +54,7 @@ def add_missing_columns(spark: SparkSession, table: str, schema: T.StructType) -
     present = {name.lower() for name in spark.table(table).columns}
     missing = [f for f in schema.fields if f.name.lower() not in present]
     if missing:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
+        columns = ", ".join(f"{quoted_name(f.name)} {sql_type(f.dataType)}" for f in missing)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     return [f.name for f in missing]
 
@@ -144,7 +145,7 @@ def create_tenant_view(
     """A view on the rows of ``table`` that belong to one tenant."""
     spark.sql(
         f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table} "
-        f"WHERE `{column}` = {_quoted(value)}"
+        f"WHERE {quoted_name(column)} = {_quoted(value)}"
     )
     return spark.table(view)
 
@@ -172,8 +173,8 @@ def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     present = set(df.columns)
     return df.selectExpr(
         *[
-            f"`{f.name}`" if f.name in present
-            else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+            quoted_name(f.name) if f.name in present
+            else f"CAST(NULL AS {sql_type(f.dataType)}) AS {quoted_name(f.name)}"
             for f in schema.fields
         ]
     )

@@ -64,9 +64,9 @@ def read_fields(
     spark: SparkSession, path: str, columns: Sequence[str] = PAYLOAD_COLUMNS
 ) -> DataFrame:
     """Numbers separated by white space, no header; fields beyond ``columns`` are ignored."""
-    fields = F.split(F.trim(F.col("value")), r"\s+")
-    lines = spark.read.text(path).where(F.length(F.trim(F.col("value"))) > 0)
-    return lines.select(fields.alias("_fields")).select(
+    bare = F.regexp_replace("value", r"^\s+|\s+$", "")
+    lines = spark.read.text(path).select(bare.alias("_line")).where(F.length("_line") > 0)
+    return lines.select(F.split("_line", r"\s+").alias("_fields")).select(
         *[
             F.get("_fields", F.lit(place)).cast("double").alias(name)
             for place, name in enumerate(columns)

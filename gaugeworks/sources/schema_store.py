@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import UTC, datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.settings import CORRUPT_COLUMN
+from gaugeworks.settings import RESERVED_COLUMNS
 
 # Files are compared by their modification time; the overlap allows for clock differences.
 _OVERLAP = timedelta(hours=1)
@@ -56,13 +57,19 @@ class SchemaStore:
         self._write(json.dumps(schema.jsonValue()), f"{self.versions}/version={version}")
 
     def evolve(
-        self, source: str, base: T.StructType | None = None, sampling_ratio: float = 1.0
+        self,
+        source: str,
+        base: T.StructType | None = None,
+        sampling_ratio: float = 1.0,
+        widen: Callable[[T.StructType], object] | None = None,
     ) -> T.StructType:
         """The schema for the next read of ``source``; new keys are appended and remembered.
 
         Only files that came since the last call are looked at. Known columns keep their type:
         values that do not fit go to the rescue column, as do the keys a sampling ratio below
         one may miss, so nothing is lost either way. Columns of ``base`` are always there.
+        ``widen`` gets the new schema before it is stored: a table that cannot take it leaves
+        the stored schema as it was.
         """
         known, seen_until = self.load(), self._seen_until()
         started = datetime.now(UTC) - _OVERLAP
@@ -82,13 +89,23 @@ class SchemaStore:
             found = T.StructType([])
         merged = merge_schemas(merge_schemas(known or T.StructType([]), base), found)
         if merged != known:
+            if widen:
+                widen(merged)
             self.save(merged)
         self._write(started.strftime("%Y-%m-%dT%H:%M:%S"), self.progress)
         return merged
 
 
 def merge_schemas(known: T.StructType, found: T.StructType | None) -> T.StructType:
-    """``known`` followed by the columns only ``found`` has."""
-    names = {f.name for f in known.fields} | {CORRUPT_COLUMN}
-    extra = found.fields if found else []
-    return T.StructType([*known.fields, *[f for f in extra if f.name not in names]])
+    """``known`` followed by the columns only ``found`` has.
+
+    Columns are told apart without regard to case, as in a table. Reserved names and second
+    spellings stay out, so their values go to the rescue column.
+    """
+    names = {f.name.lower() for f in known.fields} | {name.lower() for name in RESERVED_COLUMNS}
+    merged = list(known.fields)
+    for f in found.fields if found else []:
+        if f.name.lower() not in names:
+            names.add(f.name.lower())
+            merged.append(f)
+    return T.StructType(merged)

@@ -70,6 +70,16 @@ def ingest_stream(
     return query
 
 
+def widening(spark: SparkSession, table: str) -> Callable[[T.StructType], object]:
+    """For ``SchemaStore.evolve``: adds new columns to the table, if there is one already."""
+
+    def widen(schema: T.StructType) -> None:
+        if spark.catalog.tableExists(table):
+            add_missing_columns(spark, table, schema)
+
+    return widen
+
+
 def archive_stream(messages: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Archive the messages of a stream, the last one per key and micro-batch."""
 

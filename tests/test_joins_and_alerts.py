@@ -39,7 +39,7 @@ def test_every_way_of_joining_gives_the_same_rows(skewed, reference, how):
     for joined in (
         join_reference(skewed, reference, ["k"], how),
         join_reference(skewed, reference, ["k"], how, max_broadcast_bytes=0),
-        salted_join(skewed, reference, ["k"], how, salts=5),
+        salted_join(skewed, reference, ["k"], how, task_rows=100),
     ):
         assert as_set(joined.groupBy("k", "v", "w").count()) == as_set(want)
 
@@ -49,11 +49,9 @@ def test_the_measured_size_decides_the_broadcast(spark, skewed, reference):
     assert 40 * 12 <= size <= 40 * 100
     assert fits_broadcast(reference, size) and not fits_broadcast(reference, size - 1)
     assert "BroadcastHashJoin" in plan(join_reference(skewed, reference, ["k"]))
-    for joined in (
-        join_reference(skewed, reference, ["k"], max_broadcast_bytes=size - 1),
-        salted_join(skewed, reference, ["k"], "left"),
-    ):
-        assert "SortMergeJoin" in plan(joined) and "BroadcastHashJoin" not in plan(joined)
+    joined = join_reference(skewed, reference, ["k"], max_broadcast_bytes=size - 1)
+    assert "SortMergeJoin" in plan(joined) and "BroadcastHashJoin" not in plan(joined)
+    assert "SortMergeJoin" in plan(salted_join(skewed, reference, ["k"], "left"))
     assert measured_bytes(reference.where("false")) == 0
     texts = spark.createDataFrame([("x" * 1000,), (None,)], "t string")
     assert measured_bytes(texts) >= 1000
@@ -73,9 +71,18 @@ def test_a_salted_hot_key_reaches_several_partitions(spark, skewed, reference):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = salted_join(skewed, reference, ["k"], "inner", salts=8)
+        joined = salted_join(skewed, reference, ["k"], "inner", task_rows=500)
         hot = joined.where("k = 7").select(F.spark_partition_id().alias("p"))
         assert hot.distinct().count() > 1
+        # Equal rows of one key in one input partition are spread evenly, others stay together.
+        equal = spark.range(9000, numPartitions=1).select(
+            F.when(F.col("id") < 3000, 7).otherwise(F.col("id") % 30 + 8).cast("int").alias("k"),
+            F.lit("same").alias("v"),
+        )
+        spread = salted_join(equal, reference, ["k"], "inner", task_rows=500)
+        sizes = spread.where("k = 7").groupBy("w", F.spark_partition_id().alias("p")).count()
+        found = [r["count"] for r in sizes.collect()]
+        assert sum(found) == 3000 and len(found) >= 3 and max(found) <= 2 * 3000 / len(found)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -78,11 +78,35 @@ def test_explode_readings(spark):
     text = '[{"sensor":"s1","reading":1.0},{"sensor":"s2","reading":null}]'
     df = spark.createDataFrame([(7, text)], "cycle int, value string")
     got = explode_readings(df, "value")
-    assert as_list(got) == [(7, "s1", 1.0), (7, "s2", None)]
+    assert as_list(got) == [(7, "s1", 1.0, None), (7, "s2", None, None)]
+
+
+def test_explode_readings_loses_nothing(spark):
+    texts = ["[{oops", "[]", None, '[{"sensor":"s1","reading":"hot"}]', '[{"sensor":"s2","more":1}]']
+    df = spark.createDataFrame(list(enumerate(texts)), "cycle int, value string")
+    got = {row[0]: tuple(row)[1:] for row in explode_readings(df, "value").collect()}
+    assert len(got) == 5
+    assert got[0] == (None, None, "[{oops")
+    assert got[1] == got[2] == (None, None, None)
+    assert got[3] == ("s1", None, '{"sensor":"s1","reading":"hot"}')
+    assert got[4] == ("s2", None, '{"sensor":"s2","more":1}')
+
+
+def test_decoding_rescues_what_the_schema_cannot_hold(spark):
+    texts = ["oops", '{"k":"x","z":2}', '{"k":3}', None, " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, value string")
+    got = {r["n"]: (r["k"], r["rest"]) for r in decode_messages(df, "k int", rescued="rest").collect()}
+    assert got == {
+        0: (None, '{"_corrupt_record":"oops"}'),
+        1: (None, '{"k":"x","z":"2"}'),
+        2: (3, None),
+        3: (None, None),
+        4: (None, None),
+    }
 
 
 def test_read_fields_ignores_extra_fields_and_blank_lines(spark, tmp_path):
-    (tmp_path / "r.txt").write_text("  1 2.5\t-3   4\n\n5 6 7\n8\n")
+    (tmp_path / "r.txt").write_text("  1 2.5\t-3   4\n\n\t5 6 7\t\n\t \n8\n")
     got = read_fields(spark, str(tmp_path), ["a", "b", "c"])
     assert as_set(got) == {(1.0, 2.5, -3.0), (5.0, 6.0, 7.0), (8.0, None, None)}
 

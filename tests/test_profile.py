@@ -54,3 +54,10 @@ def test_profile_table(spark):
     assert as_set(profile.distinct["t"]) == {("x",), (None,), ("10",)}
     stats = {row.summary for row in profile.summary.collect()}
     assert stats == {"count", "mean", "stddev", "min", "max"}
+
+
+def test_describe_without_number_or_text_column_is_empty(spark):
+    dates = spark.sql("SELECT DATE'2024-01-01' AS day")
+    got = describe_columns(dates)
+    assert got.count() == 0
+    assert got.columns == ["column_name", "count", "mean", "stddev", "min", "max"]

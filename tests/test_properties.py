@@ -6,7 +6,6 @@ import json
 import random
 from collections import Counter
 
-import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -16,7 +15,6 @@ from gaugeworks.operators.dedupe import first_per_key
 from gaugeworks.operators.rules import split_by_rules
 from gaugeworks.settings import ALERT_SENSORS
 from gaugeworks.sinks.archive import keyed_messages, latest_messages
-from gaugeworks.sinks.layout import file_slots
 
 
 @pytest.fixture(params=[1, 2, 3])
@@ -116,14 +114,3 @@ def test_alerts_by_brute_force(spark, rng):
     }
     got = threshold_alerts(telemetry, table).select("engine_id", "sensor_name").collect()
     assert Counter(map(tuple, got)) == Counter(want)
-
-
-def test_file_slots_cover_all_files_evenly(rng):
-    sizes = [rng.randint(1, 500) for _ in range(200)] + [20_000]
-    table = pa.table({"_curve": list(range(201)), "n": sizes})
-    load = Counter()
-    for position, first, span in (tuple(r.values()) for r in file_slots(table, 12).to_pylist()):
-        assert 0 <= first and first + span <= 12
-        for file in range(first, first + span):
-            load[file] += sizes[position] / span
-    assert set(load) == set(range(12)) and max(load.values()) < 2 * sum(sizes) / 12

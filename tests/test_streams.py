@@ -275,7 +275,7 @@ def export(folder: Path):
         folder / "dim_engines",
         "e.json",
         {"engine_id": 1, "tail_number": "N1", "home_location_id": "L", "model": "m",
-         "aircraft_type_supported": "boeing 777", "manufacture_date": "03/04/2016"},
+         "aircraft_type_supported": "heron 200", "manufacture_date": "03/04/2016"},
     )
     land(
         folder / "dim_aircraft",

@@ -1,13 +1,12 @@
 from __future__ import annotations
 
-import pyarrow as pa
 import pytest
 from conftest import as_list, as_set
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.curve import interleave, with_bucket
-from gaugeworks.sinks.layout import cluster, cluster_table, compact, file_slots, files_needed
+from gaugeworks.functions.curve import interleave, with_position
+from gaugeworks.sinks.layout import cluster, cluster_table, compact, files_needed
 from gaugeworks.sinks.tables import (
     SchemaMismatch,
     append_merging,
@@ -121,12 +120,17 @@ def test_compaction_respects_the_target_size(spark, names):
     assert spark.table(table).distinct().count() == 200_000
 
 
-def test_buckets_count_the_bounds_at_or_below(spark):
+def test_positions_follow_the_bounds_and_the_way_between_them(spark):
     df = spark.createDataFrame([(v,) for v in (-1, 0, 4, 5, 9, 10, 99, None)], "v int")
-    got = [r["b"] for r in with_bucket(df, "b", "v", [0, 5, 10], 2).collect()]
-    assert got == [0, 1, 1, 2, 2, 3, 3, 0]
-    repeated = [r["b"] for r in with_bucket(df, "b", "v", [0, 5, 5, 5, 5, 5, 10], 3).collect()]
-    assert repeated == [0, 1, 1, 6, 6, 7, 7, 0]
+    number = F.col("v").cast("double")
+    got = [r["b"] for r in with_position(df, "b", number, [0, 5, 10], 4).collect()]
+    assert got == [0, 0, 4, 5, 9, 10, 10, 0]
+    fine = spark.range(1000).withColumn("b", F.lit(0))
+    found = with_position(fine, "b", F.col("id").cast("double"), [0, 500, 1000], 20)
+    places = [r["b"] for r in found.orderBy("id").collect()]
+    assert places == sorted(places) and len(set(places)) == 1000
+    one = with_position(fine, "b", F.col("id").cast("double"), [7], 3)
+    assert {r["b"] for r in one.collect()} == {0}
 
 
 def test_interleave_takes_bits_in_turn(spark):
@@ -156,11 +160,20 @@ def test_clustering_keeps_rows_and_lets_filters_skip_files(spark, names):
     assert by_day <= total * 0.75 and by_engine <= total * 0.75
 
 
-def test_clustering_spreads_a_hot_position(spark):
-    hot = spark.range(9000, numPartitions=8).select(F.lit(5).alias("a"), F.lit(1.0).alias("b"))
-    parts = cluster(hot, ["a", "b"], files=4).select(F.spark_partition_id().alias("p"))
+def test_clustering_spreads_a_hot_position_of_one_input_partition(spark):
+    rows = spark.range(9000, numPartitions=1).select(
+        F.when(F.col("id") < 3000, 5).otherwise(F.col("id") % 50).cast("int").alias("a"),
+        F.lit(1.0).alias("b"),
+    )
+    parts = cluster(rows, ["a", "b"], files=8).select(F.spark_partition_id().alias("p"))
     sizes = [r["count"] for r in parts.groupBy("p").count().collect()]
-    assert len(sizes) == 4 and max(sizes) < 6000
+    assert len(sizes) == 8 and max(sizes) <= 2 * 9000 / 8
+
+
+def test_many_columns_share_the_bits_of_a_position(spark):
+    columns = [f"c{k}" for k in range(20)]
+    df = spark.range(500).select(*[(F.hash("id", F.lit(k)) % 100).alias(c) for k, c in enumerate(columns)])
+    assert cluster(df, columns, files=3).count() == 500
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "bigint", "double"])
@@ -175,24 +188,6 @@ def test_clustering_by_each_ordered_type(spark, kind):
     assert all(edges[n][1] <= edges[n + 1][0] for n in range(3))
 
 
-def slots(counts, files):
-    rows = pa.array([n for _, n in counts], pa.int64())
-    table = pa.table({"_curve": pa.array([c for c, _ in counts], pa.int32()), "n": rows})
-    return [tuple(row.values()) for row in file_slots(table, files).to_pylist()]
-
-
-def test_file_slots_follow_the_row_counts():
-    assert slots([(0, 10), (5, 10)], 2) == [(0, 0, 1), (5, 1, 1)]
-    assert slots([(0, 1), (3, 98), (9, 1)], 4) == [(0, 0, 1), (3, 0, 4), (9, 3, 1)]
-    assert slots([(0, 4), (1, 4), (2, 4)], 2) == [(0, 0, 1), (1, 1, 1), (2, 1, 1)]
-    assert slots([], 3) == []
-
-
-def test_the_resolution_is_bounded(spark):
-    with pytest.raises(ValueError, match="18 bits"):
-        cluster(spark.range(1), ["id"], files=1, bits=19)
-
-
 def test_clustering_an_empty_or_null_column(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a int, b double")
     assert cluster(df, ["a", "b"], files=2).count() == 2
