@@ -14,6 +14,7 @@ from gaugeworks.llm.decontaminate import contamination
 from gaugeworks.llm.hilbert_shards import assign_shards, order_key
 from gaugeworks.llm.jaccard import jaccard_components
 from gaugeworks.llm.language import learn_languages, with_language
+from gaugeworks.llm.oracle import oracle_sql
 from gaugeworks.llm.perspectives import rotate_perspectives
 from gaugeworks.llm.quality_rules import (
     COUNTS,
@@ -155,5 +156,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+__all__ = ["oracle_sql", "queries"]

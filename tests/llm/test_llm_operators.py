@@ -178,9 +178,12 @@ def test_quality_statistics_equal_brute_force(docs):
 
 
 def labelled(spark):
-    good = [(k, " ".join(f"a{k}_{j}" for j in range(60 + k % 40)), 1) for k in range(200)]
-    marked = [(k, " ".join(f"b{k}_{j}###" for j in range(70)), 0) for k in range(200, 260)]
-    upper = [(k, " ".join(f"C{j}{k}ABC" for j in range(80)), 0) for k in range(260, 320)]
+    def text(k, start):  # only the start of the words tells the kinds apart
+        return " ".join(f"{start}{k:03d}{j:03d}" for j in range(60 + k % 40))
+
+    good = [(k, text(k, "abc"), 1) for k in range(200)]
+    marked = [(k, text(k, "ab#"), 0) for k in range(200, 260)]
+    upper = [(k, text(k, "ABC"), 0) for k in range(260, 320)]
     rows = good + marked + upper
     texts = spark.createDataFrame([(k, t) for k, t, _ in rows], SCHEMA)
     labels = spark.createDataFrame(
