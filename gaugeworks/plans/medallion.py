@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
@@ -27,7 +27,13 @@ from gaugeworks.settings import (
     DimensionSpec,
 )
 from gaugeworks.sinks.layout import compact, files_needed
-from gaugeworks.sinks.tables import Namespace, overwrite, read_batches, read_if_present
+from gaugeworks.sinks.tables import (
+    Namespace,
+    create_tenant_view,
+    overwrite,
+    read_batches,
+    read_if_present,
+)
 from gaugeworks.sources.files import read_snapshot, stream_lines
 from gaugeworks.sources.schema_store import SchemaStore
 from gaugeworks.streaming.flows import ingest_stream, run_alerts, run_silver, widening
@@ -159,13 +165,15 @@ def process_telemetry(
     sampling_ratio: float = 1.0,
     max_bytes: int = MAX_BATCH_BYTES,
     rebuild_gold: bool = True,
+    tenants: Mapping[str, str] | None = None,
     **silver_options,
 ) -> None:
     """New telemetry files to bronze, silver, alerts and gold tables, in that order.
 
     ``state`` is the folder of checkpoints and the schema store. A stage that fails raises and
     the ones after it do not run. The gold tables are rebuilt in full, since a changed
-    dimension reaches every fact; ``rebuild_gold=False`` leaves that to a rarer run.
+    dimension reaches every fact; ``rebuild_gold=False`` leaves that to a rarer run. ``tenants``
+    names views by the airline owner whose rows of the summary they show.
     """
     ddl = f"{PAYLOAD_SCHEMA}, {extra_schema}" if extra_schema else PAYLOAD_SCHEMA
     store = SchemaStore(spark, f"{state}/schema")
@@ -197,3 +205,6 @@ def process_telemetry(
     if rebuild_gold:
         build_gold_wide(spark, namespace)
         build_gold_summary(spark, namespace)
+        for view, owner in (tenants or {}).items():
+            summary = namespace.gold(GOLD_SUMMARY)
+            create_tenant_view(spark, namespace.gold(view), summary, "airline_owner", owner)

@@ -16,6 +16,10 @@ from gaugeworks.settings import BATCH_COLUMN, SCHEMAS
 from gaugeworks.sinks.quoting import quoted_name, sql_type
 
 
+# Property of a staging table that was written to its end.
+_WHOLE = "gaugeworks.whole"
+
+
 class SchemaMismatch(ValueError):
     """The columns of a frame do not fit a strict table."""
 
@@ -78,22 +82,44 @@ def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
 
     An existing table is replaced by way of a staging table that then takes its name: a failure
     before the swap leaves it as it was, and readers can miss it for the moment of the swap
-    only. A stream over the table would take all rows for new ones, so this is for tables that
+    only. A swap that broke off in that moment is finished by ``recover``, which the next call
+    does first. A stream over the table would take all rows for new ones, so this is for tables that
     no stream reads.
     """
     spark = df.sparkSession
+    recover(spark, table)
     if not spark.catalog.tableExists(table):
         df.write.format(fmt).saveAsTable(table)
         return
     if any(column.isPartition for column in spark.catalog.listColumns(table)):
         raise ValueError(f"{table} is partitioned; its partitions are replaced batch by batch")
-    staging = f"{table}__staging"
+    staging = _staging(table)
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     df.write.format(fmt).saveAsTable(staging)
+    spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('{_WHOLE}' = 'true')")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
 
+def recover(spark: SparkSession, table: str) -> bool:
+    """Finish a swap that broke off after the old table was dropped; True if there was one.
+
+    Only a staging table that was written to its end takes the name.
+    """
+    staging = _staging(table)
+    if spark.catalog.tableExists(table) or not spark.catalog.tableExists(staging):
+        return False
+    properties = {row["key"] for row in spark.sql(f"SHOW TBLPROPERTIES {staging}").collect()}
+    if _WHOLE not in properties:
+        return False
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    return True
+
+
+def _staging(table: str) -> str:
+    return f"{table}__staging"
+
+
 def write_batch(
     df: DataFrame,
     table: str,
