@@ -89,6 +89,7 @@ def learn_languages(
     dice = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
     counted = (
         rows.filter(dice < share[F.col("lang")])
+        .dropDuplicates(["lang", "text"])  # copies have one hash, so they come all or none
         .mapInArrow(_count_grams, "lang string, gram long, often long")
         .groupBy("lang", "gram")
         .agg(F.sum("often").alias("often"))
