@@ -42,6 +42,11 @@ from gaugeworks.llm.common import (
 FREQUENT = 1 << 18
 # Words of the bitmap that bounds how much two sets differ.
 BITMAP_LONGS = 8
+# Finer bitmaps by the size of a set, used where both sets of a pair have them: name, words, sizes.
+# The ranges overlap by more than two linked sets differ in size.
+WIDE_BITMAPS = (("fine", 16, 0, 800), ("wide", 32, 600, 3000), ("wider", 128, 2400, 1 << 62))
+# Set ids a task remembers to pass over copies; copies it forgets do no harm.
+SEEN = 1 << 18
 # Vertical fragments a set is cut into when the overlap of a pair is counted (a power of two).
 FRAGMENTS = 8
 
@@ -94,9 +99,9 @@ def _summaries(size: int):
     return run
 
 
-def bitmap(values: np.ndarray) -> np.ndarray:
+def bitmap(values: np.ndarray, longs: int = BITMAP_LONGS) -> np.ndarray:
     """Parity bits of a set: each differing shingle of two sets flips at most one bit."""
-    bits = 64 * BITMAP_LONGS
+    bits = 64 * longs
     odd = np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
@@ -109,11 +114,12 @@ def _prefixes(size: int, percent: int, frequent):
         known, rank = frequent.value
         for batch in batches:
             sids, sizes, maps, firsts = [], [], [], []
+            wide: dict[str, list] = {name: [] for name, *_ in WIDE_BITMAPS}
             for values in _sets(batch, size, hashes):
                 sid = _set_id(values)
                 if not len(values) or sid in seen:
                     continue
-                if len(seen) >= 1 << 18:
+                if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(sid)
                 length = len(values) - (len(values) * percent + 99) // 100 + 1
@@ -124,6 +130,9 @@ def _prefixes(size: int, percent: int, frequent):
                 sids.append(sid)
                 sizes.append(len(values))
                 maps.append(bitmap(values))
+                for name, longs, least, most in WIDE_BITMAPS:
+                    fits = least < len(values) <= most
+                    wide[name].append(bitmap(values, longs) if fits else None)
                 firsts.append(_signed(values[:length]))
             flat = np.concatenate([*firsts, np.empty(0, np.int64)])
             ends = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
@@ -133,9 +142,10 @@ def _prefixes(size: int, percent: int, frequent):
                     pa.array(sids, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     *(pa.array(bits[:, k]) for k in range(BITMAP_LONGS)),
+                    *(pa.array(rows, pa.list_(pa.int64())) for rows in wide.values()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
-                names=["sid", "n", *(f"b{k}" for k in range(BITMAP_LONGS)), "prefix"],
+                names=["sid", "n", *(f"b{k}" for k in range(BITMAP_LONGS)), *wide, "prefix"],
             )
 
     return run
@@ -146,12 +156,17 @@ def _fragments(size: int):
     shift = np.uint64(64 - (FRAGMENTS.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, seen = WordHashes(), set()
         for batch in batches:
             sids, places, parts = [], [], []
             for sid, values in zip(
                 batch.column("sid").to_pylist(), _sets(batch, size, hashes), strict=True
             ):
+                if sid in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(sid)
                 cuts = np.searchsorted(values >> shift, np.arange(1, FRAGMENTS, dtype=np.uint64))
                 for place, part in enumerate(np.split(values, cuts)):
                     if len(part):
@@ -172,6 +187,24 @@ def _fragments(size: int):
     return run
 
 
+def _flips(left: str, right: str, name: str):
+    """How many bits of a finer bitmap differ; NULL where a set of the pair lacks it."""
+    flips = F.zip_with(
+        f"{left}.{name}", f"{right}.{name}", lambda a, b: F.bit_count(a.bitwiseXOR(b))
+    )
+    return F.aggregate(flips, F.lit(0), lambda done, n: done + n)
+
+
+def _may_link_fine(left: str, right: str, percent: int):
+    """The same bound by the finer bitmaps."""
+    total = F.col(f"{left}.n") + F.col(f"{right}.n")
+    fits = F.lit(True)
+    for name, *_ in WIDE_BITMAPS:
+        few = _flips(left, right, name) * (100 + percent) <= total * (100 - percent)
+        fits = fits & F.coalesce(few, F.lit(True))
+    return fits
+
+
 def _may_link(left: str, right: str, percent: int):
     """Exact bounds on a pair: sizes not too far apart, bitmaps not too different."""
     n_left, n_right = F.col(f"{left}.n"), F.col(f"{right}.n")
@@ -200,8 +233,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, size: int, pe
         .select("o.sid", "t.text")
     )
     segments = written(
-        found.mapInArrow(_fragments(size), "sid long, fragment int, shingles array<long>")
-        .dropDuplicates(["sid", "fragment"]),
+        found.mapInArrow(_fragments(size), "sid long, fragment int, shingles array<long>"),
         "jaccard-fragments",
     )
     left = segments.select(
@@ -213,11 +245,17 @@ def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, size: int, pe
     partial = (
         pairs.join(left, "a")
         .join(right, ["b", "fragment"])
-        .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("left_part", "right_part")).alias("part"))
+        .select(
+            *("a", "b", "n_a", "n_b", "fragment"),
+            F.size(F.array_intersect("left_part", "right_part")).alias("part"),
+        )
     )
+    # Repeated rows may give a fragment twice; the set has each of them once.
     return (
         partial.groupBy("a", "b", "n_a", "n_b")
-        .agg(F.sum("part").alias("common"))
+        .agg(F.collect_set(F.struct("fragment", "part")).alias("parts"))
+        .withColumn("common", F.aggregate("parts", F.lit(0), lambda done, p: done + p["part"]))
+        .drop("parts")
         .filter(F.col("common") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
     )
 
@@ -228,8 +266,10 @@ def jaccard_components(
     text_column: str = "text",
     size: int = 5,
     percent: int = 80,
+    with_key: bool = False,
 ) -> DataFrame:
-    """One row per document: id, number of shingles, and the smallest id reachable by links.
+    """One row per document: id, number of shingles, and the smallest id reachable by links;
+    ``with_key`` adds tkey, which tells rows of one id apart (see ``text_key``).
 
     Two texts link when 100 * |intersection| >= percent * |union| of their shingle sets
     (``size`` words a shingle, A-Z lower-cased, words divided by blanks and control spaces).
@@ -258,11 +298,13 @@ def jaccard_components(
     tail = broadcast_value(
         documents.sparkSession, (known[order], frequent["often"].to_numpy(np.int64)[order])
     )
-    maps = [f"b{k}" for k in range(BITMAP_LONGS)]
+    maps = [f"b{k} long" for k in range(BITMAP_LONGS)]
+    wide = [name for name, *_ in WIDE_BITMAPS]
+    shapes = [*maps, *(f"{name} array<long>" for name in wide)]
     prefixes = written(
         texts.select("text").mapInArrow(
             _prefixes(size, percent, tail),
-            f"sid long, n long, {', '.join(f'{m} long' for m in maps)}, prefix array<long>",
+            f"sid long, n long, {', '.join(shapes)}, prefix array<long>",
         ),
         "jaccard-prefixes",
     )
@@ -276,13 +318,14 @@ def jaccard_components(
         "jaccard-shared",
     )
     lists = written(
-        starts.join(small(shared, shared.count()), "shingle").distinct(), "jaccard-lists"
+        starts.join(shared.hint("merge"), "shingle").distinct(), "jaccard-lists"
     )
     listed = lists.select("sid").distinct()
     profile = written(
         prefixes.drop("prefix").join(small(listed, listed.count()), "sid").dropDuplicates(["sid"]),
         "jaccard-profiles",
     )
+    narrow = profile.drop(*wide)
     owners = (
         members.join(listed, "sid")
         .groupBy("sid")
@@ -290,30 +333,57 @@ def jaccard_components(
         .select("sid", "own.doc_id", "own.tkey")
     )
 
-    def checked(candidates: DataFrame, name: str) -> DataFrame:
-        """Candidate pairs (a, b) that the bounds let pass and the overlap confirms."""
-        pairs = written(
-            candidates.alias("p")
-            .join(profile.alias("x"), F.col("p.a") == F.col("x.sid"))
-            .join(profile.alias("y"), (F.col("p.b") == F.col("y.sid")) & _may_link("x", "y", percent))
-            .select("p.a", "p.b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")),
-            f"jaccard-pairs-{name}",
-        )
-        return written(_linked(pairs, texts, owners, size, percent), f"jaccard-links-{name}")
-
-    stars = checked(
-        lists.filter("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct(),
-        "hubs",
-    )
-    groups = components(stars, "jaccard-groups")
-    grouped = profile.join(groups.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
-        "component", F.coalesce("component", "sid")
+    def bounded(candidates: DataFrame, name: str) -> DataFrame:
+        """Candidate pairs (a, b) that the bounds let pass, with the least their sets differ."""
+        pairs = candidates
+        for bound, own in ((_may_link, narrow), (_may_link_fine, profile)):
+            flips = F.coalesce(*(_flips("x", "y", w) for w in wide)) if own is profile else F.lit(0)
+            pairs = written(
+                pairs.select("a", "b")
+                .join(own.alias("x"), F.col("a") == F.col("x.sid"))
+                .join(own.alias("y"), (F.col("b") == F.col("y.sid")) & bound("x", "y", percent))
+                .select(
+                    *("a", "b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")),
+                    flips.alias("flips"),
+                ),
+                f"jaccard-pairs-{name}",
+            )
+        return pairs
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs whose overlap is large enough."""
+        pairs = pairs.select("a", "b", "n_a", "n_b")
+        found = _linked(pairs, texts, owners, size, percent)
+        return written(found, f"jaccard-links-{name}").select("a", "b")
+
+    def grouping(edges: DataFrame, name: str) -> DataFrame:
+        return components(edges, f"jaccard-{name}").withColumnRenamed("node", "sid")
+
+    def of(groups: DataFrame, side: str) -> DataFrame:
+        return groups.select(F.col("sid").alias(side), F.col("component").alias(f"{side}_group"))
+
+    # Every set is first held against the one hub it shares most lists with, then against the
+    # hubs of its lists that are still in other groups.
+    shares = lists.filter("sid <> hub").groupBy("sid", "hub").count()
+    best = shares.groupBy("sid").agg(F.max(F.struct("count", "hub")).alias("best"))
+    star = best.select(F.col("best.hub").alias("a"), F.col("sid").alias("b"))
+    links = confirmed(bounded(star, "best"), "best")
+    groups = grouping(links, "groups")
+    own = F.coalesce("component", "sid")
+    split = (own != F.coalesce("hub_group", "hub")) & (F.col("sid") != F.col("hub"))
+    apart = (
+        lists.select("sid", "hub").distinct()
+        .join(groups, "sid", "left").join(of(groups, "hub"), "hub", "left")
+        .filter(split)
     )
+    star = apart.select(F.col("hub").alias("a"), F.col("sid").alias("b"))
+    links = links.union(confirmed(bounded(star, "hubs"), "hubs"))
+    groups = grouping(links, "joined")
+    # What is not in its hub's group is held against all of the list in other groups: first the
+    # likeliest pair of every two groups, then every pair whose groups are still two.
+    grouped = narrow.join(groups, "sid", "left").withColumn("component", own)
     full = written(lists.join(grouped, "sid"), "jaccard-grouped")
-    hubs = groups.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    minor = full.join(hubs, "hub", "left").filter(
-        F.col("component") != F.coalesce("hub_component", "hub")
-    )
+    minor = full.join(of(groups, "hub"), "hub", "left").filter(split)
     rest = (
         minor.alias("x")
         .join(
@@ -325,10 +395,21 @@ def jaccard_components(
         .select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))
         .distinct()
     )
-    across = checked(rest, "rest")
-    joined = components(
-        stars.select("a", "b").union(across.select("a", "b")), "jaccard-components"
-    ).withColumnRenamed("node", "sid")
+    rest = bounded(rest, "rest")
+
+    def still_two(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+        both = pairs.join(of(groups, "a"), "a", "left").join(of(groups, "b"), "b", "left")
+        first, second = F.coalesce("a_group", "a"), F.coalesce("b_group", "b")
+        return both.withColumns(
+            {"low": F.least(first, second), "high": F.greatest(first, second)}
+        ).filter("low <> high")
+
+    row = F.struct("flips", "a", "b", "n_a", "n_b")
+    likeliest = still_two(rest, groups).groupBy("low", "high").agg(F.min(row).alias("pair"))
+    links = links.union(confirmed(written(likeliest.select("pair.*"), "jaccard-likeliest"), "likeliest"))
+    groups = grouping(links, "merged")
+    last = written(still_two(rest, groups).drop("low", "high"), "jaccard-last")
+    joined = grouping(links.union(confirmed(last, "last")), "components")
     named = members.join(joined, "sid", "left").withColumn(
         "component", F.coalesce("component", "sid")
     )
@@ -340,4 +421,5 @@ def jaccard_components(
         F.col("doc_id").alias(id_column),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *(["tkey"] if with_key else []),
     )
