@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.bpe import read_vocabulary, with_decoded_text, with_token_ids
 from gaugeworks.llm.chunk_dedup import deduplicate_chunks
-from gaugeworks.llm.common import OWN, text_key, written
+from gaugeworks.llm.common import OWN, small, text_key, written
 from gaugeworks.llm.decontaminate import contamination
 from gaugeworks.llm.jaccard import jaccard_components
 from gaugeworks.llm.quality_rules import keep_good, learn_rules, with_statistics
@@ -24,21 +24,32 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learnt decision list keep."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    labelled = labels.filter("doc_id is not null and quality is not null").select("doc_id")
-    statistics = written(
-        with_statistics(docs.select("doc_id", "text").join(labelled.distinct(), "doc_id", "left_semi"))
-        .drop("text"),
-        "pipeline-statistics",
+    named = written(
+        labels.filter("doc_id is not null and quality is not null").select("doc_id").distinct(),
+        "pipeline-labelled",
     )
+    labelled = docs.select("doc_id", "text").join(small(named, named.count()), "doc_id", "left_semi")
+    statistics = written(with_statistics(labelled).drop("text"), "pipeline-statistics")
     rules = learn_rules(statistics, labels)
     return keep_good(docs.select(*COLUMNS), rules)
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose id and text key are not in ``gone``."""
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{OWN}id")) & (
+        text_key() == F.col(f"{OWN}key")
+    )
+    gone = written(gone.distinct(), "pipeline-gone")
+    return docs.join(small(gone, gone.count()), same, "left_anti").select(*COLUMNS)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of similar texts, and all without shingles."""
-    groups = jaccard_components(docs)
-    gone = groups.filter("n_shingles > 0 and component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    groups = jaccard_components(docs, with_key=True)
+    gone = groups.filter("n_shingles > 0 and component_id <> doc_id").select(
+        F.col("doc_id").alias(f"{OWN}id"), F.col("tkey").alias(f"{OWN}key")
+    )
+    return _without(docs, gone)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,16 +66,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with the benchmark."""
     hits = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaked = written(
-        hits.filter(F.size("hit_words") > 0).select(
-            F.col("doc_id").alias(f"{OWN}id"), F.col("tkey").alias(f"{OWN}key")
-        ),
-        "pipeline-leaks",
-    ).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{OWN}id")) & (
-        text_key() == F.col(f"{OWN}key")
+    leaked = hits.filter(F.size("hit_words") > 0).select(
+        F.col("doc_id").alias(f"{OWN}id"), F.col("tkey").alias(f"{OWN}key")
     )
-    return docs.join(leaked, same, "left_anti").select(*COLUMNS)
+    return _without(docs, leaked)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
