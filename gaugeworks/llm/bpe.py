@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 _NEVER = np.int64(1) << 40
 
+# Longer words (in bytes) are merged with a heap.
+SHORT = 48
 # Texts whose words are proposed and verified together.
 TOGETHER = 64
 
@@ -66,7 +69,8 @@ class Codec:
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.rank_of = {(int(a), int(b)): k for k, (a, b, _) in enumerate(merges)}
-        self.made = merges[:, 2]
+        self.made = merges[:, 2].tolist()
+        self.bytes = [self.ids.get(bytes([byte]), -1) for byte in range(256)]
         # When a piece comes into being, and of which two it is made; bytes are there from the start.
         self.born = np.full(self.width, -1, np.int64)
         self.left = np.arange(self.width, dtype=np.int64)
@@ -140,7 +144,23 @@ class Codec:
 
     def merge(self, word: bytes) -> list[int]:
         """The encoding by the merges themselves: lowest rank first, leftmost first."""
-        ids = [self.ids[word[k : k + 1]] for k in range(len(word))]
+        ids = [self.bytes[byte] for byte in word]
+        if len(ids) > SHORT:
+            return self._merge_long(ids)
+        rank_of, never = self.rank_of.get, len(self.made)
+        ranks = [rank_of(pair, never) for pair in zip(ids, ids[1:])]
+        while ranks and (rank := min(ranks)) < never:
+            k = ranks.index(rank)
+            ids[k : k + 2] = [self.made[rank]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank_of((ids[k - 1], ids[k]), never)
+            if k < len(ranks):
+                ranks[k] = rank_of((ids[k], ids[k + 1]), never)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap of pairs, for long words."""
         after = [*range(1, len(ids)), -1]
         before = [*range(-1, len(ids) - 1)]
         heap = [
@@ -154,7 +174,7 @@ class Codec:
             other = after[k]
             if ids[k] < 0 or other < 0 or self.rank_of.get((ids[k], ids[other])) != rank:
                 continue
-            ids[k], ids[other] = int(self.made[rank]), -1
+            ids[k], ids[other] = self.made[rank], -1
             after[k] = after[other]
             if after[k] >= 0:
                 before[after[k]] = k
@@ -216,6 +236,14 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
+    def decode_all(self, ids: list[int], sizes: list[int | None]) -> list[str | None]:
+        """The texts of several id lists that lie one after the other."""
+        found, place = [], 0
+        for size in sizes:
+            found.append(None if size is None else self.decode(ids[place : place + size]))
+            place += size or 0
+        return found
+
 
 def _codec(shared) -> Codec:
     return kept_in(shared.value, "codec", lambda: Codec(shared.value["vocabulary"]))
@@ -251,10 +279,13 @@ def with_decoded_text(
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(shared)
         for batch in batches:
-            yield pa.array(
-                [codec.decode(ids.values.to_pylist()) if ids.is_valid else None for ids in batch],
-                pa.string(),
-            )
+            texts: list[str | None] = []
+            for start in range(0, len(batch), TOGETHER):
+                part = batch.slice(start, TOGETHER)
+                flat = part.flatten().to_numpy(zero_copy_only=False).tolist()
+                sizes = pc.list_value_length(part).to_pylist()
+                texts += codec.decode_all(flat, sizes)
+            yield pa.array(texts, pa.string())
 
     decoder = F.arrow_udf(decode, "string", F.ArrowUDFType.SCALAR_ITER)
     return frame.withColumn(text_column, decoder(F.col(ids_column)))
