@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import OWN, small, text_key, written
+from gaugeworks.llm.common import OWN, text_key, written
 
 # A cut is the smallest hash among so many bytes on either side; chunks are longer than that.
 AROUND = 16
@@ -244,7 +244,7 @@ def deduplicate_chunks(
         "chunk-first",
     )
     repeats = written(
-        chunks.join(small(first, first.count()), "digest")
+        chunks.join(first.hint("merge"), "digest")
         .filter("first < owner")
         .groupBy("owner")
         .agg(
