@@ -1,16 +1,20 @@
 """N-gram Jaccard join: links of texts whose word-shingle sets are similar, and their groups.
 
+``jaccard_join`` is the join: every link of two different sets with its overlap, and whose set is
+whose. ``jaccard_components`` is a short cut to the groups alone: it leaves out what cannot change
+a group, so it has no full list of links.
+
 Vertical partitioning. All shingles have one global order: those that are not frequent first (by
 hash), the frequent ones after them (by frequency). Only a text's first shingles in that order can
 start a link, so they alone are compared across texts. For the pairs found, both sets are cut into
 fragments of the order; each fragment counts its part of the overlap, and the parts of a pair are
 summed and held against the threshold.
 
-Texts with the same set are one class from the start and are never paired. A list of texts with a
-shingle in common is first tried against one of its texts only; what that joins needs no further
-comparing, and the rest is tried against all texts of its lists in other groups. Pairs whose bitmaps
-(exact lower bounds of the difference) or sizes rule a link out never leave the join. No pair of
-different texts that are similar enough stays unlinked; every filter is a bound, none is a guess.
+Texts with the same set are one class from the start and are never paired. The join tries all pairs
+of a list of texts with a first shingle in common. For the groups alone a list is first tried against
+one of its texts; what that joins needs no further comparing, and the rest is tried against all texts
+of its lists in other groups. Pairs whose bitmaps (exact lower bounds of the difference) or sizes rule
+a link out never leave the join; every filter is a bound, none is a guess.
 
 Edge cases: NULL or word-less text has no shingle and is linked with nothing; fewer words than a
 shingle count as one shingle of all of them; repeated rows and repeated ids are rows of their own
@@ -21,6 +25,7 @@ empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -260,20 +265,46 @@ def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, size: int, pe
     )
 
 
-def jaccard_components(
-    documents: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    size: int = 5,
-    percent: int = 80,
-    with_key: bool = False,
-) -> DataFrame:
-    """One row per document: id, number of shingles, and the smallest id reachable by links;
-    ``with_key`` adds tkey, which tells rows of one id apart (see ``text_key``).
+class _Index(NamedTuple):
+    """The inverted index of first shingles, and what is known of the sets in it."""
 
-    Two texts link when 100 * |intersection| >= percent * |union| of their shingle sets
-    (``size`` words a shingle, A-Z lower-cased, words divided by blanks and control spaces).
-    """
+    texts: DataFrame
+    members: DataFrame
+    lists: DataFrame
+    narrow: DataFrame
+    profile: DataFrame
+    owners: DataFrame
+    size: int
+    percent: int
+
+    def bounded(self, candidates: DataFrame, name: str) -> DataFrame:
+        """Candidate pairs (a, b) that the bounds let pass, with the least their sets differ."""
+        pairs, wide = candidates, [name for name, *_ in WIDE_BITMAPS]
+        for bound, own in ((_may_link, self.narrow), (_may_link_fine, self.profile)):
+            fine = own is self.profile
+            flips = F.coalesce(*(_flips("x", "y", w) for w in wide)) if fine else F.lit(0)
+            pairs = written(
+                pairs.select("a", "b")
+                .join(own.alias("x"), F.col("a") == F.col("x.sid"))
+                .join(own.alias("y"), (F.col("b") == F.col("y.sid")) & bound("x", "y", self.percent))
+                .select(
+                    *("a", "b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")),
+                    flips.alias("flips"),
+                ),
+                f"jaccard-pairs-{name}",
+            )
+        return pairs
+
+    def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs whose overlap is large enough, with the overlap (common)."""
+        pairs = pairs.select("a", "b", "n_a", "n_b")
+        found = _linked(pairs, self.texts, self.owners, self.size, self.percent)
+        return written(found, f"jaccard-links-{name}")
+
+
+def _index(
+    documents: DataFrame, id_column: str, text_column: str, size: int, percent: int
+) -> _Index:
     texts = documents.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(text_column).alias("text"),
@@ -332,29 +363,111 @@ def jaccard_components(
         .agg(F.min(F.struct("doc_id", "tkey")).alias("own"))
         .select("sid", "own.doc_id", "own.tkey")
     )
+    return _Index(texts, members, lists, narrow, profile, owners, size, percent)
 
-    def bounded(candidates: DataFrame, name: str) -> DataFrame:
-        """Candidate pairs (a, b) that the bounds let pass, with the least their sets differ."""
-        pairs = candidates
-        for bound, own in ((_may_link, narrow), (_may_link_fine, profile)):
-            flips = F.coalesce(*(_flips("x", "y", w) for w in wide)) if own is profile else F.lit(0)
-            pairs = written(
-                pairs.select("a", "b")
-                .join(own.alias("x"), F.col("a") == F.col("x.sid"))
-                .join(own.alias("y"), (F.col("b") == F.col("y.sid")) & bound("x", "y", percent))
-                .select(
-                    *("a", "b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")),
-                    flips.alias("flips"),
-                ),
-                f"jaccard-pairs-{name}",
-            )
-        return pairs
+
+def jaccard_join(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    size: int = 5,
+    percent: int = 80,
+) -> tuple[DataFrame, DataFrame]:
+    """All links, and the documents they are between.
+
+    Links: one row (left_set, right_set, left_id, right_id, n_left, n_right, n_common) for every two
+    different shingle sets with 100 * |intersection| >= percent * |union|, once, in the order of
+    the smallest ids that have them (NULL last). Documents of one set are linked with each other
+    without a row of their own.
+    Members: one row (id, tkey, n_shingles, set_id, class_id, n_links) per document; class_id is the
+    smallest id of its set, n_links the number of other documents it is linked with. Documents
+    without shingles have no set and no links.
+
+    There are as many link rows as links: in a group of k different texts up to k * (k - 1) / 2.
+    """
+    index = _index(documents, id_column, text_column, size, percent)
+    full = index.lists.select("sid", "shingle").join(index.narrow, "sid")
+    pairs = (
+        full.alias("x")
+        .join(
+            full.alias("y"),
+            (F.col("x.shingle") == F.col("y.shingle"))
+            & (F.col("x.sid") < F.col("y.sid"))
+            & _may_link("x", "y", percent),
+        )
+        .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
+        .distinct()
+    )
+    found = index.confirmed(index.bounded(pairs, "all"), "all")
+    classes = written(
+        index.members.filter("n > 0")
+        .groupBy("sid")
+        .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")),
+        "jaccard-classes",
+    )
+
+    def of(side: str) -> DataFrame:
+        return classes.select(
+            F.col("sid").alias(side),
+            F.col("class_id").alias(f"{side}_id"),
+            F.col("copies").alias(f"{side}_copies"),
+        )
+
+    named = written(found.join(of("a"), "a").join(of("b"), "b"), "jaccard-named")
+    least = F.when(F.col("a_id").eqNullSafe(F.col("b_id")), F.col("a") < F.col("b")).otherwise(
+        F.coalesce(F.col("a_id") < F.col("b_id"), F.col("b_id").isNull())
+    )
+    ordered = {"set": ("a", "b"), "id": ("a_id", "b_id"), "n": ("n_a", "n_b")}
+
+    def sided(name: str, side: str):
+        first, second = ordered[name] if side == "left" else reversed(ordered[name])
+        label = f"n_{side}" if name == "n" else f"{side}_{name}"
+        return F.when(least, F.col(first)).otherwise(F.col(second)).alias(label)
+
+    links = named.select(
+        *(sided(name, side) for name in ordered for side in ("left", "right")),
+        F.col("common").cast("long").alias("n_common"),
+    )
+    counted = (
+        named.select(F.col("a").alias("sid"), F.col("b_copies").alias("others"))
+        .union(named.select("b", "a_copies"))
+        .groupBy("sid")
+        .agg(F.sum("others").alias("others"))
+    )
+    classed = classes.join(counted, "sid", "left")
+    members = index.members.join(classed, "sid", "left").select(
+        F.col("doc_id").alias(id_column),
+        "tkey",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("sid")).alias("set_id"),
+        "class_id",
+        F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).alias("n_links"),
+    )
+    return links, members
+
+
+def jaccard_components(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    size: int = 5,
+    percent: int = 80,
+    with_key: bool = False,
+) -> DataFrame:
+    """One row per document: id, number of shingles, and the smallest id reachable by links;
+    ``with_key`` adds tkey, which tells rows of one id apart (see ``text_key``).
+
+    Two texts link when 100 * |intersection| >= percent * |union| of their shingle sets
+    (``size`` words a shingle, A-Z lower-cased, words divided by blanks and control spaces).
+
+    A short cut to the groups: pairs whose texts are in one group already are neither verified nor
+    listed, so the links found here join all groups but are not all links; see ``jaccard_join``.
+    """
+    index = _index(documents, id_column, text_column, size, percent)
+    members, lists, narrow, bounded = index.members, index.lists, index.narrow, index.bounded
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs whose overlap is large enough."""
-        pairs = pairs.select("a", "b", "n_a", "n_b")
-        found = _linked(pairs, texts, owners, size, percent)
-        return written(found, f"jaccard-links-{name}").select("a", "b")
+        return index.confirmed(pairs, name).select("a", "b")
 
     def grouping(edges: DataFrame, name: str) -> DataFrame:
         return components(edges, f"jaccard-{name}").withColumnRenamed("node", "sid")

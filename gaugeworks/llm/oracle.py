@@ -105,6 +105,23 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles,
        least(d.doc_id, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id)) AS component_id
 FROM docs d LEFT JOIN sizes USING (doc_id)"""
 
+# Links of different sets, each set named by its smallest id.
+NGRAM_JACCARD_JOIN = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + least(len(w), 5) - 1], ' ') AS s
+  FROM docs, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS r(k) WHERE len(w) > 0),
+sets AS (
+  SELECT min(doc_id) AS id, shingles FROM (
+    SELECT doc_id, list(s ORDER BY s) AS shingles FROM shingles GROUP BY doc_id)
+  GROUP BY shingles),
+each AS (SELECT id, len(shingles) AS n, unnest(shingles) AS s FROM sets)
+SELECT x.id AS left_id, y.id AS right_id, x.n AS n_left, y.n AS n_right, count(*) AS n_common
+FROM each x JOIN each y ON x.s = y.s AND x.id < y.id GROUP BY ALL
+HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -112,4 +129,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_perspectives": CHAT_PERSPECTIVES,
         "op8_benchmark_decontamination": BENCHMARK_DECONTAMINATION,
         "op10_ngram_jaccard": NGRAM_JACCARD,
+        "op10_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
     }

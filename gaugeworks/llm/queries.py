@@ -12,7 +12,7 @@ from gaugeworks.llm.chunk_dedup import deduplicate_chunks
 from gaugeworks.llm.common import OWN, written
 from gaugeworks.llm.decontaminate import contamination
 from gaugeworks.llm.hilbert_shards import assign_shards, order_key
-from gaugeworks.llm.jaccard import jaccard_components
+from gaugeworks.llm.jaccard import jaccard_components, jaccard_join
 from gaugeworks.llm.language import learn_languages, with_language
 from gaugeworks.llm.oracle import oracle_sql
 from gaugeworks.llm.perspectives import rotate_perspectives
@@ -141,6 +141,11 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links, _ = jaccard_join(_table(spark, sf_dir, "documents"))
+    return links.select("left_id", "right_id", "n_left", "n_right", "n_common")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": token_counts,
@@ -156,4 +161,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-__all__ = ["oracle_sql", "queries"]
+def more_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Further results of the operators, checked like the first ten."""
+    return {"op10_ngram_jaccard_join": ngram_jaccard_join}
+
+
+__all__ = ["more_queries", "oracle_sql", "queries"]

@@ -130,10 +130,64 @@ def test_jaccard_many_near_copies_of_one_text(spark):
     assert {(r.doc_id, r.component_id) for r in got.collect()} == {(k, root(k)) for k in sets}
 
 
+def joined(texts):
+    """Brute force: links {(left, right): overlap} of different sets, and links per document."""
+    sets = [(k, shingles(t)) for k, t in texts]
+    classes = {}
+    for k, s in sets:
+        if s:
+            classes.setdefault(frozenset(s), []).append(k)
+    least = {s: min((k for k in ks if k is not None), default=None) for s, ks in classes.items()}
+    near = {s: [] for s in classes}
+    links = Counter()
+    for a in classes:
+        for b in classes:
+            if a != b and 100 * len(a & b) >= 80 * len(a | b):
+                near[a].append(b)
+                if least[a] < least[b]:
+                    links[least[a], least[b], len(a), len(b), len(a & b)] += 1
+    members = Counter()
+    for k, s in sets:
+        others = near.get(frozenset(s), [])
+        n_links = len(classes[frozenset(s)]) - 1 + sum(len(classes[o]) for o in others) if s else 0
+        members[k, len(s), least[frozenset(s)] if s else None, n_links] += 1
+    return links, members
+
+
+LINK = ("left_id", "right_id", "n_left", "n_right", "n_common")
+MEMBER = ("doc_id", "n_shingles", "class_id", "n_links")
+
+
+def test_jaccard_join_equals_brute_force(docs):
+    links, members = jaccard.jaccard_join(docs)
+    want_links, want_members = joined(ROWS)
+    assert want_links and rows_of(links, *LINK) == want_links
+    assert rows_of(members, *MEMBER) == want_members
+
+
+def test_jaccard_join_has_all_links_of_a_large_group(spark):
+    """Links inside a group that a few of them already connect, with copies."""
+    texts = []
+    for k in range(120):
+        words = [f"w{j}" for j in range(80)]
+        if k % 4:
+            words[(k * 13) % 80] = f"x{k}"
+        texts.append((k, " ".join(words)))
+    frame = spark.createDataFrame(texts, SCHEMA).repartition(5)
+    links, members = jaccard.jaccard_join(frame)
+    want_links, want_members = joined(texts)
+    assert len(want_links) > 900 and rows_of(links, *LINK) == want_links
+    assert rows_of(members, *MEMBER) == want_members
+
+
 def test_jaccard_of_nothing(empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_jaccard_join_of_nothing(empty):
+    assert [frame.count() for frame in jaccard.jaccard_join(empty)] == [0, 0]
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)]
     got = common.components(spark.createDataFrame(edges, "a long, b long"), "t")
