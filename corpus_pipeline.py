@@ -7,7 +7,7 @@ the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.bpe import read_vocabulary, with_decoded_text, with_token_ids
@@ -34,22 +34,57 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs.select(*COLUMNS), rules)
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose id and text key are not in ``gone``."""
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{OWN}id")) & (
+def _same() -> Column:
+    """Whether a document has the id and text key of a row of names (see ``_names``)."""
+    return F.col("doc_id").cast("long").eqNullSafe(F.col(f"{OWN}id")) & (
         text_key() == F.col(f"{OWN}key")
     )
+
+
+def _names(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("doc_id").alias(f"{OWN}id"), F.col("tkey").alias(f"{OWN}key"))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose id and text key are not in ``gone``."""
     gone = written(gone.distinct(), "pipeline-gone")
-    return docs.join(small(gone, gone.count()), same, "left_anti").select(*COLUMNS)
+    return docs.join(small(gone, gone.count()), _same(), "left_anti").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of similar texts, and all without shingles."""
+    """One row of every group of similar texts, and all rows without shingles.
+
+    The row with the smallest id stays (NULL last), of one id that with the smallest text key, and of
+    rows equal in both a single one, the smallest by the other columns.
+    """
     groups = jaccard_components(docs, with_key=True)
-    gone = groups.filter("n_shingles > 0 and component_id <> doc_id").select(
-        F.col("doc_id").alias(f"{OWN}id"), F.col("tkey").alias(f"{OWN}key")
+    keys = written(
+        groups.filter("n_shingles > 0")
+        .groupBy("group", "doc_id", "tkey")
+        .agg(F.count("*").alias("copies")),
+        "pipeline-groups",
+    )
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tkey", "copies")
+    kept = written(
+        keys.groupBy("group").agg(F.min(first).alias("own")).select("group", "own.*"),
+        "pipeline-kept",
     )
-    return _without(docs, gone)
+    others = keys.alias("k").join(
+        kept.alias("o"),
+        (F.col("k.group") == F.col("o.group"))
+        & (F.col("k.tkey") == F.col("o.tkey"))
+        & F.col("k.doc_id").eqNullSafe(F.col("o.doc_id")),
+        "left_anti",
+    )
+    repeated = written(_names(kept.filter("copies > 1")), "pipeline-repeated")
+    alone = _without(docs, _names(others).union(repeated))
+    order = ("doc_id", *(name for name in COLUMNS if name not in ("doc_id", "text")), "text")
+    single = (
+        docs.join(small(repeated, repeated.count()), _same(), "left_semi")
+        .groupBy("doc_id", text_key().alias("tkey"))
+        .agg(F.min(F.struct(*order)).alias("row"))
+    )
+    return alone.union(single.select(*(f"row.{name}" for name in COLUMNS)))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,10 +101,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with the benchmark."""
     hits = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaked = hits.filter(F.size("hit_words") > 0).select(
-        F.col("doc_id").alias(f"{OWN}id"), F.col("tkey").alias(f"{OWN}key")
-    )
-    return _without(docs, leaked)
+    return _without(docs, _names(hits.filter(F.size("hit_words") > 0)))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -455,7 +455,8 @@ def jaccard_components(
     with_key: bool = False,
 ) -> DataFrame:
     """One row per document: id, number of shingles, and the smallest id reachable by links;
-    ``with_key`` adds tkey, which tells rows of one id apart (see ``text_key``).
+    ``with_key`` adds tkey, which tells rows of one id apart (see ``text_key``), and group, which
+    tells groups apart whose rows have no id or one id.
 
     Two texts link when 100 * |intersection| >= percent * |union| of their shingle sets
     (``size`` words a shingle, A-Z lower-cased, words divided by blanks and control spaces).
@@ -534,5 +535,5 @@ def jaccard_components(
         F.col("doc_id").alias(id_column),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        *(["tkey"] if with_key else []),
+        *(["tkey", F.col("component").alias("group")] if with_key else []),
     )

@@ -120,3 +120,24 @@ def test_pipeline_equals_brute_force_stage_by_stage(spark):
     for key, row in last.items():
         assert row.token_ids == library.encode(texts[4][key], add_special_tokens=False).ids
     assert steps[5].filter(F.size("token_ids") != F.col("n_tokens")).count() == 0
+
+
+def test_one_row_of_a_group_stays_with_null_ids_and_repeated_rows(spark):
+    base = [" ".join(f"{name}{k}" for k in range(60)) for name in "abcde"]
+    near = [text.replace("30 ", "30x ") for text in base]
+    rows = [
+        *[(1, base[0], "en"), (None, base[0], "en"), (None, near[0], "en"), (9, near[0], "en")],
+        *[(None, base[1], "en"), (None, base[1], "de"), (None, near[1], "en"), (None, base[1], "en")],
+        *[(3, base[2], "en")] * 3,
+        *[(4, base[3], "en"), (4, near[3], "en"), (4, base[4], "en"), (5, base[4], "en")],
+        *[(6, None, "en"), (None, None, "en"), (7, " ", "en")],
+    ]
+    docs = spark.createDataFrame(
+        [(k, t, lang, "s", len(t or "")) for k, t, lang in rows],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    kept = corpus_pipeline.near_duplicates(spark, docs.repartition(4), SF_DIR)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, (r.text or "-")[0]) for r in kept.collect()), key=str)
+    want = [(1, "a"), (None, "b"), (3, "c"), (4, "d"), (4, "e"), (6, "-"), (None, "-"), (7, " ")]
+    assert got == sorted(want, key=str)
