@@ -6,9 +6,10 @@ a group, so it has no full list of links.
 
 Vertical partitioning. All shingles have one global order: those that are not frequent first (by
 hash), the frequent ones after them (by frequency). Only a text's first shingles in that order can
-start a link, so they alone are compared across texts. For the pairs found, both sets are cut into
-fragments of the order; each fragment counts its part of the overlap, and the parts of a pair are
-summed and held against the threshold.
+start a link, so they alone are compared across texts: candidates come from this prefix index. For the
+pairs found, both sets are cut into fragments, which are plain ranges of the shingle hash and not of
+the global order; each fragment counts its part of the overlap, and the parts of a pair are summed
+and held against the threshold. No fragment looks for pairs by itself.
 
 Texts with the same set are one class from the start and are never paired. The join tries all pairs
 of a list of texts with a first shingle in common. For the groups alone a list is first tried against
@@ -157,7 +158,7 @@ def _prefixes(size: int, percent: int, frequent):
 
 
 def _fragments(size: int):
-    """Every set cut at fixed places of the order: rows (sid, fragment, shingles)."""
+    """Every set cut at fixed hashes: rows (sid, fragment, shingles)."""
     shift = np.uint64(64 - (FRAGMENTS.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
