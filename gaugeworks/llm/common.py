@@ -129,3 +129,21 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         labels = following.select("node", "component")
         if not changed:
             return labels
+
+
+def set_aside(frame: DataFrame, *names: str) -> DataFrame:
+    """The frame with columns that are named like one to be added renamed to ``<name>_in``.
+
+    Names are compared as Spark does, without case; underscores are added until the name is free.
+    """
+    added = {name.lower() for name in names}
+    taken = added | {name.lower() for name in frame.columns}
+    columns = []
+    for name in frame.columns:
+        if name.lower() in added:
+            name += "_in"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+        columns.append(name)
+    return frame.toDF(*columns) if columns != frame.columns else frame

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.bpe import read_vocabulary, with_decoded_text, with_token_ids
 from gaugeworks.llm.chunk_dedup import deduplicate_chunks
 from gaugeworks.llm.common import OWN, written
 from gaugeworks.llm.decontaminate import contamination
+from gaugeworks.llm.fill_in_middle import store_frames, with_digests, with_plan
 from gaugeworks.llm.hilbert_shards import assign_shards, order_key
 from gaugeworks.llm.jaccard import jaccard_components, jaccard_join
 from gaugeworks.llm.language import learn_languages, with_language
@@ -24,6 +25,8 @@ from gaugeworks.llm.quality_rules import (
     rule_number,
     with_statistics,
 )
+from gaugeworks.llm.secret_scan import BASE_RULES, with_secrets
+from gaugeworks.llm.spelling import spelling_variants, word_counts
 from gaugeworks.llm.token_counts import byte_vocabulary, with_token_counts
 from gaugeworks.llm.url_rules import ALLOW, BLOCK, judge_urls
 
@@ -146,6 +149,45 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.select("left_id", "right_id", "n_left", "n_right", "n_common")
 
 
+def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_secrets(documents).drop("text")
+    base = [rule.kind for rule in BASE_RULES]
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def of(*kinds: str) -> Column:
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(joined(of(*base)).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
+def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(_table(spark, sf_dir, "documents"), spoil_every=97))
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    stored = written(store_frames(documents), "middle-frames")
+    return with_digests(with_plan(stored)).select(
+        "doc_id",
+        F.col("stored")["n_units"].alias("n"),
+        "form",
+        F.col("from_char").alias("prefix_chars"),
+        (F.col("to_char") - F.col("from_char")).alias("middle_chars"),
+        "output_sha256",
+        "restored_sha256",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": token_counts,
@@ -158,6 +200,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": benchmark_decontamination,
         "op9_language_id": language_id,
         "op10_ngram_jaccard": ngram_jaccard,
+        "op11_secret_scans": secret_scans,
+        "op12_spelling_variants": spelling_groups,
+        "op13_fill_in_middle": fill_in_middle,
     }
 
 

@@ -35,8 +35,8 @@ def test_query_equals_its_sql(spark, con, name):
     assert check_queries.compare(spark, con, SF_DIR, name) is None
 
 
-def test_ten_queries_and_five_stages():
-    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 11)]
+def test_one_query_per_operator_and_five_stages():
+    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 14)]
     assert len(corpus_pipeline.STAGES) == 5
 
 
