@@ -39,6 +39,10 @@ VISITORS = 1 << 17
 # Fewer words below a node are compared with the visitors' whole vectors at once.
 FEW = 24
 
+# Letters up to which words are compared as rows of one array, and pairs compared at once.
+WIDE = 40
+TOGETHER = 1 << 16
+
 # Distinct words that a task counts before it hands them on; bounds the memory, not the result.
 COUNTED = 1 << 18
 
@@ -145,6 +149,59 @@ def near(a: str, b: str) -> bool:
     return a[same + (len(a) == len(b)) :] == b[same + 1 :]
 
 
+def letter_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of each word up to ``WIDE``, padded with zeros, and the words' lengths."""
+    sizes = np.array([len(word) for word in words])
+    text = "".join(word[:WIDE].ljust(WIDE, "\x00") for word in words)
+    rows = np.frombuffer(text.encode("latin-1"), np.uint8).reshape(len(words), WIDE)
+    return rows, sizes
+
+
+def are_near(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """``near`` for rows of letters; words longer than ``WIDE`` count as not near."""
+    (a, size_a), (b, size_b) = a, b
+    fits = (np.abs(size_a - size_b) <= 1) & (np.maximum(size_a, size_b) <= WIDE)
+    differ = a != b
+    found = fits & (size_a == size_b) & (differ.sum(1) == 1)
+    # One letter more: the words agree up to a place, and from there on shifted by one.
+    first = np.where(differ.any(1), differ.argmax(1), WIDE)
+    for longer, shorter, more in ((a, b, size_a - size_b), (b, a, size_b - size_a)):
+        one = np.flatnonzero(fits & (more == 1))
+        shifted = longer[one, 1:] != shorter[one, :-1]
+        last = np.where(shifted.any(1), WIDE - 1 - shifted[:, ::-1].argmax(1), 0)
+        found[one] = last <= first[one]
+    return found
+
+
+def verified(names: list[str], asking: list[str], pairs: Iterator) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (visitors, members) of leaf words that are near, checked many at a time."""
+    mine, theirs = letter_rows(asking), letter_rows(names)
+    short = [np.array([len(word) <= WIDE for word in words]) for words in (asking, names)]
+    kept_who, kept_which = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    some: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def check() -> None:
+        who = np.concatenate([pair[0] for pair in some])
+        which = np.concatenate([pair[1] for pair in some])
+        some.clear()
+        good = are_near((mine[0][who], mine[1][who]), (theirs[0][which], theirs[1][which]))
+        for k in np.flatnonzero(~(short[0][who] & short[1][which])).tolist():
+            good[k] = near(asking[who[k]], names[which[k]])
+        kept_who.append(who[good])
+        kept_which.append(which[good])
+
+    waiting = 0
+    for pair in pairs:
+        some.append(pair)
+        waiting += len(pair[0])
+        if waiting >= TOGETHER:
+            check()
+            waiting = 0
+    if some:
+        check()
+    return np.concatenate(kept_who), np.concatenate(kept_which)
+
+
 def _prefixes(words: DataFrame, group: list[int], groups: int) -> DataFrame:
     """The words with their vectors as text, so that the path to a node is a prefix."""
 
@@ -249,19 +306,20 @@ def _search(group: list[int], groups: int):
         order = np.lexsort(trie.T[::-1])
         names = [names[k] for k in order]
         counts = [counts[k] for k in order]
-        found: dict[int, list] = {}
-        for who, which in leaves(trie[order], vectors(asking, group, groups)):
-            for visitor, member in zip(who.tolist(), which.tolist()):
-                if near(asking[visitor], names[member]):
-                    best = found.setdefault(visitor, [0, (0, "")])
-                    best[0] += 1
-                    best[1] = min(best[1], (-counts[member], names[member]))
+        reached_pairs = leaves(trie[order], vectors(asking, group, groups))
+        who, which = verified(names, asking, reached_pairs)
+        # The commonest near word of each visitor first, of equal ones the smallest.
+        place = np.empty(len(names), np.int64)
+        place[sorted(range(len(names)), key=lambda k: (-counts[k], names[k]))] = range(len(names))
+        by_place = np.lexsort((place[which], who))
+        visitor, first, number = np.unique(who[by_place], return_index=True, return_counts=True)
+        best = which[by_place][first].tolist()
         return pa.table(
             {
-                "word": [asking[visitor] for visitor in found],
-                "n_near": [number for number, _ in found.values()],
-                "form": [name for _, (_, name) in found.values()],
-                "form_n": [-count for _, (count, _) in found.values()],
+                "word": [asking[k] for k in visitor.tolist()],
+                "n_near": number,
+                "form": [names[k] for k in best],
+                "form_n": [counts[k] for k in best],
             },
             schema,
         )
