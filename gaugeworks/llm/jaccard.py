@@ -5,16 +5,16 @@ whose. ``jaccard_components`` is a short cut to the groups alone: it leaves out
 a group, so it has no full list of links.
 
 Vertical partitioning. All shingles have one global order: those that are not frequent first (by
-hash), the frequent ones after them (by frequency). Only a text's first shingles in that order can
-start a link, so they alone are compared across texts: candidates come from this prefix index. For the
-pairs found, both sets are cut into fragments, which are plain ranges of the shingle hash and not of
-the global order; each fragment counts its part of the overlap, and the parts of a pair are summed
-and held against the threshold. No fragment looks for pairs by itself.
+hash), the frequent ones after them (by frequency). The order is cut at pivots of equal weight into
+fragments. Only a text's first shingles in the order can start a link, so they alone are compared
+across texts to find pairs; each fragment then counts its part of the overlap of a pair by itself, and
+the parts of a pair are summed and held against the threshold.
 
 Texts with the same set are one class from the start and are never paired. The join tries all pairs
 of a list of texts with a first shingle in common. For the groups alone a list is first tried against
 one of its texts; what that joins needs no further comparing, and the rest is tried against all texts
-of its lists in other groups. Pairs whose bitmaps (exact lower bounds of the difference) or sizes rule
+of its lists in other groups. Lists with the same texts count once, and a pair that has several lists
+in common is made in the first of them only. Pairs whose bitmaps (exact lower bounds of the difference) or sizes rule
 a link out never leave the join; every filter is a bound, none is a guess.
 
 Edge cases: NULL or word-less text has no shingle and is linked with nothing; fewer words than a
@@ -45,7 +45,9 @@ from gaugeworks.llm.common import (
 )
 
 # Shingles of the order's tail, ranked by frequency; any number gives the same links.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
+# Sets of one batch that have a shingle, from which on it is counted as frequent.
+OFTEN = 3
 # Words of the bitmap that bounds how much two sets differ.
 BITMAP_LONGS = 8
 # Finer bitmaps by the size of a set, used where both sets of a pair have them: name, words, sizes.
@@ -84,9 +86,11 @@ def _summaries(size: int):
         for batch in batches:
             sets = list(_sets(batch, size, hashes))
             count = len(sets)
-            all_values = np.concatenate([*sets, np.empty(0, np.uint64)])
+            ids = [_set_id(s) for s in sets]
+            distinct = dict(zip(ids, sets, strict=True)).values()
+            all_values = np.concatenate([*distinct, np.empty(0, np.uint64)])
             values, often = np.unique(all_values, return_counts=True)
-            chosen = often >= max(3, len(all_values) // FREQUENT)
+            chosen = often >= OFTEN
             values, often = values[chosen], often[chosen]
             blank = pa.nulls(len(values), pa.int64())
             gap = pa.nulls(count, pa.int64())
@@ -95,7 +99,7 @@ def _summaries(size: int):
                     pa.concat_arrays([batch.column("doc_id").cast(pa.int64()), blank]),
                     pa.concat_arrays([batch.column("tkey"), blank]),
                     pa.concat_arrays([pa.array([len(s) for s in sets], pa.int64()), blank]),
-                    pa.concat_arrays([pa.array([_set_id(s) for s in sets], pa.int64()), blank]),
+                    pa.concat_arrays([pa.array(ids, pa.int64()), blank]),
                     pa.concat_arrays([gap, pa.array(_signed(values))]),
                     pa.concat_arrays([gap, pa.array(often.astype(np.int64))]),
                 ],
@@ -117,7 +121,7 @@ def _prefixes(size: int, percent: int, frequent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
-        known, rank = frequent.value
+        known, rank, _ = frequent.value
         for batch in batches:
             sids, sizes, maps, firsts = [], [], [], []
             wide: dict[str, list] = {name: [] for name, *_ in WIDE_BITMAPS}
@@ -130,9 +134,7 @@ def _prefixes(size: int, percent: int, frequent):
                 seen.add(sid)
                 length = len(values) - (len(values) * percent + 99) // 100 + 1
                 if len(known):
-                    place = np.minimum(np.searchsorted(known, values), len(known) - 1)
-                    ranks = np.where(known[place] == values, rank[place], 0)
-                    values = values[np.argsort(ranks, kind="stable")]
+                    values = values[np.argsort(_ranks(values, known, rank), kind="stable")]
                 sids.append(sid)
                 sizes.append(len(values))
                 maps.append(bitmap(values))
@@ -157,12 +159,45 @@ def _prefixes(size: int, percent: int, frequent):
     return run
 
 
-def _fragments(size: int):
-    """Every set cut at fixed hashes: rows (sid, fragment, shingles)."""
-    shift = np.uint64(64 - (FRAGMENTS.bit_length() - 1))
+def pivots(plain: int, often: np.ndarray, fragments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the global order is cut into fragments of equal weight: hashes, then frequencies.
+
+    ``plain`` occurrences are of shingles that are not ranked, spread evenly over the hashes;
+    ``often`` are the occurrences of the ranked ones.
+    """
+    often = np.sort(often)
+    total, summed = plain + int(often.sum()), np.cumsum(often)
+    hashes, ranks = [], []
+    for weight in (total * k // fragments for k in range(1, fragments)):
+        if weight < plain:
+            hashes.append((weight << 64) // plain)
+        elif len(often):
+            ranks.append(often[min(np.searchsorted(summed, weight - plain), len(often) - 1)])
+    return np.array(hashes, np.uint64), np.unique(np.array(ranks, np.int64))
+
+
+def _ranks(values: np.ndarray, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The frequency of each shingle as far as it is ranked, else 0."""
+    if not len(known):
+        return np.zeros(len(values), np.int64)
+    place = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return np.where(known[place] == values, rank[place], 0)
+
+
+def fragments_of(values: np.ndarray, ranks: np.ndarray, cuts: tuple) -> np.ndarray:
+    """The fragment of the global order that each shingle is in."""
+    hashes, often = cuts
+    plain = np.searchsorted(hashes, values, "right")
+    ranked = len(hashes) + np.searchsorted(often, ranks, "right")
+    return np.where(ranks == 0, plain, ranked)
+
+
+def _fragments(size: int, order):
+    """Every set cut at the pivots of the global order: rows (sid, fragment, shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
+        known, rank, cuts = order.value
         for batch in batches:
             sids, places, parts = [], [], []
             for sid, values in zip(
@@ -173,12 +208,11 @@ def _fragments(size: int):
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(sid)
-                cuts = np.searchsorted(values >> shift, np.arange(1, FRAGMENTS, dtype=np.uint64))
-                for place, part in enumerate(np.split(values, cuts)):
-                    if len(part):
-                        sids.append(sid)
-                        places.append(place)
-                        parts.append(_signed(part))
+                fragment = fragments_of(values, _ranks(values, known, rank), cuts)
+                for place in np.unique(fragment).tolist():
+                    sids.append(sid)
+                    places.append(place)
+                    parts.append(_signed(values[fragment == place]))
             flat = np.concatenate([*parts, np.empty(0, np.int64)])
             ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -223,7 +257,9 @@ def _may_link(left: str, right: str, percent: int):
     )
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, size: int, percent: int):
+def _linked(
+    pairs: DataFrame, texts: DataFrame, owners: DataFrame, order, size: int, percent: int
+) -> DataFrame:
     """The pairs (a, b, n_a, n_b) whose overlap, summed over the fragments, is large enough."""
     wanted = written(
         pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), "jaccard-wanted"
@@ -239,7 +275,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, size: int, pe
         .select("o.sid", "t.text")
     )
     segments = written(
-        found.mapInArrow(_fragments(size), "sid long, fragment int, shingles array<long>"),
+        found.mapInArrow(_fragments(size, order), "sid long, fragment int, shingles array<long>"),
         "jaccard-fragments",
     )
     left = segments.select(
@@ -266,6 +302,12 @@ def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, size: int, pe
     )
 
 
+def _first_in_common(left: str, right: str):
+    """Whether the list that a pair meets in is the first one that both have."""
+    both = F.array_intersect(f"{left}.shingles", f"{right}.shingles")
+    return F.array_min(both) == F.col(f"{left}.shingle")
+
+
 class _Index(NamedTuple):
     """The inverted index of first shingles, and what is known of the sets in it."""
 
@@ -275,6 +317,7 @@ class _Index(NamedTuple):
     narrow: DataFrame
     profile: DataFrame
     owners: DataFrame
+    order: object
     size: int
     percent: int
 
@@ -299,7 +342,7 @@ class _Index(NamedTuple):
     def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs whose overlap is large enough, with the overlap (common)."""
         pairs = pairs.select("a", "b", "n_a", "n_b")
-        found = _linked(pairs, self.texts, self.owners, self.size, self.percent)
+        found = _linked(pairs, self.texts, self.owners, self.order, self.size, self.percent)
         return written(found, f"jaccard-links-{name}")
 
 
@@ -326,16 +369,23 @@ def _index(
         .toPandas()
     )
     known = frequent["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(known)
-    tail = broadcast_value(
-        documents.sparkSession, (known[order], frequent["often"].to_numpy(np.int64)[order])
+    often = frequent["often"].to_numpy(np.int64)
+    total = members.agg(F.sum("n")).first()[0] or 0
+    by_hash = np.argsort(known)
+    order = broadcast_value(
+        documents.sparkSession,
+        (
+            known[by_hash],
+            often[by_hash],
+            pivots(max(0, total - int(often.sum())), often, FRAGMENTS),
+        ),
     )
     maps = [f"b{k} long" for k in range(BITMAP_LONGS)]
     wide = [name for name, *_ in WIDE_BITMAPS]
     shapes = [*maps, *(f"{name} array<long>" for name in wide)]
     prefixes = written(
         texts.select("text").mapInArrow(
-            _prefixes(size, percent, tail),
+            _prefixes(size, percent, order),
             f"sid long, n long, {', '.join(shapes)}, prefix array<long>",
         ),
         "jaccard-prefixes",
@@ -349,9 +399,20 @@ def _index(
         .select("shingle", "hub"),
         "jaccard-shared",
     )
-    lists = written(
-        starts.join(shared.hint("merge"), "shingle").distinct(), "jaccard-lists"
+    whole = written(starts.join(shared.hint("merge"), "shingle").distinct(), "jaccard-whole")
+    # Lists of the same sets, as all shingles of a shared passage have them, count once.
+    chosen = (
+        whole.groupBy("shingle")
+        .agg(
+            F.count("*").alias("sets"),
+            F.bit_xor(F.xxhash64("sid")).alias("one"),
+            F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("two"),
+        )
+        .groupBy("sets", "one", "two")
+        .agg(F.min("shingle").alias("shingle"))
+        .select("shingle")
     )
+    lists = written(whole.join(chosen.hint("merge"), "shingle", "left_semi"), "jaccard-lists")
     listed = lists.select("sid").distinct()
     profile = written(
         prefixes.drop("prefix").join(small(listed, listed.count()), "sid").dropDuplicates(["sid"]),
@@ -364,7 +425,7 @@ def _index(
         .agg(F.min(F.struct("doc_id", "tkey")).alias("own"))
         .select("sid", "own.doc_id", "own.tkey")
     )
-    return _Index(texts, members, lists, narrow, profile, owners, size, percent)
+    return _Index(texts, members, lists, narrow, profile, owners, order, size, percent)
 
 
 def jaccard_join(
@@ -496,8 +557,19 @@ def jaccard_components(
     groups = grouping(links, "joined")
     # What is not in its hub's group is held against all of the list in other groups: first the
     # likeliest pair of every two groups, then every pair whose groups are still two.
-    grouped = narrow.join(groups, "sid", "left").withColumn("component", own)
-    full = written(lists.join(grouped, "sid"), "jaccard-grouped")
+    # Only lists with texts of two groups matter by now.
+    grouped = written(
+        lists.join(groups, "sid", "left").withColumn("component", own), "jaccard-grouped"
+    )
+    mixed = (
+        grouped.groupBy("shingle")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high")
+        .select("shingle")
+    )
+    left = written(grouped.join(mixed.hint("merge"), "shingle", "left_semi"), "jaccard-mixed")
+    listed = left.groupBy("sid").agg(F.array_sort(F.collect_list("shingle")).alias("shingles"))
+    full = written(left.join(narrow, "sid").join(listed, "sid"), "jaccard-full")
     minor = full.join(of(groups, "hub"), "hub", "left").filter(split)
     rest = (
         minor.alias("x")
@@ -505,7 +577,8 @@ def jaccard_components(
             full.alias("y"),
             (F.col("x.shingle") == F.col("y.shingle"))
             & (F.col("x.component") != F.col("y.component"))
-            & _may_link("x", "y", percent),
+            & _may_link("x", "y", percent)
+            & _first_in_common("x", "y"),
         )
         .select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))
         .distinct()
