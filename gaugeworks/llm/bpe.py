@@ -6,8 +6,9 @@ exactly if every two neighbours are what BPE makes of the two of them. Only word
 pair go through the merges.
 
 Edge cases: NULL encodes like empty text, to no ids; special tokens in a text become their ids, as the
-file's own added tokens ask for; very long words merge in n log n; ids outside the vocabulary raise;
-all rows and columns are kept.
+file's own added tokens ask for; very long texts and words are encoded whole, words merging in
+n log n; repeated rows give repeated results; ids outside the vocabulary raise; an empty table gives an
+empty one. All rows and columns are kept, a column of the input named like a new one as ``<name>_in``.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import WORD_MEMORY, broadcast_value, kept_in
+from gaugeworks.llm.common import OWN, broadcast_value, kept_in, set_aside
 from gaugeworks.llm.token_counts import byte_alphabet
 
 # Fixed value: how byte-level BPE files of this kind cut text into words.
@@ -35,6 +36,9 @@ _NEVER = np.int64(1) << 40
 SHORT = 48
 # Texts whose words are proposed and verified together.
 TOGETHER = 64
+# Bytes of encoded words that a task remembers, with what Python needs for an entry beside its text.
+KNOWN_BYTES = 48 << 20
+ENTRY_BYTES = 200
 
 
 def read_vocabulary(path: str) -> dict:
@@ -93,6 +97,11 @@ class Codec:
             else None
         )
         self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.known_bytes = 0
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left * self.width + right
@@ -204,7 +213,8 @@ class Codec:
         starts = ends - sizes
         for name, guess, bad in zip(names, guesses, wrong[ends - 1] - wrong[starts], strict=True):
             exact = self.merge(name.encode()) if bad else guess
-            self.known[name] = np.array(exact, np.int32).tobytes()
+            self.known[name] = packed = np.array(exact, np.int32).tobytes()
+            self.known_bytes += ENTRY_BYTES + 2 * len(name) + len(packed)
 
     def parts(self, text: str) -> Iterator[tuple[list[str], int | None]]:
         """Words up to each special token, and its id."""
@@ -218,11 +228,9 @@ class Codec:
         """The ids of each text, packed as 32-bit integers."""
         cut = [list(self.parts(text)) for text in texts]
         words = {word for parts in cut for part, _ in parts for word in part}
-        missing = words.difference(self.known)
-        if len(self.known) + len(missing) > WORD_MEMORY:
-            self.known.clear()
-            missing = words
-        self.learn(missing)
+        if self.known_bytes > KNOWN_BYTES:
+            self.forget()
+        self.learn(words.difference(self.known))
         known = self.known.__getitem__
         return [
             b"".join(
@@ -249,22 +257,65 @@ def _codec(shared) -> Codec:
     return kept_in(shared.value, "codec", lambda: Codec(shared.value["vocabulary"]))
 
 
+def _in_parts(batch: pa.Array) -> Iterator[pa.Array]:
+    for start in range(0, len(batch), TOGETHER):
+        yield batch.slice(start, TOGETHER)
+
+
+def _id_lists(packed: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(ids) // 4 for ids in packed)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
+def with_round_trip(
+    documents: DataFrame,
+    vocabulary: dict,
+    text_column: str = "text",
+    ids_column: str = "token_ids",
+    decoded_column: str = "decoded",
+) -> DataFrame:
+    """Adds the token ids of every whole text and the text that they stand for, in one pass."""
+    documents = set_aside(documents, ids_column, decoded_column)
+    shared = broadcast_value(documents.sparkSession, {"vocabulary": vocabulary})
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = _codec(shared)
+        for batch in batches:
+            packed: list[bytes] = []
+            texts: list[str] = []
+            for part in _in_parts(batch):
+                found = codec.encode([text or "" for text in part.to_pylist()])
+                texts += [codec.decode(np.frombuffer(ids, np.int32).tolist()) for ids in found]
+                packed += found
+            yield pa.StructArray.from_arrays(
+                [_id_lists(packed), pa.array(texts, pa.string())], ["ids", "decoded"]
+            )
+        codec.forget()
+
+    both = F.arrow_udf(run, "ids array<int>, decoded string", F.ArrowUDFType.SCALAR_ITER)
+    own = f"{OWN}tokens"
+    return (
+        documents.withColumn(own, both(F.col(text_column)))
+        .withColumns({ids_column: F.col(own)["ids"], decoded_column: F.col(own)["decoded"]})
+        .drop(own)
+    )
+
+
 def with_token_ids(
     documents: DataFrame, vocabulary: dict, text_column: str = "text", ids_column: str = "token_ids"
 ) -> DataFrame:
     """Adds the token ids (array of int) of every whole text."""
+    documents = set_aside(documents, ids_column)
     shared = broadcast_value(documents.sparkSession, {"vocabulary": vocabulary})
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(shared)
         for batch in batches:
             packed: list[bytes] = []
-            for start in range(0, len(batch), TOGETHER):
-                texts = batch.slice(start, TOGETHER).to_pylist()
-                packed += codec.encode([text or "" for text in texts])
-            ends = np.cumsum([0, *(len(ids) // 4 for ids in packed)]).astype(np.int32)
-            flat = np.frombuffer(b"".join(packed), np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            for part in _in_parts(batch):
+                packed += codec.encode([text or "" for text in part.to_pylist()])
+            yield _id_lists(packed)
+        codec.forget()
 
     encoder = F.arrow_udf(encode, "array<int>", F.ArrowUDFType.SCALAR_ITER)
     return documents.withColumn(ids_column, encoder(F.col(text_column)))
@@ -274,14 +325,14 @@ def with_decoded_text(
     frame: DataFrame, vocabulary: dict, ids_column: str = "token_ids", text_column: str = "decoded"
 ) -> DataFrame:
     """Adds the text that token ids stand for; NULL ids give NULL."""
+    frame = set_aside(frame, text_column)
     shared = broadcast_value(frame.sparkSession, {"vocabulary": vocabulary})
 
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(shared)
         for batch in batches:
             texts: list[str | None] = []
-            for start in range(0, len(batch), TOGETHER):
-                part = batch.slice(start, TOGETHER)
+            for part in _in_parts(batch):
                 flat = part.flatten().to_numpy(zero_copy_only=False).tolist()
                 sizes = pc.list_value_length(part).to_pylist()
                 texts += codec.decode_all(flat, sizes)

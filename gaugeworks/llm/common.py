@@ -14,8 +14,10 @@ from gaugeworks.session import scratch_dir
 # Names of an operator's own working columns start with this, so that no user column clashes.
 OWN = "__gw_"
 
-# Distinct words a task remembers before it starts afresh; bounds the memory, not the result.
-WORD_MEMORY = 1 << 19
+# Bytes of distinct words a task remembers before it starts afresh, with what Python needs for an
+# entry beside its text; bounds the memory, not the result.
+WORD_BYTES = 64 << 20
+ENTRY_BYTES = 150
 
 # A joined side of at most so many narrow rows (some 24 bytes each) is broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -57,9 +59,13 @@ def kept_in(shared: dict, name: str, build: Callable):
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
+    held = 0
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_MEMORY:
+        if self.held > WORD_BYTES:
             self.clear()
+            self.held = 0
+        self.held += ENTRY_BYTES + len(word)
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import OWN, written
+from gaugeworks.sinks.quoting import quoted_name
 
 BLANK = r"[\x09-\x0D\x20]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -167,12 +168,17 @@ def keep_good(documents: DataFrame, rules: list[Rule], text_column: str = "text"
     """The documents that pass, with the columns they came with."""
     # The row mark keeps the optimizer from moving the filter, and with it copies of the
     # statistics, below the projections that compute them once.
-    packed = documents.select(F.struct(*documents.columns).alias(f"{OWN}row"), F.col(text_column))
+    others = [name for name in documents.columns if name != text_column]
+    packed = documents.select(
+        F.struct(F.lit(0).alias(f"{OWN}none"), *map(quoted_name, others)).alias(f"{OWN}row"),
+        F.col(text_column),
+    )
     return (
         with_statistics(packed, text_column)
         .withColumn(f"{OWN}mark", F.monotonically_increasing_id())
         .filter(kept(rules) & (F.col(f"{OWN}mark") >= 0))
-        .select(f"{OWN}row.*")
+        .select(f"{OWN}row.*", text_column)
+        .select(*map(quoted_name, documents.columns))
     )
 
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.bpe import read_vocabulary, with_decoded_text, with_token_ids
+from gaugeworks.llm.bpe import read_vocabulary, with_round_trip
 from gaugeworks.llm.chunk_dedup import deduplicate_chunks
 from gaugeworks.llm.common import OWN, written
 from gaugeworks.llm.decontaminate import contamination
 from gaugeworks.llm.fill_in_middle import store_frames, with_digests, with_plan
-from gaugeworks.llm.hilbert_shards import assign_shards, order_key
+from gaugeworks.llm.hilbert_shards import assign_shards, with_rank
 from gaugeworks.llm.jaccard import jaccard_components, jaccard_join
 from gaugeworks.llm.language import learn_languages, with_language
 from gaugeworks.llm.oracle import oracle_sql
@@ -30,7 +31,7 @@ from gaugeworks.llm.spelling import spelling_variants, word_counts
 from gaugeworks.llm.token_counts import byte_vocabulary, with_token_counts
 from gaugeworks.llm.url_rules import ALLOW, BLOCK, judge_urls
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 24
 
 # The rules of the URL query.
@@ -77,9 +78,7 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_round_trip(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    read = read_vocabulary(vocabulary)
-    encoded = with_token_ids(documents, read).select("doc_id", "token_ids")
-    return with_decoded_text(encoded, read).select(
+    return with_round_trip(documents, read_vocabulary(vocabulary)).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", ",").cast("binary"), 256).alias("ids_sha256"),
@@ -99,9 +98,11 @@ def hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        order_key(F.col("lang")).alias(f"{OWN}lang"),
-        order_key(F.col("source")).alias(f"{OWN}source"),
+        "lang",
+        "source",
     )
+    for name in ("lang", "source"):
+        rows = with_rank(rows, name, f"{OWN}{name}")
     dimensions = {name: F.col(name) for name in (f"{OWN}lang", f"{OWN}source", "size")}
     placed = assign_shards(rows, dimensions, SHARDS, tie=["doc_id", "text_crc32", "size"])
     return placed.select(

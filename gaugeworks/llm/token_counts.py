@@ -5,7 +5,9 @@ edge (its failure link) and how many pieces are popped on the way there, so a wo
 byte, and its greedy longest-match pieces are counted without being built.
 
 Edge cases: NULL counts as empty text (0 words, 0 tokens); a word that the vocabulary cannot
-spell counts as one unknown token; very long words cost linear time; all rows and columns are kept.
+spell counts as one unknown token; very long texts and words cost linear time; repeated rows give
+repeated results; an empty table gives an empty one. All rows and columns are kept, a column of the
+input named like a new one as ``<name>_in``.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import WORD_MEMORY, broadcast_value, kept_in
+from gaugeworks.llm.common import ENTRY_BYTES, WORD_BYTES, broadcast_value, kept_in, set_aside
 
 ROOT = 0
 
@@ -96,11 +98,13 @@ def count_pieces(word: bytes, automaton: dict) -> int:
 class _Counts(dict):
     def __init__(self, automaton: dict, lead: bytes):
         super().__init__()
-        self.automaton, self.lead = automaton, lead
+        self.automaton, self.lead, self.held = automaton, lead, 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_MEMORY:
+        if self.held > WORD_BYTES:
             self.clear()
+            self.held = 0
+        self.held += ENTRY_BYTES + len(word)
         value = self[word] = count_pieces(self.lead + word, self.automaton)
         return value
 
@@ -118,6 +122,7 @@ def with_token_counts(
     Words are runs without blanks and control spaces; ``lead`` marks a word's start in the
     vocabulary.
     """
+    documents = set_aside(documents, words_column, tokens_column)
     shared = broadcast_value(documents.sparkSession, {"automaton": build_automaton(pieces)})
 
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
