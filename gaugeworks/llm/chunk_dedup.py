@@ -2,18 +2,20 @@
 
 A gear rolling hash runs over a text's bytes; a cut falls where the hash is the smallest of its
 neighbourhood, moved on to the next word. So cuts depend on nearby content only: after an insertion,
-and in another document, the same passage is cut at the same places. Chunks are compared by digest
-over the whole corpus. A chunk that an earlier document (smaller id) has, or that stands earlier
-in the same text, is repeated; runs of repeated chunks that are long enough are cut out, so the first
-holder of a passage keeps it.
+and in another document, the same passage is cut at the same places. Pairs of neighbouring chunks
+are compared by digest over the whole corpus, and chunks of ``min_run`` bytes by themselves. What an
+earlier document (smaller id) has, or what stands earlier in the same text, is repeated; runs of
+repeated neighbours that are long enough are cut out, so the first holder of a passage keeps it.
 
-A chunk alone can be alike by chance, a run of ``min_run`` bytes is not. Of a repeated passage at most
-about one neighbourhood and one chunk stay at either end.
+A chunk alone can be alike by chance, and chunks of different documents side by side are no passage: a
+run needs every two of its neighbours next to each other in an earlier place. Of a repeated passage at
+most about one neighbourhood and one chunk stay at either end.
 
 Edge cases: NULL stays NULL, empty text empty; text without cuts (one byte repeated) is cut every
-``longest`` bytes; documents without an id follow those that have one, ordered by a hash of their text; rows with the same id are
-parts of one document: what they share stays; repeated rows give repeated results; other columns
-are kept.
+``LONGEST`` bytes; very long texts are chunked whole; documents without an id follow those that have
+one, ordered by a hash of their text; rows with the same id are parts of one document: what they share
+stays; repeated rows give repeated results; an empty table gives an empty one. Other columns are kept,
+one named like a new one as ``<name>_in``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import OWN, text_key, written
+from gaugeworks.llm.common import OWN, mixed, set_aside, text_key, written
 
 # A cut is the smallest hash among so many bytes on either side; chunks are longer than that.
 AROUND = 16
@@ -44,6 +46,7 @@ _TO_WORD = 32
 # Texts are chunked together in blocks of about so many bytes.
 BLOCK = 1 << 18
 
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
 _GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32)
 _GEAR[0] = 0  # the filling between texts adds nothing to a hash
 _SPACE = np.array([b == 0x20 or 0x09 <= b <= 0x0D for b in range(256)])
@@ -144,51 +147,79 @@ def _blocks(texts: Iterator[str | None]) -> Iterator[list[bytes]]:
         yield block
 
 
-def _digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        found = [
-            digests
-            for block in _blocks(text.as_py() for text in batch)
-            for digests in chunk_block(block)[1]
-        ]
-        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-        flat = np.concatenate([*found, np.empty(0, np.int64)])
-        yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+def link_digests(ends: np.ndarray, digests: np.ndarray, min_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """What is compared of a chunked text: a digest per pair of neighbours, and one per long chunk.
+
+    Gives the digests and the first chunk of each: k for the pair (k, k + 1), ~k for the chunk k.
+    """
+    values = digests.view(np.uint64)
+    pairs = mixed(values[:-1] * _PAIR + values[1:])
+    long = np.flatnonzero(np.diff(ends, prepend=0) >= min_run)
+    found = np.concatenate([pairs, mixed(values[long] ^ _PAIR)]).view(np.int64)
+    return found, np.concatenate([np.arange(len(pairs)), ~long])
+
+
+def _digests(min_run: int):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            found = [
+                link_digests(ends, digests, min_run)[0]
+                for block in _blocks(text.as_py() for text in batch)
+                for ends, digests in zip(*chunk_block(block), strict=True)
+            ]
+            sizes = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            flat = np.concatenate([*found, np.empty(0, np.int64)])
+            yield pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
+
+    return run
 
 
 def cut_repeats(
-    ends: list[int], digests: list[int], elsewhere: set[int], min_run: int
-) -> tuple[list[tuple[int, int]], int]:
-    """Spans to remove (bytes) from a chunked text, and its repeated chunks."""
+    ends: np.ndarray, digests: np.ndarray, elsewhere: set[int], min_run: int
+) -> tuple[list[tuple[int, int]], int, int]:
+    """Spans to remove (bytes) from a chunked text, the chunks in them, and the repeated chunks of
+    runs that are too short."""
+    links, places = link_digests(ends, digests, min_run)
     seen: set[int] = set()
+    joined = np.zeros(len(ends), bool)  # with the next chunk
+    alone = np.zeros(len(ends), bool)
+    for link, place in zip(links.tolist(), places.tolist(), strict=True):
+        if link in elsewhere or link in seen:
+            if place >= 0:
+                joined[place] = True
+            else:
+                alone[~place] = True
+        seen.add(link)
     spans: list[tuple[int, int]] = []
-    begin = start = repeated = 0
-    in_run = False
-    for digest, end in zip(digests, ends, strict=True):
-        again = digest in elsewhere or digest in seen
-        repeated += again
-        if again and not in_run:
-            begin = start
-        elif in_run and not again and start - begin >= min_run:
-            spans.append((begin, start))
-        in_run = again
-        seen.add(digest)
-        start = end
-    if in_run and start - begin >= min_run:
-        spans.append((begin, start))
-    return spans, repeated
+    starts = [0, *ends[:-1].tolist()]
+    cut = short = first = 0
+    for k in range(len(ends)):
+        if joined[k]:
+            continue
+        # The run of the chunks from ``first`` to k, or a single chunk.
+        if first < k or alone[k]:
+            begin, end = starts[first], int(ends[k])
+            if end - begin >= min_run:
+                cut += k + 1 - first
+                if spans and spans[-1][1] == begin:
+                    begin = spans.pop()[0]
+                spans.append((begin, end))
+            else:
+                short += k + 1 - first
+        first = k + 1
+    return spans, cut, short
 
 
 def _cut(min_run: int):
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, digests in batches:
-            kept, spans, chunks, repeated = [], [], [], []
+            kept, spans, chunks, repeated, alike = [], [], [], [], []
             rows = iter(zip(texts, digests, strict=True))
             for block in _blocks(text.as_py() for text in texts):
                 for data, ends, found in zip(block, *chunk_block(block), strict=True):
                     text, elsewhere = next(rows)
                     known = set(elsewhere.as_py()) if elsewhere.is_valid else set()
-                    gone, again = cut_repeats(ends.tolist(), found.tolist(), known, min_run)
+                    gone, again, few = cut_repeats(ends, found, known, min_run)
                     place, parts = 0, []
                     for begin, end in gone:
                         parts.append(data[place:begin])
@@ -198,6 +229,7 @@ def _cut(min_run: int):
                     spans.append([{"start": a, "end": b} for a, b in gone])
                     chunks.append(len(ends))
                     repeated.append(again)
+                    alike.append(few)
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield pa.StructArray.from_arrays(
                 [
@@ -205,8 +237,9 @@ def _cut(min_run: int):
                     pa.array(spans, pa.list_(span)),
                     pa.array(chunks, pa.int64()),
                     pa.array(repeated, pa.int64()),
+                    pa.array(alike, pa.int64()),
                 ],
-                ["text", "spans", "chunks", "repeated"],
+                ["text", "spans", "chunks", "repeated", "alike"],
             )
 
     return run
@@ -220,17 +253,20 @@ def deduplicate_chunks(
     spans_column: str = "removed_spans",
     chunks_column: str = "n_chunks",
     repeated_column: str = "n_repeated",
+    alike_column: str = "n_alike",
     holders_column: str = "repeat_of",
 ) -> DataFrame:
     """Every document with its repeated runs cut out of the text.
 
-    Adds the removed spans (bytes of the old text), the chunks, those repeated (counted whether or
-    not their run is long enough), and the ids of the documents that have them first.
+    Adds the removed spans (bytes of the old text), the chunks, those of them that were removed, those
+    repeated in runs that are too short, and the ids of the documents that have them first.
     """
+    added = (spans_column, chunks_column, repeated_column, alike_column, holders_column)
+    documents = set_aside(documents, *added)
     # A document without an id comes after all others; a hash of its text stands for it.
     nameless = F.shiftrightunsigned(text_key(text_column), 2) + F.lit(_NAMELESS)
     key = F.coalesce(F.col(id_column).cast("long"), nameless)
-    digests = F.arrow_udf(_digests, "array<long>", F.ArrowUDFType.SCALAR_ITER)
+    digests = F.arrow_udf(_digests(min_run), "array<long>", F.ArrowUDFType.SCALAR_ITER)
     chunks = written(
         documents.select(key.alias("owner"), F.col(text_column).alias("text"))
         .select("owner", digests("text").alias("digests")),
@@ -255,7 +291,8 @@ def deduplicate_chunks(
     ).withColumnRenamed("owner", f"{OWN}key")
     cut = F.arrow_udf(
         _cut(min_run),
-        "text string, spans array<struct<start:long,end:long>>, chunks long, repeated long",
+        "text string, spans array<struct<start:long,end:long>>, chunks long, repeated long, "
+        "alike long",
         F.ArrowUDFType.SCALAR_ITER,
     )
     return (
@@ -268,6 +305,7 @@ def deduplicate_chunks(
                 spans_column: F.col(f"{OWN}cut")["spans"],
                 chunks_column: F.col(f"{OWN}cut")["chunks"],
                 repeated_column: F.col(f"{OWN}cut")["repeated"],
+                alike_column: F.col(f"{OWN}cut")["alike"],
                 holders_column: F.coalesce(
                     F.filter(f"{OWN}holders", lambda holder: holder < _NAMELESS),
                     F.array().cast("array<long>"),

@@ -12,7 +12,9 @@ holds a third of all rows is thus spread like any other.
 DataFrame functions throughout.
 
 Edge cases: NULL in a dimension is the lowest step; NULL text has size 0 and no checksum bytes;
-equal rows get places of their own; an empty table gives an empty result; other columns are kept.
+equal rows get places of their own, spread over buckets by their place in the input; very long texts
+count by their size alone; an empty table gives an empty result. Other columns are kept, one named like
+a new one as ``<name>_in``.
 """
 
 from __future__ import annotations
@@ -20,17 +22,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import OWN, written
+from gaugeworks.llm.common import OWN, set_aside, small, written
 
 # Steps per dimension (2^BITS) and rows per bucket, about.
 BITS = 4
 BUCKET_ROWS = 50_000
 
 
-def order_key(column: Column) -> Column:
-    """A number that sorts like the first six bytes of a string."""
-    start = F.rpad(F.hex(F.encode(F.substring(column, 1, 6), "UTF-8")), 12, "0")
-    return F.conv(F.substring(start, 1, 12), 16, 10).cast("long")
+def with_rank(rows: DataFrame, column: str, rank: str) -> DataFrame:
+    """Adds the number of rows whose value of a string column is smaller, NULL for NULL.
+
+    Whole strings are ranked: the distinct ones are counted and split by ranges; the counts of the
+    ranges before, and a running sum within each, make the rank. The table of ranks is broadcast
+    only where it is small.
+    """
+    value, part = f"{OWN}value", f"{OWN}part"
+    counts = written(
+        rows.filter(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias(value))
+        .agg(F.count("*").alias("n"))
+        .repartitionByRange(value)
+        .withColumn(part, F.spark_partition_id()),
+        "hilbert-values",
+    )
+    sums = {row[part]: row["n"] for row in counts.groupBy(part).agg(F.sum("n").alias("n")).collect()}
+    before, total = [], 0
+    for number in sorted(sums):
+        before += [F.lit(number), F.lit(total).cast("long")]
+        total += sums[number]
+    inside = Window.partitionBy(part).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.create_map(*before)[F.col(part)] if before else F.lit(0).cast("long")
+    ranks = written(
+        counts.select(
+            value, (offset + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias(rank)
+        ),
+        "hilbert-ranks",
+    )
+    return rows.join(
+        small(ranks, ranks.count()), F.col(column) == F.col(value), "left"
+    ).drop(value)
 
 
 def hilbert_index(cell: Column, dimensions: int, bits: int) -> Column:
@@ -126,13 +156,21 @@ def assign_shards(
     if bits * len(dimensions) > 14:
         raise ValueError("at most 2^14 cells: fewer bits or dimensions")
     tie = tie or rows.columns
-    base = written(rows.withColumns(dict(zip(own, dimensions.values(), strict=True))), "hilbert-rows")
+    rows = set_aside(rows, shard_column, slot_column)
+    base = written(
+        rows.withColumns(dict(zip(own, dimensions.values(), strict=True))).withColumn(
+            f"{OWN}place", F.monotonically_increasing_id()
+        ),
+        "hilbert-rows",
+    )
+    tie = [*tie, f"{OWN}place"]
     places = [k / steps for k in range(1, steps)]
     cuts = base.agg(*(F.percentile_approx(name, places, 10_000).alias(name) for name in own)).first()
     cell = F.lit(0)
     for name in own:
         below = sum(
-            ((F.col(name) > cut).cast("int") for cut in sorted(set(cuts[name] or ()))), F.lit(0)
+            # Repeated cuts count as often as they are there: few values still take all steps.
+            ((F.col(name) > cut).cast("int") for cut in cuts[name] or ()), F.lit(0)
         )
         cell = cell * steps + F.coalesce(below, F.lit(0))
     celled = base.withColumn(f"{OWN}cell", cell).withColumn(
@@ -181,6 +219,6 @@ def assign_shards(
     return (
         ranked.withColumn(shard_column, shard)
         .withColumn(slot_column, F.col(f"{OWN}rank") - start)
-        .drop(*own, *bucket, f"{OWN}hash", f"{OWN}cell_before", f"{OWN}buckets")
+        .drop(*own, *bucket, f"{OWN}place", f"{OWN}hash", f"{OWN}cell_before", f"{OWN}buckets")
         .drop(f"{OWN}bucket_before", f"{OWN}in", f"{OWN}rank")
     )

@@ -10,8 +10,10 @@ compared with the language that has it most. The texts counted are bounded (``sa
 chosen by a hash of the text), and so is the filter.
 
 Edge cases: NULL or letterless text is ``und`` with score 0; without anything to learn from
-everything is ``und``; rows without a language are not learnt from; ties go to the language that sorts
-first; all rows and columns are kept. More than 64 languages take several mask words.
+everything is ``und``; a text with a letter always has one of the learnt languages; rows without a
+language are not learnt from, repeated ones once; ties go to the language that sorts first; very long
+texts are read whole; an empty table gives an empty one. All rows and columns are kept, a column of the
+input named like a new one as ``<name>_in``. More than 64 languages take several mask words.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import broadcast_value
+from gaugeworks.llm.common import broadcast_value, set_aside
 
 UNKNOWN = "und"
 # Texts per language that are learnt from, n-grams kept per language, slots of the filter.
@@ -41,11 +43,14 @@ _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def gram_codes(text: str) -> np.ndarray:
-    """The 4-byte n-grams of a text in lower case, in which all but letters are blanks."""
-    data = b" " + b" ".join(text.lower().encode().translate(_BLANK).split()) + b" "
-    codes = np.frombuffer(data, np.uint8).astype(np.uint32)
-    if len(codes) < 4:
+    """The 4-byte n-grams of a text in lower case, in which all but letters are blanks.
+
+    Two blanks on either side give a text of a single letter n-grams of its own.
+    """
+    words = text.lower().encode().translate(_BLANK).split()
+    if not words:
         return np.empty(0, np.uint32)
+    codes = np.frombuffer(b"  " + b" ".join(words) + b"  ", np.uint8).astype(np.uint32)
     return codes[:-3] | codes[1:-2] << 8 | codes[2:-1] << 16 | codes[3:] << 24
 
 
@@ -84,7 +89,9 @@ def learn_languages(
     rows = labelled.select(
         F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
     ).filter("text is not null and lang is not null")
-    totals = dict(rows.groupBy("lang").count().collect())  # one row per language
+    # Distinct texts, about, as copies are learnt from once; one row per language.
+    distinct = rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("texts")).collect()
+    totals = {row.lang: max(1, row.texts) for row in distinct}
     share = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, sample / n)])
     dice = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
     counted = (
@@ -149,6 +156,7 @@ def with_language(
     score_column: str = "score",
 ) -> DataFrame:
     """Adds the predicted language of every whole text and its score (0 to 1)."""
+    documents = set_aside(documents, lang_column, score_column)
     shared = broadcast_value(documents.sparkSession, filters)
 
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -20,7 +20,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import OWN, small, written
+from gaugeworks.llm.common import OWN, set_aside, small, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
@@ -84,6 +84,7 @@ def judge_urls(
     """
     spark = pages.sparkSession
     url = F.col(url_column)
+    pages = set_aside(pages, host_column, path_column, rule_column, verdict_column)
     parsed = pages.withColumns({host_column: url_host(url), path_column: url_path(url)})
     keys = [host_column, path_column]
     distinct = written(parsed.select(*keys).distinct(), "url-distinct").withColumn(

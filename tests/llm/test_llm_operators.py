@@ -347,20 +347,37 @@ def test_chunk_dedup_keeps_the_first_and_cuts_the_rest(docs, empty):
 
 
 def test_chunk_dedup_equals_brute_force(docs):
-    """Repeated means: an earlier id has the chunk, or the same text has it earlier."""
-    first: dict[int, int] = {}
+    """Repeated means: an earlier id has the two chunks side by side (or a long one), or the same
+    text has them earlier. Told from the bytes of the chunks."""
     chunked = []
     for name, text in ROWS:
-        ends, digests = chunk_dedup.chunk_block([(text or "").encode()])
-        chunked.append((name, ends[0].tolist(), digests[0].tolist()))
-        for digest in digests[0].tolist() if name is not None else ():
-            first[digest] = min(name, first.get(digest, name))
+        data = (text or "").encode()
+        ends = [0, *chunk_dedup.chunk_block([data])[0][0].tolist()]
+        chunks = [data[a:b] for a, b in zip(ends, ends[1:])]
+        pairs = [*zip(chunks, chunks[1:]), *((c,) for c in chunks if len(c) >= 96)]
+        chunked.append((name, chunks, pairs))
     want = Counter()
-    for name, ends, digests in chunked:
-        if name is not None:
-            known = {d for d in digests if first[d] < name}
-            spans, again = chunk_dedup.cut_repeats(ends, digests, known, 96)
-            want[name, len(ends), again, tuple(spans)] += 1
+    for name, chunks, pairs in chunked:
+        if name is None:
+            continue
+        known = {p for other, _, theirs in chunked if other is not None and other < name for p in theirs}
+        spans, again, at, k = [], 0, 0, 0
+        while k < len(chunks):
+            end = k
+            while end + 1 < len(chunks) and (
+                (pair := (chunks[end], chunks[end + 1])) in known or pair in pairs[:end]
+            ):
+                end += 1
+            size = sum(map(len, chunks[k : end + 1]))
+            long = (chunks[k],) in known or chunks[k] in chunks[:k]
+            if size >= 96 and (end > k or long):
+                again += end + 1 - k
+                if spans and spans[-1][1] == at:
+                    spans[-1] = (spans[-1][0], at + size)
+                else:
+                    spans.append((at, at + size))
+            at, k = at + size, end + 1
+        want[name, len(chunks), again, tuple(spans)] += 1
     # Rows without an id are ordered by a hash; they hold copies of document 1 and nothing else.
     named = docs.filter("doc_id is not null")
     got = Counter(

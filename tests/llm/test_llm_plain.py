@@ -127,11 +127,31 @@ def test_passages_of_51_words_are_found_wherever_they_stand():
         passage = prose(k, 51)
         texts = [f"{prose(1000 + k, 40 + k % 9)} {passage} {prose(2000 + k, 33)}", passage]
         (ends, _), (mine, other) = chunk_dedup.chunk_block([t.encode() for t in texts])
-        spans, _ = chunk_dedup.cut_repeats(ends.tolist(), mine.tolist(), set(other.tolist()), 96)
+        other_ends = chunk_dedup.chunk_block([passage.encode()])[0][0]
+        known = set(chunk_dedup.link_digests(other_ends, other, 96)[0].tolist())
+        spans, *_ = chunk_dedup.cut_repeats(ends, mine, known, 96)
         missed += not spans
     assert missed == 0
 
 
+def test_chunks_of_different_places_side_by_side_are_no_passage():
+    a, b = prose(1, 400).encode(), prose(2, 400).encode()
+    known = set()
+    for text in (a, b):
+        (ends,), (digests,) = chunk_dedup.chunk_block([text])
+        known |= set(chunk_dedup.link_digests(ends, digests, 96)[0].tolist())
+    (ends_a, ends_b), _ = chunk_dedup.chunk_block([a, b])
+    parts = [zip([0, *ends.tolist()], ends.tolist()) for ends in (ends_a, ends_b)]
+    chunks = [[text[x:y] for x, y in part] for text, part in zip((a, b), parts)]
+    mixed = b"".join(c for pair in zip(*chunks) for c in pair)
+    ends, digests = (found[0] for found in chunk_dedup.chunk_block([mixed]))
+    spans, *_ = chunk_dedup.cut_repeats(ends, digests, known, 96)
+    for begin, end in spans:
+        assert mixed[begin:end] in a or mixed[begin:end] in b
+    (ends,), (digests,) = chunk_dedup.chunk_block([a])
+    assert chunk_dedup.cut_repeats(ends, digests, known, 96)[:2] == ([(0, len(a))], len(ends))
+
+
 def test_one_byte_repeated_is_cut_at_the_longest():
     ends, digests = chunk_dedup.chunk_block([b"x" * 1300])
     assert max(np.diff(ends[0], prepend=0)) <= chunk_dedup.LONGEST

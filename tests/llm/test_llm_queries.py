@@ -86,12 +86,13 @@ def test_pipeline_equals_brute_force_stage_by_stage(spark):
     chunked = {}
     for key in sorted(texts[2]):
         ends, digests = chunk_dedup.chunk_block([texts[2][key].encode()])
-        chunked[key] = ends[0].tolist(), digests[0].tolist()
-        for digest in chunked[key][1]:
-            first.setdefault(digest, key)
+        chunked[key] = ends[0], digests[0]
+        for link in chunk_dedup.link_digests(ends[0], digests[0], chunk_dedup.MIN_RUN)[0].tolist():
+            first.setdefault(link, key)
     for key, (ends, digests) in chunked.items():
-        known = {d for d in digests if first[d] < key}
-        spans, _ = chunk_dedup.cut_repeats(ends, digests, known, chunk_dedup.MIN_RUN)
+        links = chunk_dedup.link_digests(ends, digests, chunk_dedup.MIN_RUN)[0].tolist()
+        known = {link for link in links if first[link] < key}
+        spans, *_ = chunk_dedup.cut_repeats(ends, digests, known, chunk_dedup.MIN_RUN)
         data = texts[2][key].encode()
         for begin, end in reversed(spans):
             data = data[:begin] + data[end:]
