@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.bpe import read_vocabulary, with_decoded_text, with_token_ids
+from gaugeworks.llm.bpe import read_vocabulary, with_round_trip
 from gaugeworks.llm.chunk_dedup import deduplicate_chunks
 from gaugeworks.llm.common import OWN, small, text_key, written
 from gaugeworks.llm.decontaminate import contamination
@@ -106,9 +106,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every text's token ids and what they decode to."""
-    vocabulary = read_vocabulary(VOCABULARY)
-    encoded = with_token_ids(docs.select(*COLUMNS), vocabulary)
-    return with_decoded_text(encoded, vocabulary).select(
+    return with_round_trip(docs.select(*COLUMNS), read_vocabulary(VOCABULARY)).select(
         "doc_id",
         "lang",
         "source",
