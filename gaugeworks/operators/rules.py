@@ -71,11 +71,16 @@ def split_by_rules(
     return split_evaluated(evaluate_rules(df, rules), null_policy)
 
 
-def route_counts(evaluated: DataFrame) -> DataFrame:
-    """One row: how many rows are valid, quarantined and undecided."""
+def route_measures() -> list[Column]:
+    """How many rows are valid, quarantined and undecided, as aggregates."""
     flag = F.col(FLAG)
-    return evaluated.agg(
+    return [
         F.count_if(~flag).alias("valid"),
         F.count_if(flag).alias("quarantined"),
         F.count_if(flag.isNull()).alias("unknown"),
-    )
+    ]
+
+
+def route_counts(evaluated: DataFrame) -> DataFrame:
+    """One row: how many rows are valid, quarantined and undecided."""
+    return evaluated.agg(*route_measures())

@@ -72,23 +72,38 @@ def build_wide_clustered(
     return cluster(joined, CLUSTER_COLUMNS, files)
 
 
-def exact_mean(column: str) -> Column:
-    """The mean as a decimal, from values at six decimal places.
+def exact_mean(column: str, digits: int) -> Column:
+    """The mean, rounded, from values at six decimal places.
 
     Sums of decimals do not depend on the order of the rows, so a rerun of a task or another
-    partitioning gives the same figure to the last digit.
+    partitioning gives the same figure to the last digit. That holds for values below 10^16 in
+    size. With a larger one, NaN or an infinity it is the mean of doubles: NaN for NaN or infinities
+    of both signs, else the infinity.
     """
-    value = F.col(column).cast("decimal(18,6)")
-    return F.try_divide(F.sum(value), F.count(value).cast("decimal(18,0)"))
+    value = F.col(column)
+    exact = value.try_cast("decimal(22,6)")
+    mean = F.try_divide(F.try_sum(exact), F.count(exact).cast("decimal(18,0)"))
+    plain = F.count(value) > F.count(exact)
+    return F.when(plain, F.round(F.avg(value), digits)).otherwise(
+        F.round(mean, digits).cast("double")
+    )
+
+
+def known_owners(wide: DataFrame) -> DataFrame:
+    """The rows that the summary counts."""
+    return wide.where(F.col("airline_owner").isNotNull() & F.col("region").isNotNull())
 
 
 def fleet_daily_summary(wide: DataFrame) -> DataFrame:
     """Pings, mean compressor temperature and top core speed per day, owner and region."""
-    known = wide.where(F.col("airline_owner").isNotNull() & F.col("region").isNotNull())
-    mean_temp = F.round(exact_mean("temp_hpc_out"), 2).cast("double")
+    mean_temp = exact_mean("temp_hpc_out", 2)
     top_speed = F.round(F.max("physical_core_speed"), 2)
-    return known.groupBy("telemetry_date", "airline_owner", "region").agg(
-        F.count("engine_id").alias("total_sensor_pings"),
-        mean_temp.alias("avg_high_pressure_compressor_temp"),
-        top_speed.alias("max_core_speed_rpm"),
+    return (
+        known_owners(wide)
+        .groupBy("telemetry_date", "airline_owner", "region")
+        .agg(
+            F.count("engine_id").alias("total_sensor_pings"),
+            mean_temp.alias("avg_high_pressure_compressor_temp"),
+            top_speed.alias("max_core_speed_rpm"),
+        )
     )

@@ -13,9 +13,11 @@ from pyspark.sql import types as T
 from gaugeworks.operators.columns import stamp
 from gaugeworks.operators.dimensions import clean_dimension
 from gaugeworks.operators.wide import build_wide_clustered, fleet_daily_summary
+from gaugeworks.plans.gold import FACT_PLACE, refresh_gold
 from gaugeworks.settings import (
     BRONZE_TELEMETRY,
     DIMENSIONS,
+    FOLD_AFTER,
     GOLD_ALERTS,
     GOLD_SUMMARY,
     GOLD_WIDE,
@@ -26,14 +28,15 @@ from gaugeworks.settings import (
     TARGET_FILE_BYTES,
     DimensionSpec,
 )
+from gaugeworks.sinks.folds import fold_batches, list_batches
 from gaugeworks.sinks.layout import compact, files_needed
 from gaugeworks.sinks.tables import (
     Namespace,
     create_tenant_view,
-    overwrite,
     read_batches,
     read_if_present,
 )
+from gaugeworks.sinks.versions import overwrite
 from gaugeworks.sources.files import read_snapshot, stream_lines
 from gaugeworks.sources.schema_store import SchemaStore
 from gaugeworks.streaming.flows import ingest_stream, run_alerts, run_silver, widening
@@ -155,6 +158,13 @@ def sync_dimensions(
     return status_frame(spark, statuses)
 
 
+def _fold(
+    spark: SparkSession, table: str, place: str, taken: Sequence[str], fold_after: int
+) -> None:
+    if len(taken) >= fold_after:
+        fold_batches(spark, table, place, taken)
+
+
 def process_telemetry(
     spark: SparkSession,
     source: str,
@@ -165,15 +175,19 @@ def process_telemetry(
     sampling_ratio: float = 1.0,
     max_bytes: int = MAX_BATCH_BYTES,
     rebuild_gold: bool = True,
+    gold_period: str | None = None,
+    fold_after: int = FOLD_AFTER,
     tenants: Mapping[str, str] | None = None,
     **silver_options,
 ) -> None:
     """New telemetry files to bronze, silver, alerts and gold tables, in that order.
 
     ``state`` is the folder of checkpoints and the schema store. A stage that fails raises and
-    the ones after it do not run. The gold tables are rebuilt in full, since a changed
-    dimension reaches every fact; ``rebuild_gold=False`` leaves that to a rarer run. ``tenants``
-    names views by the airline owner whose rows of the summary they show.
+    the ones after it do not run. With ``gold_period`` ("day", "month", …) the gold tables are kept
+    by period and follow new facts and changed dimensions (see ``plans.gold``); without it they
+    are rebuilt in full, and ``rebuild_gold=False`` leaves that to a rarer run. The batch-written
+    tables are folded once they have ``fold_after`` batches that the stages after them have taken.
+    ``tenants`` names views by the airline owner whose rows of the summary they show.
     """
     ddl = f"{PAYLOAD_SCHEMA}, {extra_schema}" if extra_schema else PAYLOAD_SCHEMA
     store = SchemaStore(spark, f"{state}/schema")
@@ -194,6 +208,7 @@ def process_telemetry(
         max_bytes=max_bytes,
         **silver_options,
     )
+    taken = list_batches(spark, silver)
     run_alerts(
         spark,
         silver,
@@ -202,9 +217,18 @@ def process_telemetry(
         f"{state}/{GOLD_ALERTS}",
         max_bytes=max_bytes,
     )
-    if rebuild_gold:
+    if gold_period:
+        refresh_gold(spark, namespace, gold_period)
+    elif rebuild_gold:
         build_gold_wide(spark, namespace)
         build_gold_summary(spark, namespace)
+    _fold(spark, silver, FACT_PLACE, taken, fold_after)
+    for table, time in (
+        (namespace.silver(SILVER_QUARANTINE), "telemetry_timestamp"),
+        (namespace.gold(GOLD_ALERTS), "event_time"),
+    ):
+        _fold(spark, table, f"to_date({time})", list_batches(spark, table), fold_after)
+    if gold_period or rebuild_gold:
         for view, owner in (tenants or {}).items():
             summary = namespace.gold(GOLD_SUMMARY)
             create_tenant_view(spark, namespace.gold(view), summary, "airline_owner", owner)

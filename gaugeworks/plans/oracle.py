@@ -247,6 +247,12 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "fleet_daily_summary": summary,
         "telemetry_run_summary": summary,
+        # One engine moves to another aircraft, for all its readings.
+        "gold_incremental": summary.replace(
+            _WITH["raw_dim_engines"],
+            "SELECT * REPLACE (CASE WHEN engine_id = 3 THEN 'REG-41' ELSE tail_number END "
+            f"AS tail_number) FROM ({_WITH['raw_dim_engines']}) e",
+        ),
         "tenant_view": _using("SELECT * FROM summary WHERE airline_owner = 'Nation 3'", "summary"),
         "obt_left_joins": wide,
         "obt_shuffle_join": wide,
@@ -264,6 +270,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "split_valid": valid,
         "stream_silver_valid": valid,
+        "fold_batches": valid,
         "split_quarantine": quarantined,
         "stream_silver_quarantine": quarantined,
         "split_unknown": _using("SELECT * FROM judged WHERE is_quarantined IS NULL", "judged"),
@@ -363,6 +370,9 @@ FROM (SELECT l_orderkey, l_linenumber,
         "archive_latest_per_key": "SELECT CAST(user_id AS DOUBLE) AS engine_id, "
         "CAST(hour(ts) AS DOUBLE) AS cycle, max(event_id) AS event_id, "
         "arg_max(value, event_id) AS reading FROM events GROUP BY user_id, hour(ts)",
+        "archive_levels": "SELECT CAST(user_id AS DOUBLE) AS engine_id, "
+        "CAST(hour(ts) AS DOUBLE) AS cycle, max(event_id) AS event_id, "
+        "arg_max(value, event_id) + 9 AS reading FROM events GROUP BY user_id, hour(ts)",
         "stream_archive_ingest": "SELECT CAST(user_id AS DOUBLE) AS engine_id, "
         "CAST(hour(ts) AS DOUBLE) AS cycle, max(event_id) AS event_id, "
         "arg_max(value, event_id) AS reading, CAST(NULL AS VARCHAR) AS _rescued_data "

@@ -36,6 +36,7 @@ from gaugeworks.operators.wide import (
     fleet_daily_summary,
 )
 from gaugeworks.plans.bindings import RAW_DIMENSIONS, bind, bind_sql, table
+from gaugeworks.plans.gold import PERIOD_COLUMN
 from gaugeworks.plans.medallion import process_telemetry, sync_dimensions
 from gaugeworks.session import scratch_dir
 from gaugeworks.settings import (
@@ -50,21 +51,26 @@ from gaugeworks.settings import (
     SILVER_TELEMETRY,
     dimension,
 )
-from gaugeworks.sinks.archive import archive_batch, read_archive
+from gaugeworks.sinks.archive import archive_batch, fold_archive, read_archive
+from gaugeworks.sinks.folds import fold_batches
 from gaugeworks.sinks.layout import cluster_table, compact
 from gaugeworks.sinks.tables import (
     Namespace,
     append_merging,
     create_namespaces,
     create_tenant_view,
-    overwrite,
     read_batches,
+    write_batch,
 )
+from gaugeworks.sinks.versions import overwrite
 from gaugeworks.sources.files import read_fields, read_snapshot, stream_archive, stream_lines
 from gaugeworks.sources.schema_store import SchemaStore
 from gaugeworks.streaming.flows import (
     archive_stream,
+    batch_name,
+    drain,
     ingest_stream,
+    routing,
     run_alerts,
     run_silver,
     widening,
@@ -713,3 +719,73 @@ def _telemetry_run_summary(spark, sf_dir):
         extra_schema="telemetry_timestamp timestamp_ntz",
     )
     return spark.table(area.names.gold(GOLD_SUMMARY))
+
+
+@query("gold_incremental")
+def _gold_incremental(spark, sf_dir):
+    """Two landings, and one engine that moves to another aircraft between them.
+
+    The second run replaces the months of the new readings and of that engine's readings only.
+    """
+    area = _Area(spark, "incremental")
+    raw = bind(spark, sf_dir, "raw_telemetry")
+    late = F.col("telemetry_timestamp") >= F.lit("1998-06-01").cast("timestamp_ntz")
+    export = area.land_dimensions(sf_dir)
+    for wave, rows in (("1", raw.where(~late)), ("2", raw.where(late))):
+        if wave == "2":
+            moved = F.when(F.col("engine_id") == 3, F.lit("REG-41")).otherwise(F.col("tail_number"))
+            engines = bind(spark, sf_dir, "raw_dim_engines").withColumn("tail_number", moved)
+            engines.write.mode("overwrite").json(f"{export}/dim_engines")
+        sync_dimensions(spark, export, area.names)
+        rows.write.option("ignoreNullFields", "false").json(f"{area.path}/landing/{wave}")
+        process_telemetry(
+            spark,
+            f"{area.path}/landing",
+            area.names,
+            f"{area.path}/state",
+            telemetry_time=F.col("telemetry_timestamp"),
+            extra_schema="telemetry_timestamp timestamp_ntz",
+            gold_period="month",
+        )
+    return spark.table(area.names.gold(GOLD_SUMMARY)).drop(PERIOD_COLUMN)
+
+
+@query("fold_batches")
+def _fold_batches(spark, sf_dir):
+    """Twenty micro-batches: folded by month twice on the way, one replayed after it was folded."""
+    area = _Area(spark, "fold")
+    landing, checkpoint = f"{area.path}/readings", f"{area.path}/state/silver"
+    valid, quarantine = area.names.silver(SILVER_TELEMETRY), area.names.silver(SILVER_QUARANTINE)
+    silver = _silver(spark, sf_dir)
+    parts = silver.repartition(20, F.xxhash64("cycle", "telemetry_timestamp"))
+    parts.write.parquet(landing)
+    batches = []
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        batches.append(batch_name(batch, batch_id))
+        routing(valid, quarantine)(batch, batch_id)
+        if batch_id in (6, 13):
+            fold_batches(spark, valid, "trunc(telemetry_timestamp, 'month')", batches[:-1])
+
+    stream = (
+        spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    )
+    drain(stream.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint))
+    # The replay of a folded batch, with rows that would be seen.
+    write_batch(_valid(spark, sf_dir), valid, batches[3])
+    return read_batches(spark, valid)
+
+
+@query("archive_levels")
+def _archive_levels(spark, sf_dir):
+    """Events sent ten times, the last time with other readings, folded after each sending."""
+    archive = _Area(spark, "levels").names.bronze("raw_messages")
+    events = table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0] + 1
+    for sending in range(10):
+        changed = events.withColumn("value", F.col("value") + sending)
+        messages = _event_messages(changed).withColumn("offset", F.col("offset") + sending * last)
+        archive_batch(messages, archive, f"sending-{sending}")
+        fold_archive(spark, archive)
+    schema = "engine_id double, cycle double, event_id long, reading double"
+    return decode_messages(read_archive(spark, archive).select("value"), schema)

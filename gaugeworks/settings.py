@@ -142,6 +142,8 @@ MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 JOIN_TASK_ROWS = 5_000_000
 # Size of a data file after compaction or clustering.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# Batches of a table after which they are folded into runs.
+FOLD_AFTER = 100
 # Upper size of one micro-batch, so that a long backlog is drained in bounded steps.
 MAX_BATCH_BYTES = 512 * 1024 * 1024 * 1024
 

@@ -1,21 +1,29 @@
 """Archive of raw messages: one message per engine and cycle, the last one sent wins.
 
-Each micro-batch adds its own partition and nothing stored is rewritten, so the cost of a write
-does not grow with the archive, and a stream over the archive sees each file once. Which
-message of a key is the last is settled per batch on writing and over all batches on reading.
+Each micro-batch adds its own partition, so the cost of a write does not grow with the archive, and a
+stream over the archive sees each file once. Which message of a key is the last is settled per batch on
+writing and over all of them on reading. ``fold_archive`` merges batches into levels of runs, dealt
+into buckets by engine and sorted by key: superseded messages are shed there, and a look-up of one
+engine reads one bucket.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.sinks.tables import read_batches, write_batch
+from gaugeworks.sinks.folds import PLACE_COLUMN, Folds, fold_batches, folds_of, read_whole
+from gaugeworks.sinks.tables import write_batch
 
 ENGINE = "engine"
 CYCLE = "cycle"
 _PLACE = ("partition", "offset")
 
+# Parts of a level of the archive; an engine is in one of them.
+BUCKETS = 64
+
 
 def keyed_messages(messages: DataFrame) -> DataFrame:
     """Messages with the engine and cycle their JSON names, as the text they were sent as."""
@@ -51,11 +59,34 @@ def archive_batch(messages: DataFrame, table: str, batch: str) -> None:
     write_batch(latest.sortWithinPartitions(ENGINE, CYCLE), table, batch)
 
 
+def fold_archive(
+    spark: SparkSession, table: str, batches: Sequence[str] | None = None, buckets: int = BUCKETS
+) -> Folds:
+    """Merge batches that every stream over the archive has taken into its levels.
+
+    After the first fold the number of buckets stays as it is.
+    """
+    place = f"pmod(xxhash64({ENGINE}), {buckets})"
+    before = folds_of(spark, table)
+    return fold_batches(
+        spark,
+        table,
+        before.place if before else place,
+        batches,
+        shed=latest_messages,
+        sort=(ENGINE, CYCLE),
+    )
+
+
 def read_archive(spark: SparkSession, table: str, engine: str | None = None) -> DataFrame:
-    """The last message of each key over all batches, of one engine if given."""
-    stored = read_batches(spark, table)
+    """The last message of each key over all batches and levels, of one engine if given."""
+    stored = read_whole(spark, table)
     if engine is not None:
         stored = stored.where(F.col(ENGINE) == engine)
+        if state := folds_of(spark, table):
+            # The place of the engine, as a literal that skips the other buckets.
+            place = spark.range(1).select(F.lit(engine).alias(ENGINE)).selectExpr(state.place)
+            stored = stored.where(F.col(PLACE_COLUMN) == place.first()[0])
     return latest_messages(stored)
 
 

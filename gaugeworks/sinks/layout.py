@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.curve import as_number, interleave, with_position
 from gaugeworks.settings import TARGET_FILE_BYTES
-from gaugeworks.sinks.tables import overwrite
+from gaugeworks.sinks.versions import overwrite, stored_name
 
 # Bounds are quantiles within 1/accuracy of the exact rank; they only place rows.
 _ACCURACY = 10_000
@@ -27,7 +27,8 @@ def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYT
     False, with nothing rewritten, when the table has no more files than that would give.
     """
     path = F.col("_metadata.file_path")
-    files = spark.table(table).select(path.alias("path")).distinct().count()
+    stored = spark.table(stored_name(spark, table))
+    files = stored.select(path.alias("path")).distinct().count()
     if files <= files_needed(spark, table, target_bytes):
         return False
     packing = spark.newSession()
@@ -44,6 +45,7 @@ def files_needed(spark: SparkSession, table: str, target_bytes: int = TARGET_FIL
 
 def stored_bytes(spark: SparkSession, table: str) -> int:
     """Size of the table's files, from a listing; no rows are read."""
+    table = stored_name(spark, table)
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
     detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'")
     return int(detail.first()["data_type"].split()[0])

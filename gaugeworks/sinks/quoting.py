@@ -1,4 +1,4 @@
-"""Names and types as SQL text, whatever characters they hold."""
+"""Names, texts and types as SQL text, whatever characters they hold."""
 
 from __future__ import annotations
 
@@ -9,6 +9,11 @@ def quoted_name(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def quoted_text(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def sql_type(kind: T.DataType) -> str:
     """The type with every nested field name quoted, which ``simpleString`` leaves bare."""
     if isinstance(kind, T.StructType):

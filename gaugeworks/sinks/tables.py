@@ -1,4 +1,4 @@
-"""Catalog tables: namespaces, appends, overwrites, views.
+"""Catalog tables: namespaces, appends, batches, views.
 
 Tables are stored as Parquet unless another ``fmt`` is given. One table has one kind of
 writer: either a streaming file sink or batch writes, never both.
@@ -13,11 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gaugeworks.settings import BATCH_COLUMN, SCHEMAS
-from gaugeworks.sinks.quoting import quoted_name, sql_type
-
-
-# Property of a staging table that was written to its end.
-_WHOLE = "gaugeworks.whole"
+from gaugeworks.sinks.folds import PLACE_COLUMN, is_folded, read_whole, refresh
+from gaugeworks.sinks.quoting import quoted_name, quoted_text, sql_type
 
 
 class SchemaMismatch(ValueError):
@@ -48,7 +45,7 @@ def create_namespaces(
 ) -> Namespace:
     """Create the bronze, silver and gold schemas where missing."""
     for layer in SCHEMAS:
-        place = f" LOCATION {_quoted(f'{location}/{layer}')}" if location else ""
+        place = f" LOCATION {quoted_text(f'{location}/{layer}')}" if location else ""
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace.schema(layer)}{place}")
     return namespace
 
@@ -77,49 +74,6 @@ def append_merging(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").saveAsTable(table)
 
 
-def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Replace rows and schema of ``table``, which is not partitioned; ``df`` may read it.
-
-    An existing table is replaced by way of a staging table that then takes its name: a failure
-    before the swap leaves it as it was, and readers can miss it for the moment of the swap
-    only. A swap that broke off in that moment is finished by ``recover``, which the next call
-    does first. A stream over the table would take all rows for new ones, so this is for tables that
-    no stream reads.
-    """
-    spark = df.sparkSession
-    recover(spark, table)
-    if not spark.catalog.tableExists(table):
-        df.write.format(fmt).saveAsTable(table)
-        return
-    if any(column.isPartition for column in spark.catalog.listColumns(table)):
-        raise ValueError(f"{table} is partitioned; its partitions are replaced batch by batch")
-    staging = _staging(table)
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.format(fmt).saveAsTable(staging)
-    spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('{_WHOLE}' = 'true')")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-
-
-def recover(spark: SparkSession, table: str) -> bool:
-    """Finish a swap that broke off after the old table was dropped; True if there was one.
-
-    Only a staging table that was written to its end takes the name.
-    """
-    staging = _staging(table)
-    if spark.catalog.tableExists(table) or not spark.catalog.tableExists(staging):
-        return False
-    properties = {row["key"] for row in spark.sql(f"SHOW TBLPROPERTIES {staging}").collect()}
-    if _WHOLE not in properties:
-        return False
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-    return True
-
-
-def _staging(table: str) -> str:
-    return f"{table}__staging"
-
-
 def write_batch(
     df: DataFrame,
     table: str,
@@ -127,19 +81,24 @@ def write_batch(
     merge_schema: bool = False,
     few_rows: bool = False,
     fmt: str = "parquet",
-) -> None:
+) -> bool:
     """Write the rows of one micro-batch into its own partition.
 
-    Writing the same ``batch`` again replaces the partition, so a retry adds nothing. The
+    Writing the same ``batch`` again replaces the partition, so a retry adds nothing; a batch that
+    was folded already (see ``sinks.folds``) is left out, and the answer is False. The
     schema is strict unless ``merge_schema``. ``few_rows`` is for results much smaller than
     the batch: they are rebalanced first, else each task of the batch leaves a tiny file.
     """
     spark = df.sparkSession
+    if is_folded(spark, table, batch):
+        return False
     if not spark.catalog.tableExists(table):
-        tagged = df.selectExpr("*", f"'' AS {BATCH_COLUMN}")
-        tagged.limit(0).write.format(fmt).partitionBy(BATCH_COLUMN).saveAsTable(table)
-    elif merge_schema:
-        add_missing_columns(spark, table, df.schema)
+        # Made from the schema alone: an observation on ``df`` counts the first query that ends.
+        shape = T.StructType([*df.schema.fields, T.StructField(BATCH_COLUMN, T.StringType())])
+        empty = spark.createDataFrame([], shape)
+        empty.write.format(fmt).partitionBy(BATCH_COLUMN).saveAsTable(table)
+    elif merge_schema and add_missing_columns(spark, table, df.schema):
+        refresh(spark, table)
     stored = T.StructType([f for f in spark.table(table).schema if f.name != BATCH_COLUMN])
     if not merge_schema:
         _require_same(df.schema, stored, table)
@@ -147,22 +106,23 @@ def write_batch(
     if few_rows:
         rows = rows.hint("rebalance")
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH_COLUMN} = {_quoted(batch)}) "
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH_COLUMN} = {quoted_text(batch)}) "
         "SELECT * FROM {rows}",
         rows=rows,
     )
+    return True
 
 
 def drop_batch(spark: SparkSession, table: str, batch: str) -> None:
     """Remove what an earlier attempt of ``batch`` may have written."""
     if spark.catalog.tableExists(table):
-        partition = f"{BATCH_COLUMN} = {_quoted(batch)}"
+        partition = f"{BATCH_COLUMN} = {quoted_text(batch)}"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition})")
 
 
 def read_batches(spark: SparkSession, table: str) -> DataFrame:
-    """A batch-written table without the batch column."""
-    return spark.table(table).drop(BATCH_COLUMN)
+    """A batch-written table, folded or not, without the batch column."""
+    return read_whole(spark, table).drop(PLACE_COLUMN)
 
 
 def create_tenant_view(
@@ -171,7 +131,7 @@ def create_tenant_view(
     """A view on the rows of ``table`` that belong to one tenant."""
     spark.sql(
         f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table} "
-        f"WHERE {quoted_name(column)} = {_quoted(value)}"
+        f"WHERE {quoted_name(column)} = {quoted_text(value)}"
     )
     return spark.table(view)
 
@@ -205,7 +165,3 @@ def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
         ]
     )
 
-
-def _quoted(text: str) -> str:
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,7 +16,7 @@ from gaugeworks.operators.columns import rename_cast, stamp
 from gaugeworks.operators.rules import (
     UNREADABLE_RULE,
     evaluate_rules,
-    route_counts,
+    route_measures,
     split_evaluated,
 )
 from gaugeworks.settings import (
@@ -111,10 +111,10 @@ def routing(
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch function that writes valid and quarantined rows to their tables.
 
-    Branches without rows are not written. The valid table is strict, the quarantine takes new
-    columns. Counting reads only the columns of the rules, so without ``cache`` a batch of
-    columnar files is read narrowly once and in full twice, which measured faster than caching
-    it; set ``cache`` for sources that are costly to read again.
+    The valid table is strict, the quarantine takes new columns. The write of the valid rows passes
+    every row of the batch, so the counts are observed there and cost no scan; a quarantine
+    without rows is not written, and a batch without valid rows leaves no partition. A batch is read
+    twice at most; set ``cache`` for sources that are costly to read again.
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
@@ -123,15 +123,18 @@ def routing(
         if cache:
             evaluated = evaluated.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counts = route_counts(evaluated).first().asDict()
+            seen = Observation(f"route {name}")
+            observed = evaluated.observe(seen, *route_measures())
+            valid = split_evaluated(observed, null_policy).valid
+            if not write_batch(valid, valid_table, name):
+                return
+            counts = seen.get
             undecided = counts["unknown"]
-            branches = split_evaluated(evaluated, null_policy)
-            if counts["valid"] or (undecided and null_policy == "valid"):
-                write_batch(branches.valid, valid_table, name)
-            else:
+            if not counts["valid"] and not (undecided and null_policy == "valid"):
                 drop_batch(spark, valid_table, name)
             if counts["quarantined"] or (undecided and null_policy == "quarantine"):
-                write_batch(branches.quarantined, quarantine_table, name, True, few_rows=True)
+                quarantined = split_evaluated(evaluated, null_policy).quarantined
+                write_batch(quarantined, quarantine_table, name, True, few_rows=True)
             else:
                 drop_batch(spark, quarantine_table, name)
             on_counts(name, counts)

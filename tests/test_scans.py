@@ -11,7 +11,8 @@ from gaugeworks.operators.alerts import threshold_alerts
 from gaugeworks.operators.rules import evaluate_rules, route_counts
 from gaugeworks.operators.wide import fleet_daily_summary
 from gaugeworks.settings import CLEAN_COLUMNS
-from gaugeworks.sinks.tables import create_tenant_view, overwrite
+from gaugeworks.sinks.tables import create_tenant_view
+from gaugeworks.sinks.versions import overwrite
 
 
 def scan(df) -> tuple[set[str], str]:

@@ -31,7 +31,8 @@ from gaugeworks.settings import (
     SILVER_TELEMETRY,
 )
 from gaugeworks.sinks.archive import read_archive
-from gaugeworks.sinks.tables import overwrite, read_batches
+from gaugeworks.sinks.tables import read_batches
+from gaugeworks.sinks.versions import overwrite
 from gaugeworks.sources.files import stream_archive, stream_lines
 from gaugeworks.sources.schema_store import SchemaStore, merge_schemas
 from gaugeworks.streaming.flows import (

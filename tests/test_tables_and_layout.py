@@ -13,11 +13,10 @@ from gaugeworks.sinks.tables import (
     append_strict,
     create_tenant_view,
     drop_batch,
-    overwrite,
     read_batches,
-    recover,
     write_batch,
 )
+from gaugeworks.sinks.versions import overwrite
 
 
 def test_strict_append_refuses_new_columns(spark, names):
@@ -193,18 +192,3 @@ def test_clustering_an_empty_or_null_column(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a int, b double")
     assert cluster(df, ["a", "b"], files=2).count() == 2
     assert cluster(df.where("false"), ["a"], files=2).count() == 0
-
-
-def test_a_swap_that_broke_off_loses_nothing(spark, names):
-    table = names.gold("t")
-    overwrite(spark.range(5), table)
-    # The state between the two steps of a swap: the new rows are staged, the old table is gone.
-    overwrite(spark.range(9), f"{table}__staging")
-    spark.sql(f"DROP TABLE {table}")
-    assert not recover(spark, table)  # not known to be whole
-    spark.sql(f"ALTER TABLE {table}__staging SET TBLPROPERTIES ('gaugeworks.whole' = 'true')")
-    assert recover(spark, table) and spark.table(table).count() == 9
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__staging")
-    overwrite(spark.range(2), table)
-    assert spark.table(table).count() == 2
-    assert not spark.catalog.tableExists(f"{table}__staging")
