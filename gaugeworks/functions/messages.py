@@ -110,29 +110,48 @@ def explode_readings(
     elements with a part that the type cannot hold, are kept whole in the rescue column.
     """
     others = [name for name in df.columns if name != value]
-    items = F.from_json(F.col(value), f"array<{element}>")
-    raw = F.from_json(F.col(value), "array<string>")
-    read = df.select(*others, F.col(value).alias("_text"), items.alias("_items"), raw.alias("_raw"))
-    whole = F.when(F.col("_items").isNull() | F.col("_raw").isNull(), F.col("_text"))
-    numbered = read.select(
-        *others, whole.alias("_whole"), "_raw", F.posexplode_outer("_items").alias("_place", "_item")
-    )
-    piece = F.get("_raw", F.col("_place"))
     fields = [f.name for f in T.StructType.fromDDL(element.removeprefix("struct<")[:-1]).fields]
-    keys = F.json_object_keys(piece)
     known = F.array(*map(F.lit, fields))
-    lost = [
-        F.col("_item")[name].isNull() & F.get_json_object(piece, f"$.{name}").isNotNull()
-        for name in fields
-    ]
-    broken = keys.isNull() | (F.size(F.array_except(keys, known)) > 0)
-    for part in lost:
-        broken = broken | part
-    return numbered.select(
-        *others,
-        "_item.*",
-        F.when(F.col("_place").isNull(), F.col("_whole"))
-        .when(broken, piece)
-        .otherwise(F.lit(None).cast("string"))
-        .alias(rescued),
+    read = df.select(*others, F.col(value).alias("_text")).withColumns(
+        {
+            "_items": F.from_json("_text", f"array<{element}>"),
+            "_maps": F.from_json("_text", "array<map<string,string>>"),
+        }
     )
+
+    def lossy(pair: Column) -> Column:
+        item, found = pair["_items"], pair["_maps"]
+        lost = found.isNull() | (F.size(F.array_except(F.map_keys(found), known)) > 0)
+        for name in fields:
+            lost = lost | (item[name].isNull() & F.try_element_at(found, F.lit(name)).isNotNull())
+        return lost
+
+    # Keys and values are held against the type once per array; only where something is lost are the
+    # elements taken as text, each beside its item.
+    odd = F.coalesce(F.exists(F.arrays_zip("_items", "_maps"), lossy), F.lit(True))
+    raw = F.when(F.col("_items").isNotNull() & odd, F.from_json("_text", "array<string>"))
+    plain = F.transform(
+        "_items", lambda item: F.struct(item.alias("item"), F.lit(None).cast("string").alias("raw"))
+    )
+    paired = F.when(F.col("_raw").isNull(), plain).otherwise(
+        F.zip_with(
+            "_items", "_raw", lambda item, text: F.struct(item.alias("item"), text.alias("raw"))
+        )
+    )
+    one = (
+        read.withColumn("_raw", raw)
+        .select(
+            *others,
+            F.when(F.col("_items").isNull(), F.col("_text")).alias("_whole"),
+            F.explode_outer(paired).alias("_one"),
+        )
+        .select(*others, "_whole", F.col("_one.item").alias("_item"), F.col("_one.raw").alias("_piece"))
+    )
+    piece = F.col("_piece")
+    keys = F.json_object_keys(piece)
+    broken = keys.isNull() | (F.size(F.array_except(keys, known)) > 0)
+    for name in fields:
+        there = F.get_json_object(piece, f"$.{name}").isNotNull()
+        broken = broken | (F.col("_item")[name].isNull() & there)
+    kept = F.when(piece.isNotNull() & broken, piece)
+    return one.select(*others, "_item.*", F.coalesce("_whole", kept).alias(rescued))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,7 @@ def column_overview(df: DataFrame) -> DataFrame:
             F.lit(place).alias("position"),
             F.lit(f.name).alias("column_name"),
             F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit(f.nullable).alias("nullable"),
             F.count("*").alias("row_count"),
             F.count_if(F.col(f.name).isNull()).alias("null_count"),
         )
@@ -92,6 +93,24 @@ def _described(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
     return df.agg(F.array(*stats).alias("_stats")).select(F.inline("_stats"))
 
 
+def bottom_k(
+    df: DataFrame, rows: int, key: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """A sample that depends on the rows alone: those with the smallest digests of ``key``.
+
+    Of equal digests the smallest rows are taken, so neither order nor partitioning matters, and the
+    sample of a union is the sample of the parts' samples. With ``by`` so many rows of each group.
+    No sort of the table: every task keeps its own smallest rows, and only those meet; a group that
+    holds most rows hands on no more of them than any other.
+    """
+    order = [F.md5(F.concat_ws("|", *(F.col(name).cast("string") for name in key)).cast("binary"))]
+    order += [F.col(name) for name in df.columns]
+    if not by:
+        return df.orderBy(*order).limit(rows)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") <= rows).drop("_place")
+
+
 def profile_table(df: DataFrame, categorical: Sequence[str] = (), sample_rows: int = 20) -> Profile:
     """Schema, sample, summary, row count, NULL counts and the values of ``categorical``.
 

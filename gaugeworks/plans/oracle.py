@@ -192,17 +192,92 @@ def _describe() -> str:
     return " UNION ALL ".join(rows)
 
 
+def _merged_profile() -> str:
+    kinds = {
+        "l_orderkey": True, "l_partkey": True, "l_suppkey": True, "l_linenumber": True,
+        "l_quantity": True, "l_extendedprice": True, "l_discount": True, "l_tax": True,
+        "l_returnflag": False, "l_linestatus": False, "l_shipdate": False,
+    }
+    rows = []
+    for name, number in kinds.items():
+        low, high = (
+            (f"CAST(min({name}) AS DOUBLE)", f"CAST(max({name}) AS DOUBLE)") if number
+            else ("CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)")
+        )
+        text = "CAST({name} AS VARCHAR)" if name != "l_shipdate" else "strftime({name}, '%Y-%m-%d %H:%M:%S')"
+        first, last = (
+            ("CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)") if number
+            else tuple(f"{end}({text.format(name=name)})" for end in ("min", "max"))
+        )
+        rows.append(
+            f"SELECT '{name}' AS column_name, count(*) AS row_count, count(*) - count({name}) AS "
+            f"null_count, {low} AS min_number, {high} AS max_number, {first} AS min_text, {last} AS "
+            f"max_text, true AS distinct_within, {'true' if number else 'CAST(NULL AS BOOLEAN)'} AS "
+            "median_within FROM lineitem"
+        )
+    return " UNION ALL ".join(rows)
+
+
 _DISTINCT = " UNION ALL ".join(
-    f"SELECT DISTINCT '{name}' AS column_name, CAST({name} AS VARCHAR) AS value FROM {source}"
+    f"SELECT DISTINCT '{source}' AS table_name, '{name}' AS column_name, "
+    f"CAST({name} AS VARCHAR) AS value FROM {source}"
     for source, name in (
         ("silver", "engine_id"),
         ("silver", "cycle"),
         ("raw_dim_engines", "model"),
         ("raw_dim_engines", "aircraft_type_supported"),
         ("raw_dim_engines", "home_location_id"),
+        ("raw_dim_aircraft", "airline_owner"),
+        ("raw_dim_aircraft", "fleet_status"),
+        ("raw_dim_locations", "city"),
+        ("raw_dim_locations", "climate"),
+        ("raw_dim_locations", "region"),
+        ("raw_dim_parts_bom", "component_name"),
+        ("raw_dim_parts_bom", "supplier_name"),
+        ("raw_dim_thresholds", "sensor_name"),
+        ("raw_dim_thresholds", "alert_description"),
     )
 )
 
+_RAW = ("raw_dim_engines", "raw_dim_aircraft", "raw_dim_locations", "raw_dim_parts_bom", "raw_dim_thresholds")
+_SNAPSHOTS = (
+    "SELECT * REPLACE (CAST(total_flight_hours AS DOUBLE) AS total_flight_hours) FROM ("
+    + " UNION ALL BY NAME ".join(f"SELECT '{name}' AS snapshot, * FROM {name}" for name in _RAW)
+    + ") s"
+)
+
+_AIRCRAFT = ("tail_number", "airline_owner", "fleet_status", "total_flight_hours")
+_PROFILE_PARTS = " UNION ALL ".join(
+    [
+        *(
+            f"SELECT 'schema' AS part, '{name}' AS column_name, "
+            f"'{place} {'bigint' if name == 'total_flight_hours' else 'string'}' AS value"
+            for place, name in enumerate(_AIRCRAFT)
+        ),
+        "SELECT 'sample', NULL, CAST(least(20, count(*)) AS VARCHAR) FROM raw_dim_aircraft",
+        "SELECT 'rows', NULL, CAST(count(*) AS VARCHAR) FROM raw_dim_aircraft",
+        *(
+            f"SELECT 'nulls', '{name}', CAST(count(*) - count({name}) AS VARCHAR) FROM raw_dim_aircraft"
+            for name in _AIRCRAFT
+        ),
+        *(
+            f"SELECT DISTINCT 'distinct', '{name}', {name} FROM raw_dim_aircraft"
+            for name in ("airline_owner", "fleet_status")
+        ),
+    ]
+)
+
+_SAMPLE_KEY = "md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR))"
+_SAMPLE_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_returnflag"
+_SAMPLES = (
+    f"SELECT part, {_SAMPLE_COLUMNS} FROM (SELECT 'all' AS part, {_SAMPLE_COLUMNS}, row_number() OVER "
+    f"(ORDER BY {_SAMPLE_KEY}, l_orderkey, l_partkey, l_suppkey, l_linenumber) AS rn FROM lineitem) a "
+    f"WHERE rn <= 50 UNION ALL SELECT part, {_SAMPLE_COLUMNS} FROM (SELECT 'flag' AS part, "
+    f"{_SAMPLE_COLUMNS}, row_number() OVER (PARTITION BY l_returnflag "
+    f"ORDER BY {_SAMPLE_KEY}, l_orderkey, l_partkey, l_suppkey, l_linenumber) AS rn FROM lineitem) f "
+    "WHERE rn <= 5"
+)
+
 _DIMENSIONS = ("dim_locations", "dim_aircraft", "dim_engines", "dim_parts_bom", "dim_thresholds")
 
 _COUNTERS = " UNION ALL ".join(
@@ -235,7 +310,7 @@ def oracle_sql() -> dict[str, str]:
     valid = _using("SELECT * FROM valid", "valid")
     quarantined = _using("SELECT * FROM judged WHERE is_quarantined", "judged")
     summary = _using("SELECT * FROM summary", "summary")
-    parts = _using("SELECT * FROM raw_dim_parts_bom", "raw_dim_parts_bom")
+    snapshots = _using(_SNAPSHOTS, *_RAW)
     counters = _using(_COUNTERS, *_DIMENSIONS)
     texts = " UNION ALL ".join(
         [
@@ -257,6 +332,9 @@ def oracle_sql() -> dict[str, str]:
         "obt_left_joins": wide,
         "obt_shuffle_join": wide,
         "obt_salted_join": wide,
+        "obt_bucketed_join": wide,
+        "key_lookup": _using("SELECT * FROM wide WHERE cycle IN (7, 1000, 4999)", "wide"),
+        "profile_merge": _merged_profile(),
         "zorder_layout": wide,
         "sensor_rename_cast": _using(f"SELECT {silver} FROM silver", "silver"),
         "quarantine_flag_counts": _using(
@@ -290,7 +368,9 @@ def oracle_sql() -> dict[str, str]:
             "CAST(sum(CASE WHEN (cycle % 60) * 10 <= 300 THEN 1 ELSE 0 END) AS BIGINT) "
             "AS within_target, "
             "round(avg(CAST((cycle % 60) * 10 AS DOUBLE)), 4) AS mean_seconds, "
-            "CAST(max((cycle % 60) * 10) AS DOUBLE) AS max_seconds "
+            "CAST(max((cycle % 60) * 10) AS DOUBLE) AS max_seconds, "
+            "round(quantile_cont(CAST((cycle % 60) * 10 AS DOUBLE), 0.5), 4) AS p50_seconds, "
+            "round(quantile_cont(CAST((cycle % 60) * 10 AS DOUBLE), 0.95), 4) AS p95_seconds "
             "FROM alerts GROUP BY sensor_name",
             "alerts",
         ),
@@ -325,7 +405,9 @@ FROM (SELECT l_orderkey, l_linenumber,
             "silver",
         ),
         "describe_profile": _describe(),
-        "distinct_values": _using(_DISTINCT, "silver", "raw_dim_engines"),
+        "distinct_values": _using(_DISTINCT, "silver", *_RAW),
+        "whole_profile": _using(_PROFILE_PARTS, "raw_dim_aircraft"),
+        "sample_bottom_k": _SAMPLES,
         "sample_limit": _using(
             "SELECT * FROM raw_telemetry ORDER BY "
             + _columns(f"{name} NULLS FIRST" for name in [*_PAYLOAD, "telemetry_timestamp"])
@@ -334,9 +416,12 @@ FROM (SELECT l_orderkey, l_linenumber,
         ),
         "schema_profile": _using(
             " UNION ALL ".join(
-                f"SELECT {place} AS position, '{name}' AS column_name, count(*) AS row_count, "
+                f"SELECT {place} AS position, '{name}' AS column_name, '{kind}' AS data_type, "
+                f"{name not in ('s1', 's5', 's6')} AS nullable, count(*) AS row_count, "
                 f"count(*) - count({name}) AS null_count FROM raw_telemetry"
-                for place, name in enumerate([*_PAYLOAD, "telemetry_timestamp"])
+                for place, (name, kind) in enumerate(
+                    [*((name, "double") for name in _PAYLOAD), ("telemetry_timestamp", "timestamp_ntz")]
+                )
             ),
             "raw_telemetry",
         ),
@@ -380,6 +465,15 @@ FROM (SELECT l_orderkey, l_linenumber,
         "schema_evolution": "SELECT event_id, event_type, CAST(NULL AS DOUBLE) AS value, "
         "CAST(NULL AS VARCHAR) AS _rescued_data FROM events UNION ALL "
         "SELECT event_id, CAST(NULL AS VARCHAR), value, CAST(NULL AS VARCHAR) FROM events",
+        "type_widening": " UNION ALL ".join(
+            f"SELECT event_id, {reading} AS reading, {code} AS code, "
+            "CAST(NULL AS VARCHAR) AS _rescued_data FROM events"
+            for reading, code in (
+                ("CAST(user_id AS DOUBLE)", "CAST(user_id AS VARCHAR)"),
+                ("value", "event_type"),
+                ("CAST(user_id AS DOUBLE)", "CAST(user_id AS VARCHAR)"),
+            )
+        ),
         "hostile_fields": "SELECT event_id, "
         "CASE WHEN event_id % 2 = 0 THEN event_type END AS version, "
         "CASE WHEN event_id % 2 = 1 THEN CAST(user_id AS BIGINT) END AS odd_key, "
@@ -392,9 +486,9 @@ FROM (SELECT l_orderkey, l_linenumber,
             for field, name in zip(_TEXT_FIELDS, _PAYLOAD, strict=True)
         )
         + " FROM lineitem",
-        "dim_json_roundtrip": parts,
-        "dim_csv_roundtrip": parts,
-        "dim_parquet_roundtrip": parts,
+        "dim_json_roundtrip": snapshots,
+        "dim_csv_roundtrip": snapshots,
+        "dim_parquet_roundtrip": snapshots,
         "compact_table": "SELECT * FROM events",
         "stream_bronze_ingest": _using(
             f"SELECT {_columns(_PAYLOAD)}, telemetry_timestamp, "

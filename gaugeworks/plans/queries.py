@@ -16,12 +16,14 @@ from gaugeworks.functions.messages import (
     explode_readings,
     parse_json_lines,
 )
+from gaugeworks.functions.widening import read_widest
 from gaugeworks.operators.alerts import alert_latency, threshold_alerts
 from gaugeworks.operators.columns import rename_cast, unpivot_sensors
 from gaugeworks.operators.dedupe import first_per_key
 from gaugeworks.operators.dimensions import clean_dimension, quality_counts
 from gaugeworks.operators.joins import salted_join
 from gaugeworks.operators.profile import (
+    bottom_k,
     column_overview,
     describe_columns,
     distinct_values,
@@ -29,6 +31,13 @@ from gaugeworks.operators.profile import (
     profile_table,
 )
 from gaugeworks.operators.rules import evaluate_rules, split_by_rules
+from gaugeworks.operators.sketches import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    read_sketches,
+    stored_profile,
+    update_profile,
+)
 from gaugeworks.operators.wide import (
     build_wide,
     dated_facts,
@@ -52,6 +61,7 @@ from gaugeworks.settings import (
     dimension,
 )
 from gaugeworks.sinks.archive import archive_batch, fold_archive, read_archive
+from gaugeworks.sinks.buckets import join_stored, store_facts, store_reference
 from gaugeworks.sinks.folds import fold_batches
 from gaugeworks.sinks.layout import cluster_table, compact
 from gaugeworks.sinks.tables import (
@@ -83,6 +93,24 @@ _QUERIES: dict[str, Query] = {}
 TIMED_SCHEMA = f"{PAYLOAD_SCHEMA}, telemetry_timestamp timestamp_ntz"
 TENANT = "Nation 3"
 
+# The columns whose values a look at the six tables lists.
+CATEGORICAL = (
+    ("silver", "engine_id"),
+    ("silver", "cycle"),
+    ("raw_dim_engines", "model"),
+    ("raw_dim_engines", "aircraft_type_supported"),
+    ("raw_dim_engines", "home_location_id"),
+    ("raw_dim_aircraft", "airline_owner"),
+    ("raw_dim_aircraft", "fleet_status"),
+    ("raw_dim_locations", "city"),
+    ("raw_dim_locations", "climate"),
+    ("raw_dim_locations", "region"),
+    ("raw_dim_parts_bom", "component_name"),
+    ("raw_dim_parts_bom", "supplier_name"),
+    ("raw_dim_thresholds", "sensor_name"),
+    ("raw_dim_thresholds", "alert_description"),
+)
+
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
@@ -202,6 +230,29 @@ def _obt_salted_join(spark, sf_dir):
     return salted_join(facts, profile, ["engine_id"], "left", task_rows=200)
 
 
+@query("obt_bucketed_join")
+def _obt_bucketed_join(spark, sf_dir):
+    """The wide table from facts and profile stored by engine; the busiest engines are apart."""
+    area = _Area(spark, "buckets")
+    facts, profile = area.names.silver("facts_by_engine"), area.names.silver("profile_by_engine")
+    dated = dated_facts(_valid(spark, sf_dir))
+    rows = dated.count()
+    store_facts(dated, facts, ["engine_id"], buckets=8, task_rows=max(1, rows // 100))
+    store_reference(engine_profile(*_profile_dims(spark, sf_dir)), profile, ["engine_id"], 8)
+    return join_stored(spark, facts, profile, ["engine_id"])
+
+
+@query("key_lookup")
+def _key_lookup(spark, sf_dir):
+    """All readings of three cycles, from a table clustered by date and engine."""
+    area = _Area(spark, "lookup")
+    target = area.names.gold(GOLD_WIDE)
+    overwrite(_wide(spark, sf_dir), target)
+    columns = ["telemetry_date", "engine_id"]
+    cluster_table(spark, target, columns, target_bytes=1 << 18, lookups={"cycle": 20_000})
+    return spark.table(target).where(F.col("cycle").isin(7, 1000, 4999))
+
+
 @query("tenant_view")
 def _tenant_view(spark, sf_dir):
     area = _Area(spark, "tenant")
@@ -277,12 +328,14 @@ def _alert_delay(spark, sf_dir):
     raised = _alerts(spark, sf_dir).withColumn(
         "alert_generated_at", F.col("event_time") + seconds
     )
-    return alert_latency(raised).select(
+    return alert_latency(raised, exact=True).select(
         "sensor_name",
         "alerts",
         "within_target",
         F.round("mean_seconds", 4).alias("mean_seconds"),
         "max_seconds",
+        F.round("p50_seconds", 4).alias("p50_seconds"),
+        F.round("p95_seconds", 4).alias("p95_seconds"),
     )
 
 
@@ -409,18 +462,16 @@ def _described(described: DataFrame) -> DataFrame:
 
 @query("distinct_values")
 def _distinct_column_values(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
-    engines = bind(spark, sf_dir, "raw_dim_engines")
+    """The values of every categorical column of all six tables."""
+    frames = {"silver": _silver(spark, sf_dir)}
     merged = None
-    for frame, name in (
-        (silver, "engine_id"),
-        (silver, "cycle"),
-        (engines, "model"),
-        (engines, "aircraft_type_supported"),
-        (engines, "home_location_id"),
-    ):
-        values = distinct_values(frame, name).select(
-            F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value")
+    for source, name in CATEGORICAL:
+        if source not in frames:
+            frames[source] = bind(spark, sf_dir, source)
+        values = distinct_values(frames[source], name).select(
+            F.lit(source).alias("table_name"),
+            F.lit(name).alias("column_name"),
+            F.col(name).cast("string").alias("value"),
         )
         merged = values if merged is None else merged.unionByName(values)
     return merged
@@ -433,10 +484,112 @@ def _sample_limit(spark, sf_dir):
     return raw.orderBy(*raw.columns).limit(25)
 
 
+@query("sample_bottom_k")
+def _sample_bottom_k(spark, sf_dir):
+    """The same 50 order lines whatever their order or partitioning, and 5 of each return flag."""
+    lines = table(spark, sf_dir, "lineitem")
+    key = ["l_orderkey", "l_linenumber"]
+    parts = {"all": bottom_k(lines, 50, key), "flag": bottom_k(lines, 5, key, by=["l_returnflag"])}
+    columns = [*key, "l_partkey", "l_returnflag"]
+    found = [part.select(F.lit(name).alias("part"), *columns) for name, part in parts.items()]
+    return found[0].unionByName(found[1])
+
+
 @query("schema_profile")
 def _schema_profile(spark, sf_dir):
     overview = column_overview(bind(spark, sf_dir, "raw_telemetry"))
-    return overview.select("position", "column_name", "row_count", "null_count")
+    return overview.select(
+        "position", "column_name", "data_type", "nullable", "row_count", "null_count"
+    )
+
+
+@query("whole_profile")
+def _whole_profile(spark, sf_dir):
+    """All parts of a profile but the summary, which ``table_profile`` has: schema, sample, row
+    count, NULL counts and the values of the categorical columns."""
+    raw = bind(spark, sf_dir, "raw_dim_aircraft")
+    found = profile_table(raw, ("airline_owner", "fleet_status"), sample_rows=20)
+
+    def part(frame: DataFrame, name: str, column, value) -> DataFrame:
+        text = value.cast("string").alias("value")
+        return frame.select(F.lit(name).alias("part"), column.alias("column_name"), text)
+
+    counts = found.null_counts.unpivot([], found.null_counts.columns, "column_name", "nulls")
+    no_column = F.lit(None).cast("string")
+    parts = [
+        part(found.schema, "schema", F.col("column_name"), F.concat_ws(" ", "position", "data_type")),
+        part(found.sample.agg(F.count("*").alias("n")), "sample", no_column, F.col("n")),
+        part(found.row_count, "rows", no_column, F.col("row_count")),
+        part(counts, "nulls", F.col("column_name"), F.col("nulls")),
+        *(
+            part(values, "distinct", F.lit(name), F.col(name))
+            for name, values in found.distinct.items()
+        ),
+    ]
+    merged = parts[0]
+    for frame in parts[1:]:
+        merged = merged.unionByName(frame)
+    return merged
+
+
+@query("profile_merge")
+def _profile_merge(spark, sf_dir):
+    """Order lines that come in four batches, profiled after two and after four of them.
+
+    Exact figures as they are; of the estimates, whether they are within their stated errors.
+    """
+    area = _Area(spark, "profile")
+    lines = table(spark, sf_dir, "lineitem")
+    target = area.names.silver("lines")
+    for batch in range(4):
+        write_batch(lines.where(F.col("l_orderkey") % 4 == batch), target, f"lines-{batch}")
+        if batch in (1, 3):
+            update_profile(spark, target)
+    figures = read_sketches(stored_profile(spark, target), (0.5,))
+    numbers = [f.name for f in lines.schema if isinstance(f.dataType, T.NumericType)]
+    exact = lines.agg(
+        F.array(
+            *(
+                F.struct(F.lit(name).alias("column_name"), F.count_distinct(name).alias("exact"))
+                for name in lines.columns
+            )
+        ).alias("_exact")
+    ).select(F.inline("_exact"))
+    medians = figures.where(F.col("quantiles").isNotNull()).select(
+        "column_name", F.col("quantiles")[0].alias("median")
+    )
+    long = lines.select(
+        F.explode(
+            F.array(*(F.struct(F.lit(n).alias("column_name"), F.col(n).cast("double").alias("v")) for n in numbers))
+        ).alias("_one")
+    ).select("_one.*")
+    ranks = (
+        long.join(F.broadcast(medians), "column_name")
+        .groupBy("column_name")
+        .agg(
+            F.avg((F.col("v") < F.col("median")).cast("double")).alias("below"),
+            F.avg((F.col("v") <= F.col("median")).cast("double")).alias("up_to"),
+        )
+    )
+    off = F.abs(F.col("distinct_values") - F.col("exact")) / F.col("exact")
+    return (
+        figures.join(exact, "column_name")
+        .join(ranks, "column_name", "left")
+        .select(
+            "column_name",
+            "row_count",
+            "null_count",
+            "min_number",
+            "max_number",
+            "min_text",
+            "max_text",
+            (off <= DISTINCT_ERROR).alias("distinct_within"),
+            F.when(
+                F.col("below").isNotNull(),
+                (F.col("below") <= 0.5 + RANK_ERROR) & (F.col("up_to") >= 0.5 - RANK_ERROR),
+            ).alias("median_within"),
+        )
+    )
 
 
 # -- messages ---------------------------------------------------------------
@@ -546,15 +699,33 @@ def _whitespace_text_scan(spark, sf_dir):
 
 
 def _round_trip(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
-    raw = bind(spark, sf_dir, "raw_dim_parts_bom")
-    folder = f"{scratch_dir(spark, fmt)}/dim_parts_bom"
-    writer = raw.write.format(fmt)
-    if fmt == "csv":
-        # A leading blank is part of a name; it has to survive both ways.
-        writer = writer.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
-    writer.save(folder)
-    schema = None if fmt != "csv" else raw.schema
-    return read_snapshot(spark, folder, fmt, schema).select(*raw.columns)
+    """All five snapshots, written and read with the types that the reader infers."""
+    folder = scratch_dir(spark, fmt)
+    merged = None
+    for name in RAW_DIMENSIONS:
+        raw = bind(spark, sf_dir, name)
+        writer = raw.write.format(fmt)
+        if fmt == "csv":
+            # Blanks at either end are part of a text; they have to survive both ways.
+            writer = writer.options(
+                header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+            )
+        writer.save(f"{folder}/{name}")
+        read = read_snapshot(spark, f"{folder}/{name}", fmt)
+        kinds = {f.name: f.dataType.simpleString() for f in read.schema}
+        # What is compared: numbers as numbers, dates that were inferred as the text they came from.
+        values = read.select(
+            F.lit(name).alias("snapshot"),
+            *(
+                F.col(column).cast("double" if kinds[column] in _NUMBERS else "string").alias(column)
+                for column in raw.columns
+            ),
+        )
+        merged = values if merged is None else merged.unionByName(values, allowMissingColumns=True)
+    return merged
+
+
+_NUMBERS = ("int", "bigint", "double")
 
 
 @query("dim_json_roundtrip")
@@ -644,6 +815,24 @@ def _schema_evolution(spark, sf_dir):
     return spark.table(bronze).drop(*_AUDIT)
 
 
+@query("type_widening")
+def _type_widening(spark, sf_dir):
+    """Events whose readings are whole numbers at first and fractions later, and whose codes are
+    numbers at first and text later; no value is rescued."""
+    area = _Area(spark, "widening")
+    landing, bronze = f"{area.path}/landing", area.names.bronze(BRONZE_TELEMETRY)
+    store = SchemaStore(spark, f"{area.path}/state/schema")
+    events = table(spark, sf_dir, "events")
+    whole = F.col("user_id").cast("long")
+    waves = {"1": (whole, whole), "2": (F.col("value"), F.col("event_type")), "3": (whole, whole)}
+    for wave, (reading, code) in waves.items():
+        rows = events.select("event_id", reading.alias("reading"), code.alias("code"))
+        rows.write.json(f"{landing}/{wave}")
+        schema = store.evolve(landing, widen=widening(spark, bronze))
+        ingest_stream(stream_lines(spark, landing), bronze, f"{area.path}/state/bronze", schema)
+    return read_widest(spark.table(bronze)).drop(*_AUDIT)
+
+
 @query("hostile_fields")
 def _hostile_fields(spark, sf_dir):
     """Two waves of events with keys that need quoting, are nested, or clash with our own."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +51,20 @@ def stored_bytes(spark: SparkSession, table: str) -> int:
     return int(detail.first()["data_type"].split()[0])
 
 
+def lookup_options(distinct: Mapping[str, int]) -> dict[str, str]:
+    """Options for writing a table in which single values of some columns are looked up.
+
+    The curve of ``cluster`` orders a few columns; a value of any other is in every file's range. A Bloom
+    filter per row group says where it cannot be, so a look-up reads the row groups that have it.
+    ``distinct`` gives the distinct values of a row group by column, about; they size the filters.
+    """
+    options = {}
+    for name, values in distinct.items():
+        options[f"parquet.bloom.filter.enabled#{name}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{name}"] = str(values)
+    return options
+
+
 def cluster(
     df: DataFrame,
     columns: Sequence[str],
@@ -101,7 +115,11 @@ def cluster_table(
     table: str,
     columns: Sequence[str],
     target_bytes: int = TARGET_FILE_BYTES,
+    lookups: Mapping[str, int] | None = None,
 ) -> None:
-    """Rewrite ``table`` clustered by ``columns`` in files of about ``target_bytes``."""
+    """Rewrite ``table`` clustered by ``columns`` in files of about ``target_bytes``.
+
+    ``lookups`` names further columns for ``lookup_options``.
+    """
     files = files_needed(spark, table, target_bytes)
-    overwrite(cluster(spark.table(table), columns, files), table)
+    overwrite(cluster(spark.table(table), columns, files), table, **lookup_options(lookups or {}))

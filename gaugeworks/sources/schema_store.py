@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from datetime import UTC, datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.functions.widening import is_stored_name, step_of, widest
 from gaugeworks.settings import RESERVED_COLUMNS
 
 # Files are compared by their modification time; the overlap allows for clock differences.
@@ -65,9 +66,10 @@ class SchemaStore:
     ) -> T.StructType:
         """The schema for the next read of ``source``; new keys are appended and remembered.
 
-        Only files that came since the last call are looked at. Known columns keep their type:
-        values that do not fit go to the rescue column, as do the keys a sampling ratio below
-        one may miss, so nothing is lost either way. Columns of ``base`` are always there.
+        Only files that came since the last call are looked at. A known column whose new values need
+        a wider type gets it (see ``functions.widening``); columns of ``base`` are always there and
+        keep their type. What still does not fit goes to the rescue column, as do the keys a
+        sampling ratio below one may miss, so nothing is lost either way.
         ``widen`` gets the new schema before it is stored: a table that cannot take it leaves
         the stored schema as it was.
         """
@@ -87,7 +89,8 @@ class SchemaStore:
             if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise
             found = T.StructType([])
-        merged = merge_schemas(merge_schemas(known or T.StructType([]), base), found)
+        fixed = {f.name.lower() for f in base.fields} if base else set()
+        merged = merge_schemas(merge_schemas(known or T.StructType([]), base), found, fixed)
         if merged != known:
             if widen:
                 widen(merged)
@@ -96,16 +99,25 @@ class SchemaStore:
         return merged
 
 
-def merge_schemas(known: T.StructType, found: T.StructType | None) -> T.StructType:
+def merge_schemas(
+    known: T.StructType, found: T.StructType | None, fixed: Collection[str] | None = None
+) -> T.StructType:
     """``known`` followed by the columns only ``found`` has.
 
     Columns are told apart without regard to case, as in a table. Reserved names and second
-    spellings stay out, so their values go to the rescue column.
+    spellings stay out, so their values go to the rescue column. Known columns but those in
+    ``fixed`` (lower case) take the wider type of both; without ``fixed`` all keep theirs.
     """
     names = {f.name.lower() for f in known.fields} | {name.lower() for name in RESERVED_COLUMNS}
     merged = list(known.fields)
+    places = {f.name: place for place, f in enumerate(merged)}
     for f in found.fields if found else []:
-        if f.name.lower() not in names:
+        if f.name.lower() not in names and not is_stored_name(f.name):
             names.add(f.name.lower())
             merged.append(f)
+        elif fixed is not None and f.name in places and f.name.lower() not in fixed:
+            place = places[f.name]
+            kind = widest(merged[place].dataType, f.dataType)
+            if kind is not None and step_of(kind):
+                merged[place] = T.StructField(f.name, kind)
     return T.StructType(merged)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeworks.functions.messages import parse_json_lines
+from gaugeworks.functions.widening import read_widest, stored_as
 from gaugeworks.operators.alerts import threshold_alerts
 from gaugeworks.operators.columns import rename_cast, stamp
 from gaugeworks.operators.rules import (
@@ -43,8 +44,9 @@ def drain(writer) -> StreamingQuery:
 def stream_table(
     spark: SparkSession, table: str, max_bytes: int = MAX_BATCH_BYTES
 ) -> DataFrame:
-    """New rows of a table as a stream, without the batch column."""
-    return spark.readStream.option("maxBytesPerTrigger", max_bytes).table(table).drop(BATCH_COLUMN)
+    """New rows of a table as a stream, without the batch column, columns in their widest type."""
+    rows = spark.readStream.option("maxBytesPerTrigger", max_bytes).table(table)
+    return read_widest(rows.drop(BATCH_COLUMN))
 
 
 def ingest_stream(
@@ -53,11 +55,13 @@ def ingest_stream(
     """Append new JSON lines (value, source_file_path) to ``table``, exactly once.
 
     Adds the rescue column and the ingestion time. A schema with new columns widens the table
-    before the first row is written.
+    before the first row is written; a column of a wider type than the table has is stored beside
+    it, for ``read_widest``.
     """
     spark = lines.sparkSession
     rows = stamp(parse_json_lines(lines, schema), "ingestion_timestamp")
     if spark.catalog.tableExists(table):
+        rows = stored_as(rows, spark.table(table).schema)
         add_missing_columns(spark, table, rows.schema)
     query = (
         rows.writeStream.format("parquet")
@@ -75,7 +79,8 @@ def widening(spark: SparkSession, table: str) -> Callable[[T.StructType], object
 
     def widen(schema: T.StructType) -> None:
         if spark.catalog.tableExists(table):
-            add_missing_columns(spark, table, schema)
+            empty = spark.createDataFrame([], schema)
+            add_missing_columns(spark, table, stored_as(empty, spark.table(table).schema).schema)
 
     return widen
 

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from gaugeworks.operators.alerts import alert_latency, threshold_alerts
 from gaugeworks.operators.columns import unpivot_sensors
 from gaugeworks.operators.joins import fits_broadcast, join_reference, measured_bytes, salted_join
-from gaugeworks.operators.wide import build_wide, build_wide_clustered, fleet_daily_summary
+from gaugeworks.operators.wide import (
+    build_wide,
+    build_wide_clustered,
+    exact_mean,
+    fleet_daily_summary,
+)
 from gaugeworks.settings import ALERT_SENSORS
 
 
@@ -229,3 +234,32 @@ def test_alert_latency(spark):
     row = alert_latency(alerts).first()
     assert (row.alerts, row.within_target) == (2, 1)
     assert (row.mean_seconds, row.max_seconds) == (300.5, 301.0)
+
+
+@pytest.mark.parametrize(
+    "readings, want",
+    [
+        ([1.0, 2.0, None], 1.5),
+        ([0.125, 0.125], 0.13),
+        ([1e13, 3e13], 2e13),
+        ([9e15, -9e15, 3.0], 1.0),
+        ([1e300, 1e300], 1e300),
+        ([float("inf"), 1.0], float("inf")),
+        ([float("-inf"), float("inf")], float("nan")),
+        ([float("nan"), 1.0, 1e300], float("nan")),
+        ([None, None], None),
+    ],
+)
+def test_the_mean_takes_every_double(spark, readings, want):
+    rows = spark.createDataFrame([(v,) for v in readings], "v double")
+    got = rows.agg(exact_mean("v", 2).alias("m")).first().m
+    assert got == want or (want != want and got != got)
+
+
+def test_the_mean_does_not_depend_on_the_order(spark):
+    rows = spark.range(2000).select((F.rand(3) * F.pow(F.lit(10.0), F.col("id") % 14)).alias("v"))
+    rows = spark.createDataFrame(rows.collect(), "v double")
+    means = {
+        rows.repartition(n).orderBy(F.rand(n)).agg(exact_mean("v", 4)).first()[0] for n in (1, 3, 8)
+    }
+    assert len(means) == 1

@@ -92,6 +92,27 @@ def test_explode_readings_loses_nothing(spark):
     assert got[4] == ("s2", None, '{"sensor":"s2","more":1}')
 
 
+def test_explode_readings_of_mixed_arrays(spark):
+    texts = {
+        0: '[{"sensor":"a","reading":1},{"sensor":"b","reading":"hot"},{"sensor":"c","reading":2}]',
+        1: '[{"sensor":"a"},null,{"reading":3.5}]',
+        2: '[1,2]',
+        3: '{"sensor":"a","reading":1.0}',
+        4: '[{"sensor":{"x":1},"reading":1}]',
+        5: '[{"sensor":"a","reading":1},{"sensor":"b","reading":2,"unit":"K"}]',
+    }
+    df = spark.createDataFrame(list(texts.items()), "n int, value string")
+    got = {}
+    for row in explode_readings(df, "value").collect():
+        got.setdefault(row.n, []).append(tuple(row)[1:])
+    assert got[0] == [("a", 1.0, None), ("b", None, '{"sensor":"b","reading":"hot"}'), ("c", 2.0, None)]
+    assert got[1] == [("a", None, None), (None, None, None), (None, 3.5, None)]
+    assert got[2] == [(None, None, "[1,2]")]
+    assert got[3] == [("a", 1.0, None)]
+    assert got[4] == [('{"x":1}', 1.0, None)]
+    assert got[5] == [("a", 1.0, None), ("b", 2.0, '{"sensor":"b","reading":2,"unit":"K"}')]
+
+
 def test_decoding_rescues_what_the_schema_cannot_hold(spark):
     texts = ["oops", '{"k":"x","z":2}', '{"k":3}', None, " "]
     df = spark.createDataFrame(list(enumerate(texts)), "n int, value string")
