@@ -29,15 +29,15 @@ FROM ruled"""
 # Turns are (head, body) pieces; the mask adds up the lengths of the pieces before.
 CHAT_PERSPECTIVES = """
 WITH base AS (
-  SELECT conv_id AS d, turn AS t, role AS r, text AS x, turn // 64 AS block,
-         row_number() OVER (PARTITION BY conv_id, turn // 64
+  SELECT conv_id AS d, role AS r, text AS x,
+         row_number() OVER (PARTITION BY conv_id
                             ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS place
   FROM conversations),
 speakers AS (
   SELECT DISTINCT conv_id AS d, role AS speaker FROM conversations
   WHERE role IS NOT NULL AND role <> 'system'),
 pieces AS (
-  SELECT b.d, s.speaker, b.block, CAST(b.place // 64 AS INTEGER) AS part, b.place,
+  SELECT b.d, s.speaker, CAST(b.place // 64 AS INTEGER) AS part, b.place,
          coalesce(b.r = s.speaker, false) AS own,
          CASE WHEN b.r = s.speaker THEN '<|assistant|>' || chr(10)
               WHEN b.r = 'system' THEN '<|system|>' || chr(10)
@@ -46,15 +46,15 @@ pieces AS (
          replace(coalesce(b.x, ''), '<|', '< |') || '<|end|>' AS body
   FROM base b JOIN speakers s ON b.d IS NOT DISTINCT FROM s.d),
 placed AS (
-  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
-              PARTITION BY d, speaker, block, part ORDER BY place
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start
+  SELECT *, CAST(coalesce(sum(length(head) + length(body) + 1) OVER (
+              PARTITION BY d, speaker ORDER BY place
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begun
   FROM pieces)
-SELECT d AS conv_id, speaker, block, part, CAST(count(*) AS INTEGER) AS n_turns,
+SELECT d AS conv_id, speaker, part, CAST(count(*) AS INTEGER) AS n_turns, min(begun) AS start,
        string_agg(head || body || chr(10), '' ORDER BY place) AS rendered,
-       coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(body) AS BIGINT), ','
+       coalesce(string_agg((begun + length(head)) || '-' || (begun + length(head) + length(body)), ','
                            ORDER BY place) FILTER (WHERE own), '') AS mask
-FROM placed GROUP BY d, speaker, block, part"""
+FROM placed GROUP BY d, speaker, part"""
 
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), "

@@ -427,13 +427,37 @@ def test_every_speaker_gets_every_turn_of_the_dialogue(spark):
     )
     said = [one["rendered"][s["start"] : s["end"]] for s in one["mask"]]
     assert said == ["hi < |end|><|end|>", "bye<|end|>"]
-    long = sorted((r["block"], r["part"]) for r in got if (r["conv_id"], r["speaker"]) == (4, "a"))
-    assert long == [(0, 0), (1, 0), (2, 0), (3, 0)]
+    long = sorted((r["part"], r["n_turns"]) for r in got if (r["conv_id"], r["speaker"]) == (4, "a"))
+    assert [part for part, _ in long] == list(range(len(long))) and len(long) == -(-sum(n for _, n in long) // 64)
+    for conv, speaker in {(r["conv_id"], r["speaker"]) for r in got}:
+        own = sorted(
+            (r for r in got if (r["conv_id"], r["speaker"]) == (conv, speaker)), key=lambda r: r["part"]
+        )
+        whole = "".join(r["rendered"] for r in own)
+        assert [r["start"] for r in own] == [
+            sum(len(r["rendered"]) for r in own[:k]) for k in range(len(own))
+        ]
+        said = [whole[s["start"] : s["end"]] for r in own for s in r["mask"]]
+        assert len(said) == sum(c == conv and r == speaker for c, _, r, _ in TURNS)
+        assert all(text.endswith("<|end|>") for text in said)
     assert max(r["n_turns"] for r in got) <= perspectives.TURNS_PER_PART
     assert not [r for r in got if r["conv_id"] == 3]
     assert perspectives.rotate_perspectives(turns.limit(0)).count() == 0
 
 
+def test_numbers_of_turns_do_not_matter(spark):
+    rows = [(1, 100 * k, "ab"[k % 2], f"t{k}") for k in range(4)]
+    rows += [(2, 1_700_000_000 + 7919 * k, "ab"[k % 2], f"t{k}") for k in range(200)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = perspectives.rotate_perspectives(turns.repartition(3)).collect()
+    assert sorted((r.speaker, r.n_turns) for r in got if r.conv_id == 1) == [("a", 4), ("b", 4)]
+    parts = sorted((r for r in got if (r.conv_id, r.speaker) == (2, "a")), key=lambda r: r.part)
+    assert [r.n_turns for r in parts] == [64, 64, 64, 8]
+    whole = "".join(r.rendered for r in parts)
+    said = [whole[s.start : s.end] for r in parts for s in r.mask]
+    assert said == [f"t{k}<|end|>" for k in range(0, 200, 2)]
+
+
 def test_equal_turn_numbers_are_split_into_parts(spark):
     turns = spark.range(150).selectExpr("1L conv_id", "7L turn", "'x' role", "cast(id as string) text")
     got = perspectives.rotate_perspectives(turns).collect()
