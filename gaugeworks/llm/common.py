@@ -16,7 +16,7 @@ OWN = "__gw_"
 
 # Bytes of distinct words a task remembers before it starts afresh, with what Python needs for an
 # entry beside its text; bounds the memory, not the result.
-WORD_BYTES = 64 << 20
+WORD_BYTES = 32 << 20
 ENTRY_BYTES = 150
 
 # A joined side of at most so many narrow rows (some 24 bytes each) is broadcast.
