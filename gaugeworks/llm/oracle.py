@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gaugeworks.llm.secret_scan import RULES
+
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 URL_FILTERS = f"""
@@ -105,7 +107,7 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles,
        least(d.doc_id, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id)) AS component_id
 FROM docs d LEFT JOIN sizes USING (doc_id)"""
 
-# Links of different sets, each set named by its smallest id.
+# Every document with its links; documents of equal sets are linked with each other.
 NGRAM_JACCARD_JOIN = rf"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}),
@@ -113,14 +115,93 @@ WITH docs AS (
 shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[k : k + least(len(w), 5) - 1], ' ') AS s
   FROM docs, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS r(k) WHERE len(w) > 0),
-sets AS (
-  SELECT min(doc_id) AS id, shingles FROM (
-    SELECT doc_id, list(s ORDER BY s) AS shingles FROM shingles GROUP BY doc_id)
-  GROUP BY shingles),
-each AS (SELECT id, len(shingles) AS n, unnest(shingles) AS s FROM sets)
-SELECT x.id AS left_id, y.id AS right_id, x.n AS n_left, y.n AS n_right, count(*) AS n_common
-FROM each x JOIN each y ON x.s = y.s AND x.id < y.id GROUP BY ALL
-HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))"""
+sets AS (SELECT doc_id, list(s ORDER BY s) AS shingles, count(*) AS n FROM shingles GROUP BY doc_id),
+classes AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY shingles) AS class_id FROM sets),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, count(*) AS n_links
+  FROM common o JOIN classes p ON o.a = p.doc_id JOIN classes q ON o.b = q.doc_id
+  WHERE 100 * o.n >= 80 * (p.n + q.n - o.n) GROUP BY a)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, class_id, coalesce(n_links, 0) AS n_links
+FROM docs d LEFT JOIN classes c USING (doc_id) LEFT JOIN links l ON d.doc_id = l.a"""
+
+
+def _pattern(text: str) -> str:
+    return text.replace("'", "''")
+
+
+# Matches are marked by control characters and their places are summed up.
+_MATCHES = " UNION ALL ".join(
+    f"SELECT doc_id, {k} AS k, '{rule.kind}' AS kind, {rule.least} AS least, "
+    f"string_split(regexp_replace(t, '{_pattern(rule.pattern)}', "
+    "chr(1) || '\\0' || chr(2), 'g'), chr(1)) AS pieces FROM docs"
+    for k, rule in enumerate(RULES)
+)
+_FOUND = " UNION ALL ".join(
+    f"SELECT *, length(regexp_extract(match, '{_pattern(rule.pattern)}', {rule.group})) AS size "
+    f"FROM places WHERE k = {k} AND i > 1"
+    for k, rule in enumerate(RULES)
+)
+SECRET_SCANS = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+marked AS ({_MATCHES}),
+pieces AS (
+  SELECT doc_id, k, kind, least, i, pieces[i] AS piece
+  FROM marked, unnest(range(1, len(pieces) + 1)) AS r(i) WHERE len(pieces) > 1),
+places AS (
+  SELECT doc_id, k, kind, least, i, split_part(piece, chr(2), 1) AS match,
+         coalesce(sum(length(piece) - (i > 1)::INT) OVER (
+           PARTITION BY doc_id, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           AS start
+  FROM pieces),
+found AS ({_FOUND}),
+spans AS (
+  SELECT doc_id, k, kind, start,
+         kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + length(match) AS BIGINT) AS span
+  FROM found WHERE size >= least),
+listed AS (
+  SELECT doc_id, string_agg(span, ',' ORDER BY start, k) AS spans,
+         string_agg(span, ',' ORDER BY start, k) FILTER (WHERE k < 3) AS base,
+         count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+         count(*) FILTER (WHERE k = 2) AS n_hex
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN listed USING (doc_id)"""
+
+FILL_IN_MIDDLE = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1,
+         CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM docs),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p,
+         coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+         coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM cut),
+made AS (
+  SELECT doc_id, n, form, length(p) AS p_size, length(m) AS m_size,
+         CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                   WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END AS o FROM parts),
+placed AS (
+  SELECT *, strpos(o, '<P>') AS at_p, strpos(o, '<S>') AS at_s, strpos(o, '<M>') AS at_m FROM made)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN p_size END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN m_size END AS middle_chars,
+       sha256(o) AS output_sha256,
+       sha256(CASE form
+         WHEN 'psm' THEN substr(o, 4, at_s - 4) || substr(o, at_m + 3) || substr(o, at_s + 3, at_m - at_s - 3)
+         WHEN 'spm' THEN substr(o, at_p + 3, at_m - at_p - 3) || substr(o, at_m + 3) || substr(o, 4, at_p - 4)
+         ELSE o END) AS restored_sha256
+FROM placed"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -130,4 +211,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_benchmark_decontamination": BENCHMARK_DECONTAMINATION,
         "op10_ngram_jaccard": NGRAM_JACCARD,
         "op10_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
+        "op11_secret_scans": SECRET_SCANS,
+        "op13_fill_in_middle": FILL_IN_MIDDLE,
     }

@@ -146,8 +146,9 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links, _ = jaccard_join(_table(spark, sf_dir, "documents"))
-    return links.select("left_id", "right_id", "n_left", "n_right", "n_common")
+    """One row per document with its class of equal sets and the number of its links."""
+    _, members = jaccard_join(_table(spark, sf_dir, "documents"))
+    return members.select("doc_id", "n_shingles", "class_id", "n_links")
 
 
 def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
