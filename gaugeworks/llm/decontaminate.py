@@ -7,8 +7,8 @@ occurrence of an item's window is extended to all its words. Items of fewer word
 one window each; for them every run of their length counts as kept.
 
 Edge cases: NULL and word-less texts have no words and no hit; items without words never occur;
-equal items and repeated ids are all reported; repeated rows give repeated results; an empty table on
-either side is fine; other columns are not read.
+equal items and repeated ids are all reported; repeated rows give repeated results; very long texts are
+read whole; an empty table on either side is fine; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import WordHashes, gram_hashes, mixed, small, text_key, written
+from gaugeworks.llm.common import (
+    WordHashes,
+    broadcast_value,
+    gram_hashes,
+    mixed,
+    small,
+    text_key,
+    written,
+)
 
 # Lower-cases A-Z; everything in ASCII but digits and letters divides words.
 _LETTERS = bytes(
@@ -29,6 +37,8 @@ _LETTERS = bytes(
 )
 # Words of a hashed run: the smaller, the fewer hashes are kept.
 GRAM = 4
+# K-grams of several items that sort last, the commonest ones.
+RANKED = 1 << 18
 # Items that one row of the verifying step compares with a document, about.
 ITEMS_PER_ROW = 1000
 
@@ -47,14 +57,67 @@ def _windows_min(values: np.ndarray, width: int) -> np.ndarray:
     return low
 
 
-def kept_hashes(words: np.ndarray, span: int, gram: int) -> np.ndarray:
+def ordered_hashes(grams: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Hashes that sort by how often a k-gram is in the benchmark, then by the k-gram's hash.
+
+    ``often`` are the sorted hashes of the k-grams of several items, and the number of items on a
+    scale of powers of two; all others come first.
+    """
+    known, steps = often
+    grams, step = grams >> np.uint64(8), np.zeros(len(grams), np.uint64)
+    if len(known):
+        place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        step = np.where(known[place] == grams, steps[place], step)
+    return step << np.uint64(56) | grams
+
+
+NONE_OFTEN = np.empty(0, np.uint64), np.empty(0, np.uint64)
+
+
+def kept_hashes(
+    words: np.ndarray, span: int, gram: int, often: tuple[np.ndarray, np.ndarray] = NONE_OFTEN
+) -> np.ndarray:
     """Distinct winnowed k-gram hashes of a text; two texts with a common run of ``span`` words
-    have one in common."""
+    have one in common, as both take the smallest of its k-grams. Phrases of many items sort last,
+    so a window keeps them only if it has nothing else."""
     grams = gram_hashes(words, gram)
     width = span - gram + 1
     if len(grams) < width:
         return np.empty(0, np.uint64)
-    return np.unique(_windows_min(grams, width))
+    return np.unique(_windows_min(ordered_hashes(grams, often), width))
+
+
+def _item_grams(gram: int):
+    """The distinct k-gram hashes of every item, without their lowest eight bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            found = [
+                np.unique(gram_hashes(hashes.of(words_of(text.as_py())), gram) >> np.uint64(8))
+                for text in batch.column("text")
+            ]
+            flat = np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat)], names=["gram"])
+
+    return run
+
+
+def _often(item_texts: DataFrame, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k-grams of several items, the ``RANKED`` commonest of them; any number gives the same hits."""
+    counted = (
+        item_texts.select("text")
+        .mapInArrow(_item_grams(gram), "gram long")
+        .groupBy("gram")
+        .agg(F.count("*").alias("items"))
+        .filter("items > 1")
+        .orderBy(F.desc("items"), "gram")
+        .limit(RANKED)
+        .toPandas()
+        .sort_values("gram")
+    )
+    known = counted["gram"].to_numpy(np.int64).view(np.uint64)
+    return known, np.log2(counted["items"].to_numpy(np.float64)).astype(np.uint64)
 
 
 def _short(words: np.ndarray, length: int) -> np.ndarray:
@@ -64,7 +127,7 @@ def _short(words: np.ndarray, length: int) -> np.ndarray:
     return np.unique(mixed(gram_hashes(words, length) + np.uint64(length)))
 
 
-def _item_hashes(span: int, gram: int):
+def _item_hashes(span: int, gram: int, often):
     """Rows (text key, words, kept hashes) of the items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +138,7 @@ def _item_hashes(span: int, gram: int):
                 words = hashes.of(words_of(text.as_py()))
                 counts.append(len(words))
                 found.append(
-                    kept_hashes(words, span, gram)
+                    kept_hashes(words, span, gram, often.value)
                     if len(words) >= span
                     else _short(words, len(words))
                 )
@@ -93,7 +156,7 @@ def _lists(found: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _document_hashes(span: int, gram: int, short: list[int]):
+def _document_hashes(span: int, gram: int, short: list[int], often):
     """Rows (id, text key, words, kept hashes) of the documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +168,10 @@ def _document_hashes(span: int, gram: int, short: list[int]):
                 counts.append(len(words))
                 found.append(
                     np.concatenate(
-                        [kept_hashes(words, span, gram), *(_short(words, k) for k in short)]
+                        [
+                            kept_hashes(words, span, gram, often.value),
+                            *(_short(words, k) for k in short),
+                        ]
                     )
                 )
             yield pa.RecordBatch.from_arrays(
@@ -186,9 +252,10 @@ def contamination(
         F.col(item_column).cast("string").alias("item"), F.col(item_text_column).alias("text")
     ).withColumn("ikey", text_key())
     item_texts = items.select("ikey", "text").dropDuplicates(["ikey"])
+    often = broadcast_value(documents.sparkSession, _often(item_texts, gram))
     item_rows = written(
         item_texts.mapInArrow(
-            _item_hashes(span, gram), "ikey long, n_words long, hashes array<long>"
+            _item_hashes(span, gram, often), "ikey long, n_words long, hashes array<long>"
         ),
         "winnow-items",
     )
@@ -196,7 +263,7 @@ def contamination(
     short = sorted(row[0] for row in lengths.select("n_words").distinct().collect())  # under span
     kept = written(
         texts.mapInArrow(
-            _document_hashes(span, gram, short),
+            _document_hashes(span, gram, short, often),
             "doc_id long, tkey long, n_words long, hashes array<long>",
         ),
         "winnow-documents",

@@ -557,3 +557,30 @@ def test_language_is_learnt_and_held_out(spark, sf_dir, docs):
 def test_checksums_are_those_of_zlib(spark):
     row = spark.sql("select crc32(cast('42' as binary)) c").first()
     assert row.c == zlib.crc32(b"42")
+
+
+def test_a_common_phrase_makes_no_candidates(spark, monkeypatch):
+    """A phrase shorter than the span, in all documents and items, and one real passage."""
+    phrase = "as it was said before this"
+
+    def text(name, n):
+        words = [f"{name}{n}x{k}" for k in range(24)]
+        return " ".join([*words[:12], phrase, *words[12:]])
+
+    documents = spark.createDataFrame([(n, text("d", n)) for n in range(60)], SCHEMA)
+    bench = spark.createDataFrame(
+        [(n, text("i", n)) for n in range(60)] + [(99, text("d", 7))], "item_id long, text string"
+    )
+    compared = []
+    plain = decontaminate.written
+
+    def counted(frame, label):
+        stored = plain(frame, label)
+        if label == "winnow-pairs":
+            compared.append(stored.select(F.sum(F.size("keys"))).first()[0])
+        return stored
+
+    monkeypatch.setattr(decontaminate, "written", counted)
+    got = decontaminate.contamination(documents, bench).collect()
+    assert {r.doc_id: r["items"] for r in got if r["items"]} == {7: ["99"]}
+    assert compared == [1]
