@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.session import scratch_dir
 from gaugeworks.settings import JOIN_TASK_ROWS, MAX_BROADCAST_BYTES
 
 _FIELD_OVERHEAD = 16
+# Hot keys up to which their table is broadcast.
+FEW_KEYS = 100_000
 _PLAIN_TYPES = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -37,14 +40,16 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join in which a key of more than ``task_rows`` rows is spread over several tasks.
 
-    An aggregate finds the hot keys; there are at most rows / ``task_rows`` of them. Only their
+    An aggregate finds the hot keys, once; there are at most rows / ``task_rows`` of them, and they are
+    broadcast only if they are few. Only their
     rows take a salt, from a hash of the row and its place in the input (which a scan reproduces),
     so exact copies are spread as well; only their rows of ``small`` are repeated, once per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"cannot salt a {how} join")
     salt, salts = "_salt", "_salts"
-    hot = (
+    spark, path = large.sparkSession, scratch_dir(large.sparkSession, "hot-keys")
+    counted = (
         large.groupBy(*keys)
         .agg(F.count("*").alias(salts))
         .where(F.col(salts) > task_rows)
@@ -53,12 +58,16 @@ def salted_join(
             F.ceil(F.col(salts) / task_rows).cast("int").alias(salts),
         )
     )
+    counted.write.parquet(path)
+    hot = spark.read.schema(counted.schema).parquet(path)
+    if hot.count() <= FEW_KEYS:
+        hot = F.broadcast(hot)
 
     def marked(side: DataFrame) -> DataFrame:
         same = F.lit(True)
         for key in keys:
             same = same & F.col(key).eqNullSafe(F.col(f"_hot_{key}"))
-        found = side.join(F.broadcast(hot), same, "left")
+        found = side.join(hot, same, "left")
         return found.withColumn(salts, F.coalesce(salts, F.lit(1))).drop(
             *[f"_hot_{key}" for key in keys]
         )

@@ -14,6 +14,7 @@ from gaugeworks.sinks.versions import overwrite, stored_name
 # Bounds are quantiles within 1/accuracy of the exact rank; they only place rows.
 _ACCURACY = 10_000
 _STEPS = 256
+_SPARE_BITS = 5
 # Bits of a curve position, and of one column's share in it (what a double tells apart).
 _CURVE_BITS = 63
 _MOST_BITS = 31
@@ -75,14 +76,18 @@ def cluster(
 
     Rows close in all columns land in the same files, so the min/max statistics of a file let
     a filter on any of them skip it. One aggregation over ``columns`` finds quantiles; a row's
-    place between two of them refines its position, so the resolution is that of a 64-bit curve
-    however many files there are. The rows are then split by ranges of the curve. Rows at one
-    position are told apart by their place in the input (which a scan reproduces), so a position
-    that fills several files is spread over them.
+    place between two of them refines its position, so the resolution is not bound to the quantiles.
+    The rows are then split by ranges of the curve. Rows at one position are told apart by their
+    place in the input (which a scan reproduces), so a position that fills several files is spread
+    over them.
 
-    ``bits`` per column set the resolution; by default the columns share 63 bits.
+    ``bits`` per column set the resolution; by default they follow the number of files, with
+    ``_SPARE_BITS`` to spare for each column, as finer positions would not part the files better.
     """
     files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if bits is None and columns:
+        bits = -(-files.bit_length() // len(columns)) + _SPARE_BITS
+        bits = max(1, min(bits, _MOST_BITS, _CURVE_BITS // len(columns)))
     placed = _placed(df, columns, bits).withColumn("_tie", F.monotonically_increasing_id())
     return (
         placed.repartitionByRange(files, "_curve", "_tie")
