@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import OWN, broadcast_value, kept_in, set_aside
+from gaugeworks.llm.common import OWN, broadcast_value, kept_in, release, set_aside
 from gaugeworks.llm.token_counts import byte_alphabet
 
 # Fixed value: how byte-level BPE files of this kind cut text into words.
@@ -37,7 +37,7 @@ SHORT = 48
 # Texts whose words are proposed and verified together.
 TOGETHER = 64
 # Bytes of encoded words that a task remembers, with what Python needs for an entry beside its text.
-KNOWN_BYTES = 48 << 20
+KNOWN_BYTES = 32 << 20
 ENTRY_BYTES = 200
 
 
@@ -257,6 +257,12 @@ def _codec(shared) -> Codec:
     return kept_in(shared.value, "codec", lambda: Codec(shared.value["vocabulary"]))
 
 
+def _done(shared) -> None:
+    """What a task built goes with it; the next task builds it anew in a fraction of a second."""
+    shared.value.pop("codec", None)
+    release()
+
+
 def _in_parts(batch: pa.Array) -> Iterator[pa.Array]:
     for start in range(0, len(batch), TOGETHER):
         yield batch.slice(start, TOGETHER)
@@ -290,7 +296,7 @@ def with_round_trip(
             yield pa.StructArray.from_arrays(
                 [_id_lists(packed), pa.array(texts, pa.string())], ["ids", "decoded"]
             )
-        codec.forget()
+        _done(shared)
 
     both = F.arrow_udf(run, "ids array<int>, decoded string", F.ArrowUDFType.SCALAR_ITER)
     own = f"{OWN}tokens"
@@ -315,7 +321,7 @@ def with_token_ids(
             for part in _in_parts(batch):
                 packed += codec.encode([text or "" for text in part.to_pylist()])
             yield _id_lists(packed)
-        codec.forget()
+        _done(shared)
 
     encoder = F.arrow_udf(encode, "array<int>", F.ArrowUDFType.SCALAR_ITER)
     return documents.withColumn(ids_column, encoder(F.col(text_column)))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import OWN, mixed, set_aside, text_key, written
+from gaugeworks.llm.common import OWN, mixed, release, set_aside, text_key, written
 
 # A cut is the smallest hash among so many bytes on either side; chunks are longer than that.
 AROUND = 16
@@ -170,6 +170,7 @@ def _digests(min_run: int):
             sizes = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate([*found, np.empty(0, np.int64)])
             yield pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
+        release()
 
     return run
 
@@ -241,6 +242,7 @@ def _cut(min_run: int):
                 ],
                 ["text", "spans", "chunks", "repeated", "alike"],
             )
+        release()
 
     return run
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +52,15 @@ def broadcast_value(spark: SparkSession, value):
     return spark.sparkContext.broadcast(value)
 
 
+def release() -> None:
+    """Hand memory that a finished task no longer needs back to the system, as workers live on."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some systems have it
+    if trim:
+        trim(0)
+
+
 def kept_in(shared: dict, name: str, build: Callable):
     """A value built once per Python worker and kept beside the broadcast it is made from."""
     if name not in shared:

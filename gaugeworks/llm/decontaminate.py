@@ -25,6 +25,7 @@ from gaugeworks.llm.common import (
     broadcast_value,
     gram_hashes,
     mixed,
+    release,
     small,
     text_key,
     written,
@@ -183,6 +184,8 @@ def _document_hashes(span: int, gram: int, short: list[int], often):
                 ],
                 names=["doc_id", "tkey", "n_words", "hashes"],
             )
+        hashes.clear()
+        release()
 
     return run
 

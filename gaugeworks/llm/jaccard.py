@@ -39,6 +39,7 @@ from gaugeworks.llm.common import (
     broadcast_value,
     components,
     gram_hashes,
+    release,
     small,
     text_key,
     written,
@@ -105,6 +106,8 @@ def _summaries(size: int):
                 ],
                 names=["doc_id", "tkey", "n", "sid", "shingle", "often"],
             )
+        hashes.clear()
+        release()
 
     return run
 
@@ -155,6 +158,8 @@ def _prefixes(size: int, percent: int, frequent):
                 ],
                 names=["sid", "n", *(f"b{k}" for k in range(BITMAP_LONGS)), *wide, "prefix"],
             )
+        hashes.clear()
+        release()
 
     return run
 
@@ -223,6 +228,8 @@ def _fragments(size: int, order):
                 ],
                 names=["sid", "fragment", "shingles"],
             )
+        hashes.clear()
+        release()
 
     return run
 
