@@ -112,40 +112,34 @@ def explode_readings(
     others = [name for name in df.columns if name != value]
     fields = [f.name for f in T.StructType.fromDDL(element.removeprefix("struct<")[:-1]).fields]
     known = F.array(*map(F.lit, fields))
-    read = df.select(*others, F.col(value).alias("_text")).withColumns(
-        {
-            "_items": F.from_json("_text", f"array<{element}>"),
-            "_maps": F.from_json("_text", "array<map<string,string>>"),
-        }
+    read = df.select(*others, F.col(value).alias("_text")).withColumn(
+        "_items", F.from_json("_text", f"array<{element}>")
     )
 
-    def lossy(pair: Column) -> Column:
-        item, found = pair["_items"], pair["_maps"]
-        lost = found.isNull() | (F.size(F.array_except(F.map_keys(found), known)) > 0)
+    def gap(item: Column) -> Column:
+        found = item.isNull()
         for name in fields:
-            lost = lost | (item[name].isNull() & F.try_element_at(found, F.lit(name)).isNotNull())
-        return lost
-
-    # Keys and values are held against the type once per array; only where something is lost are the
-    # elements taken as text, each beside its item.
-    odd = F.coalesce(F.exists(F.arrays_zip("_items", "_maps"), lossy), F.lit(True))
-    raw = F.when(F.col("_items").isNotNull() & odd, F.from_json("_text", "array<string>"))
-    plain = F.transform(
-        "_items", lambda item: F.struct(item.alias("item"), F.lit(None).cast("string").alias("raw"))
-    )
-    paired = F.when(F.col("_raw").isNull(), plain).otherwise(
-        F.zip_with(
-            "_items", "_raw", lambda item, text: F.struct(item.alias("item"), text.alias("raw"))
-        )
+            found = found | item[name].isNull()
+        return found
+
+    # Nothing is lost of an array whose items have all their fields and whose text has no more keys
+    # than that (a quote and a colon inside a value count as one, which only means a closer look).
+    # The elements of all other arrays are taken as text and looked at one by one.
+    keys = F.regexp_count("_text", F.lit(r'"\s*:'))
+    clean = ~F.exists("_items", gap) & (keys == F.size("_items") * len(fields))
+    raw = F.when(
+        F.col("_items").isNotNull() & ~F.coalesce(clean, F.lit(False)),
+        F.from_json("_text", "array<string>"),
     )
     one = (
         read.withColumn("_raw", raw)
         .select(
             *others,
             F.when(F.col("_items").isNull(), F.col("_text")).alias("_whole"),
-            F.explode_outer(paired).alias("_one"),
+            "_raw",
+            F.posexplode_outer("_items").alias("_place", "_item"),
         )
-        .select(*others, "_whole", F.col("_one.item").alias("_item"), F.col("_one.raw").alias("_piece"))
+        .withColumn("_piece", F.get("_raw", F.col("_place")))
     )
     piece = F.col("_piece")
     keys = F.json_object_keys(piece)
