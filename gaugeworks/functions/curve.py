@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Executors need not have this package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def as_number(kind: T.DataType, name: str) -> Column:
     """A numeric, date or time column as a double that keeps its order."""
@@ -58,3 +65,79 @@ def interleave(buckets: Sequence[Column], bits: int) -> Column:
     for part in spread[1:]:
         merged = merged.bitwiseOR(part)
     return merged
+
+
+def place_numbers(numbers: np.ndarray, bounds: np.ndarray, bits: int) -> np.ndarray:
+    """The places of ``with_position`` for a whole array of numbers; NULL is for the caller."""
+    place = np.searchsorted(bounds, numbers, side="right")
+    low, high = bounds[np.maximum(place - 1, 0)], bounds[np.minimum(place, len(bounds) - 1)]
+    inside = (place > 0) & (place < len(bounds))
+    with np.errstate(all="ignore"):
+        within = np.where(inside, (numbers - low) / (high - low), 0.0)
+        within = np.nan_to_num(within, nan=0.0, posinf=1.0, neginf=0.0)
+    share = (np.maximum(place - 1, 0) + within) / len(bounds)
+    return np.minimum(np.floor(share * float(1 << bits)).astype(np.int64), (1 << bits) - 1)
+
+
+def interleave_numbers(places: Sequence[np.ndarray], bits: int) -> np.ndarray:
+    """``interleave`` for whole arrays."""
+    merged = np.zeros(len(places[0]), dtype=np.int64)
+    for bit in range(bits):
+        for place, numbers in enumerate(places):
+            merged |= ((numbers >> bit) & 1) << (bit * len(places) + place)
+    return merged
+
+
+def _curve_numbers(
+    columns: Sequence[pa.Array], bounds: Sequence[np.ndarray], bits: int
+) -> np.ndarray:
+    places = []
+    for column, limits in zip(columns, bounds, strict=True):
+        known = column.is_valid().to_numpy(zero_copy_only=False)
+        place = place_numbers(column.to_numpy(zero_copy_only=False), limits, bits)
+        places.append(np.where(known, place, 0))
+    return interleave_numbers(places, bits)
+
+
+def curve_position(numbers: Sequence[Column], bounds: Sequence[Sequence[float]], bits: int) -> Column:
+    """Curve position of a row from doubles and the bounds of each (see ``with_position``).
+
+    The searches run over whole batches of rows; as expressions, of which each row would take a few
+    dozen, they cost more than the scan, the shuffle and the write together.
+    """
+    limits = [np.array(found, dtype=np.float64) for found in bounds]
+
+    @F.arrow_udf(T.LongType())
+    def position(*columns: pa.Array) -> pa.Array:
+        return pa.array(_curve_numbers(columns, limits, bits))
+
+    return position(*numbers)
+
+
+def curve_range(
+    numbers: Sequence[Column],
+    bounds: Sequence[Sequence[float]],
+    bits: int,
+    tie: Column,
+    splits: Sequence[int],
+) -> Column:
+    """Struct of the curve position and of the range it falls into (``curve``, ``part``).
+
+    ``splits`` are the highest positions of the ranges, ascending; without any there is one range. A
+    position that fills several ranges is dealt out over them by ``tie``, a whole number.
+    """
+    limits = [np.array(found, dtype=np.float64) for found in bounds]
+    highest = np.array(splits, dtype=np.int64)
+
+    @F.arrow_udf("struct<curve:long,part:int>")
+    def ranged(tie: pa.Array, *columns: pa.Array) -> pa.Array:
+        curve = _curve_numbers(columns, limits, bits)
+        first = np.searchsorted(highest, curve, side="left")
+        after = np.searchsorted(highest, curve, side="right")
+        part = first + tie.to_numpy(zero_copy_only=False) % np.maximum(after - first, 1)
+        part = np.minimum(part, max(len(highest) - 1, 0))
+        return pa.StructArray.from_arrays(
+            [pa.array(curve), pa.array(part.astype(np.int32))], ["curve", "part"]
+        )
+
+    return ranged(tie, *numbers)

@@ -29,7 +29,7 @@ from gaugeworks.settings import (
     DimensionSpec,
 )
 from gaugeworks.sinks.folds import fold_batches, list_batches
-from gaugeworks.sinks.layout import compact, files_needed
+from gaugeworks.sinks.layout import compact, files_for_all
 from gaugeworks.sinks.tables import (
     Namespace,
     create_tenant_view,
@@ -133,7 +133,7 @@ def build_gold_wide(
 ) -> DataFrame:
     """Rebuild the wide table, clustered by date and engine."""
     facts = namespace.silver(SILVER_TELEMETRY)
-    files = files_needed(spark, facts, target_bytes)
+    files = files_for_all(spark, facts, target_bytes)
     dims = [namespace.silver(f"slv_dim_{name}") for name in ("engines", "aircraft", "locations")]
     wide = build_wide_clustered(read_batches(spark, facts), *map(spark.table, dims), files=files)
     target = namespace.gold(GOLD_WIDE)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.curve import as_number, interleave, with_position
+from gaugeworks.functions.curve import as_number, curve_position, curve_range
 from gaugeworks.settings import TARGET_FILE_BYTES
 from gaugeworks.sinks.versions import overwrite, stored_name
 
@@ -15,6 +15,9 @@ from gaugeworks.sinks.versions import overwrite, stored_name
 _ACCURACY = 10_000
 _STEPS = 256
 _SPARE_BITS = 5
+# Files a core should have to write in a rewrite, and the size that is worth a file of its own.
+_TASKS_PER_CORE = 3
+_LEAST_FILE_BYTES = 16 * 1024 * 1024
 # Bits of a curve position, and of one column's share in it (what a double tells apart).
 _CURVE_BITS = 63
 _MOST_BITS = 31
@@ -44,6 +47,14 @@ def files_needed(spark: SparkSession, table: str, target_bytes: int = TARGET_FIL
     return max(1, -(-stored_bytes(spark, table) // target_bytes))
 
 
+def files_for_all(spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Files for a rewrite in which a task writes one: ``files_needed``, and more where those would
+    leave cores idle, unless they would fall below ``_LEAST_FILE_BYTES``."""
+    busy = _TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    most = min(busy, files_needed(spark, table, _LEAST_FILE_BYTES))
+    return max(files_needed(spark, table, target_bytes), most)
+
+
 def stored_bytes(spark: SparkSession, table: str) -> int:
     """Size of the table's files, from a listing; no rows are read."""
     table = stored_name(spark, table)
@@ -77,7 +88,8 @@ def cluster(
     Rows close in all columns land in the same files, so the min/max statistics of a file let
     a filter on any of them skip it. One aggregation over ``columns`` finds quantiles; a row's
     place between two of them refines its position, so the resolution is not bound to the quantiles.
-    The rows are then split by ranges of the curve. Rows at one position are told apart by their
+    A second aggregation, over the same columns alone, finds the positions that split the rows into
+    equal ranges, so the whole rows are read once. Rows at one position are told apart by their
     place in the input (which a scan reproduces), so a position that fills several files is spread
     over them.
 
@@ -88,31 +100,42 @@ def cluster(
     if bits is None and columns:
         bits = -(-files.bit_length() // len(columns)) + _SPARE_BITS
         bits = max(1, min(bits, _MOST_BITS, _CURVE_BITS // len(columns)))
-    placed = _placed(df, columns, bits).withColumn("_tie", F.monotonically_increasing_id())
+    numbers, bounds = _quantiles(df, columns)
+    if not numbers:
+        # Without a value to go by, rows are dealt out by their place in the input.
+        return df.repartition(files).sortWithinPartitions(*columns) if columns else df.repartition(files)
+    bits = bits or max(1, min(_MOST_BITS, _CURVE_BITS // len(numbers)))
+    splits = _splits(df.select(curve_position(numbers, bounds, bits).alias("_curve")), files)
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = tied.withColumn("_range", curve_range(numbers, bounds, bits, F.col("_tie"), splits))
     return (
-        placed.repartitionByRange(files, "_curve", "_tie")
-        .sortWithinPartitions("_curve", *columns)
+        ranged.drop("_tie")
+        .repartitionById(files, F.col("_range.part"))
+        .sortWithinPartitions("_range.curve", *columns)
         .select(*df.columns)
     )
 
 
-def _placed(df: DataFrame, columns: Sequence[str], bits: int | None) -> DataFrame:
-    """``df`` with the curve position of each row."""
+def _quantiles(df: DataFrame, columns: Sequence[str]) -> tuple[list[Column], list[list[float]]]:
+    """The columns that have any value, as numbers, and ascending bounds of each."""
+    if not columns:
+        return [], []
     shares = [step / _STEPS for step in range(_STEPS + 1)]
     numbers = {name: as_number(df.schema[name].dataType, name) for name in columns}
     found = df.agg(
         *[F.percentile_approx(numbers[name], shares, _ACCURACY).alias(name) for name in columns]
     ).first()
-    # A column without any value does not place rows.
     used = [name for name in columns if found[name]][:_CURVE_BITS]
-    bits = bits or max(1, min(_MOST_BITS, _CURVE_BITS // max(1, len(used))))
-    placed = df
-    for name in used:
-        bounds = sorted(set(found[name]))
-        placed = with_position(placed, f"_place_{name}", numbers[name], bounds, bits)
-    places = [f"_place_{name}" for name in used]
-    curve = interleave([F.col(name) for name in places], bits) if used else F.lit(0).cast("long")
-    return placed.withColumn("_curve", curve).drop(*places)
+    return [numbers[name] for name in used], [sorted(set(found[name])) for name in used]
+
+
+def _splits(positions: DataFrame, files: int) -> list[int]:
+    """The highest position of each of ``files`` ranges of about equal rows."""
+    if files == 1:
+        return []
+    shares = [number / files for number in range(1, files + 1)]
+    accuracy = max(_ACCURACY, 10 * files)
+    return positions.agg(F.percentile_approx("_curve", shares, accuracy)).first()[0] or []
 
 
 def cluster_table(
