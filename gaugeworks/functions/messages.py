@@ -58,15 +58,20 @@ def rescue_unread(text: Column, parsed: Column, schema: T.StructType) -> Column:
     """JSON object of the fields of ``text`` that ``parsed`` does not hold, else NULL.
 
     Those are the keys outside ``schema`` and the values that do not fit their type. Text that
-    is no JSON object is kept whole. ``parsed`` must carry the corrupt-record column; the
-    second, generic parse runs only for rows where something is left over.
+    is no JSON object is kept whole. ``parsed`` must carry the corrupt-record column. The keys are
+    listed by a second pass over the text only where a column is missing or ``_has_more_keys``; the
+    third, generic parse runs only for rows where something is left over.
     """
     names = [f.name for f in schema.fields]
     known = F.array(*map(F.lit, names)).cast("array<string>")
     read = F.array_compact(
         F.array(*[F.when(parsed[name].isNotNull(), F.lit(name)) for name in names])
     ).cast("array<string>")
-    extra = F.coalesce(F.size(F.array_except(F.json_object_keys(text), known)) > 0, F.lit(True))
+    unknown = F.coalesce(F.size(F.array_except(F.json_object_keys(text), known)) > 0, F.lit(True))
+    suspect = _has_more_keys(text, len(names))
+    for name in names:
+        suspect = suspect | parsed[name].isNull()
+    extra = F.when(suspect, unknown).otherwise(F.lit(False))
     left_over = F.map_filter(
         F.from_json(text, "map<string,string>"),
         lambda key, value: ~F.array_contains(read, key)
@@ -77,6 +82,20 @@ def rescue_unread(text: Column, parsed: Column, schema: T.StructType) -> Column:
     return F.when(extra | parsed[CORRUPT_COLUMN].isNotNull(), kept)
 
 
+def _has_more_keys(text: Column, known: int) -> Column:
+    """Whether a JSON text may have more keys, at any depth, than the ``known`` ones it has.
+
+    Each key ends in a quote, blanks and a colon. Without a single quote or a blank before any colon
+    the keys are at most the places of a double quote and a colon; such a pair inside a value
+    only means a closer look.
+    """
+    pairs = F.octet_length(text) - F.octet_length(F.replace(text, F.lit('":'), F.lit("")))
+    more = pairs != F.lit(2 * known)
+    for before in ("'", " ", "\t", "\n", "\r"):
+        more = more | F.contains(text, F.lit(f"{before}:"))
+    return more
+
+
 def parse_json_lines(
     lines: DataFrame,
     schema: T.StructType,

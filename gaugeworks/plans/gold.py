@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.columns import stamp
+from gaugeworks.operators.joins import fits_broadcast, join_reference
 from gaugeworks.operators.wide import (
-    build_wide,
+    dated_facts,
     engine_profile,
     fleet_daily_summary,
     known_owners,
@@ -145,15 +146,26 @@ def _end(start: date, period: str) -> date:
     return start + timedelta(days=days)
 
 
-def _wide(facts: DataFrame, dimensions: list[DataFrame], period: str) -> DataFrame:
-    wide = stamp(build_wide(facts, *dimensions), "gold_obt_updated_at")
+def _by_period(dated: DataFrame, period: str) -> DataFrame:
     return (
-        wide.withColumn(PERIOD_COLUMN, period_of(F.col("telemetry_date"), period))
+        dated.withColumn(PERIOD_COLUMN, period_of(F.col("telemetry_date"), period))
         .hint("rebalance", PERIOD_COLUMN)
         .sortWithinPartitions(PERIOD_COLUMN, "engine_id")
     )
 
 
+def _wide(facts: DataFrame, dimensions: list[DataFrame], period: str) -> DataFrame:
+    """The wide rows by period. A broadcast join keeps partitions and order, so it comes after the
+    shuffle of the narrow facts; only a profile too large for that is joined before."""
+    profile, dated = engine_profile(*dimensions), dated_facts(facts)
+    if fits_broadcast(profile):
+        placed = _by_period(dated, period)
+        wide = join_reference(placed, profile, ["engine_id"], "left", broadcast=True)
+        return stamp(wide, "gold_obt_updated_at")
+    wide = join_reference(dated, profile, ["engine_id"], "left", broadcast=False)
+    return _by_period(stamp(wide, "gold_obt_updated_at"), period)
+
+
 def _summary(wide: DataFrame, period: str) -> DataFrame:
     summary = fleet_daily_summary(wide)
     return summary.withColumn(PERIOD_COLUMN, period_of(F.col("telemetry_date"), period)).hint(

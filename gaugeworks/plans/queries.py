@@ -149,6 +149,23 @@ def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_wide(_valid(spark, sf_dir), *_profile_dims(spark, sf_dir))
 
 
+def _land(messages: DataFrame, folder: str) -> None:
+    """Messages as packed JSON files of some thousand each, as an archive holds them.
+
+    A packed file is read by one task, so its messages are bounded.
+    """
+    writer = messages.write.option("ignoreNullFields", "false").option("compression", "lz4")
+    writer.option("maxRecordsPerFile", 50_000).json(folder)
+
+
+def _land_files(rows: DataFrame, folder: str) -> None:
+    """A Parquet file per partition, for streams that take files one by one.
+
+    Tasks share a file by its row groups, so those are far smaller than a micro-batch.
+    """
+    rows.write.option("parquet.block.size", 4 << 20).parquet(folder)
+
+
 class _Area:
     """A fresh scratch folder with schemas of its own for queries that store tables."""
 
@@ -161,9 +178,7 @@ class _Area:
     def land_telemetry(self, sf_dir: str) -> str:
         """Telemetry as JSON files of some thousand messages each, as an archive holds them."""
         folder = f"{self.path}/landing"
-        raw = bind(self.spark, sf_dir, "raw_telemetry")
-        writer = raw.write.option("ignoreNullFields", "false").option("maxRecordsPerFile", 50_000)
-        writer.json(folder)
+        _land(bind(self.spark, sf_dir, "raw_telemetry"), folder)
         return folder
 
     def land_dimensions(self, sf_dir: str) -> str:
@@ -176,7 +191,9 @@ class _Area:
         source = self.land_telemetry(sf_dir)
         target = self.names.bronze(BRONZE_TELEMETRY)
         schema = T.StructType.fromDDL(TIMED_SCHEMA)
-        lines = stream_lines(self.spark, source, max_files=8)
+        # Steps that keep every core at work; a file is one task.
+        files = max(8, 4 * self.spark.sparkContext.defaultParallelism)
+        lines = stream_lines(self.spark, source, max_files=files)
         ingest_stream(lines, target, f"{self.path}/state/bronze", schema)
         return target
 
@@ -926,7 +943,7 @@ def _gold_incremental(spark, sf_dir):
             engines = bind(spark, sf_dir, "raw_dim_engines").withColumn("tail_number", moved)
             engines.write.mode("overwrite").json(f"{export}/dim_engines")
         sync_dimensions(spark, export, area.names)
-        rows.write.option("ignoreNullFields", "false").json(f"{area.path}/landing/{wave}")
+        _land(rows, f"{area.path}/landing/{wave}")
         process_telemetry(
             spark,
             f"{area.path}/landing",
