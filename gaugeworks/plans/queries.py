@@ -61,7 +61,7 @@ from gaugeworks.settings import (
     dimension,
 )
 from gaugeworks.sinks.archive import archive_batch, fold_archive, read_archive
-from gaugeworks.sinks.buckets import join_stored, store_facts, store_reference
+from gaugeworks.sinks.buckets import buckets_for, join_stored, store_facts, store_reference
 from gaugeworks.sinks.folds import fold_batches
 from gaugeworks.sinks.layout import cluster_table, compact
 from gaugeworks.sinks.tables import (
@@ -254,8 +254,9 @@ def _obt_bucketed_join(spark, sf_dir):
     facts, profile = area.names.silver("facts_by_engine"), area.names.silver("profile_by_engine")
     dated = dated_facts(_valid(spark, sf_dir))
     rows = dated.count()
-    store_facts(dated, facts, ["engine_id"], buckets=8, task_rows=max(1, rows // 100))
-    store_reference(engine_profile(*_profile_dims(spark, sf_dir)), profile, ["engine_id"], 8)
+    buckets = buckets_for(rows, least=8)
+    store_facts(dated, facts, ["engine_id"], buckets, task_rows=max(1, rows // 100))
+    store_reference(engine_profile(*_profile_dims(spark, sf_dir)), profile, ["engine_id"], buckets)
     return join_stored(spark, facts, profile, ["engine_id"])
 
 

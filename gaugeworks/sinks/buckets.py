@@ -17,6 +17,15 @@ from gaugeworks.settings import JOIN_TASK_ROWS, MAX_BROADCAST_BYTES
 from gaugeworks.sinks.versions import new_version, publish, remove_versions
 
 
+# Rows of a bucket, about: a task sorts one on writing and one on joining.
+BUCKET_ROWS = 1_000_000
+
+
+def buckets_for(rows: int, least: int = 1) -> int:
+    """Buckets for facts of so many rows: their number grows with the rows, their size does not."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def _bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
     version = new_version(table)
     (
