@@ -176,7 +176,6 @@ class _Area:
         self.names = create_namespaces(spark, Namespace(prefix), self.path)
 
     def land_telemetry(self, sf_dir: str) -> str:
-        """Telemetry as JSON files of some thousand messages each, as an archive holds them."""
         folder = f"{self.path}/landing"
         _land(bind(self.spark, sf_dir, "raw_telemetry"), folder)
         return folder
@@ -964,8 +963,7 @@ def _fold_batches(spark, sf_dir):
     landing, checkpoint = f"{area.path}/readings", f"{area.path}/state/silver"
     valid, quarantine = area.names.silver(SILVER_TELEMETRY), area.names.silver(SILVER_QUARANTINE)
     silver = _silver(spark, sf_dir)
-    parts = silver.repartition(20, F.xxhash64("cycle", "telemetry_timestamp"))
-    parts.write.parquet(landing)
+    _land_files(silver.repartition(20, F.xxhash64("cycle", "telemetry_timestamp")), landing)
     batches = []
 
     def route(batch: DataFrame, batch_id: int) -> None:
