@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding by speculation and verification.
 
-Words are first cut by greedy longest match, which is nearly always what the merges give. All
-adjacent pairs of the proposals are then tested at once (numpy): a sequence is the BPE encoding
-exactly if every two neighbours are what BPE makes of the two of them. Only words with a failing
-pair go through the merges.
+Words are first encoded by a guess, for many words at once (numpy): every pair that ranks before the
+pairs beside it is merged, whatever is still to happen further off; long words are cut by greedy
+longest match. All adjacent pairs of the guesses are then tested at once: a sequence is the BPE
+encoding exactly if every two neighbours are what BPE makes of the two of them. Only words with a
+failing pair go through the merges one by one.
 
 Edge cases: NULL encodes like empty text, to no ids; special tokens in a text become their ids, as the
 file's own added tokens ask for; very long texts and words are encoded whole, words merging in
@@ -15,7 +16,10 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +38,8 @@ _NEVER = np.int64(1) << 40
 
 # Longer words (in bytes) are merged with a heap.
 SHORT = 48
+# Words encoded at once; bounds the memory, not the result.
+LEARNT = 1 << 15
 # Texts whose words are proposed and verified together.
 TOGETHER = 64
 # Bytes of encoded words that a task remembers, with what Python needs for an entry beside its text.
@@ -41,6 +47,23 @@ KNOWN_BYTES = 32 << 20
 ENTRY_BYTES = 200
 
 
+@cache
+def plain_words() -> re.Pattern:
+    """``WORDS`` for texts within the first 65536 code points, where ``re`` is the faster one.
+
+    Its classes hold what ``regex`` counts as such there.
+    """
+    everything = "".join(map(chr, range(1 << 16)))
+    blank, letter, number = (
+        "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in regex.finditer(kind, everything))
+        for kind in (r"\s+", r"\p{L}+", r"\p{N}+")
+    )
+    return re.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{blank}{letter}{number}]+"
+        rf"|[{blank}]+(?![^{blank}])|[{blank}]+"
+    )
+
+
 def read_vocabulary(path: str) -> dict:
     """Pieces by id, merges in order of rank, special tokens: what a file of the format holds."""
     letters = byte_alphabet()
@@ -75,6 +98,7 @@ class Codec:
         self.rank_of = {(int(a), int(b)): k for k, (a, b, _) in enumerate(merges)}
         self.made = merges[:, 2].tolist()
         self.bytes = [self.ids.get(bytes([byte]), -1) for byte in range(256)]
+        self.byte_ids, self.made_ids = np.array(self.bytes, np.int64), merges[:, 2].astype(np.int64)
         # When a piece comes into being, and of which two it is made; bytes are there from the start.
         self.born = np.full(self.width, -1, np.int64)
         self.left = np.arange(self.width, dtype=np.int64)
@@ -85,12 +109,15 @@ class Codec:
         # Pieces that the merges never leave whole are not proposed.
         whole = self._stay_apart(merges[:, 0], merges[:, 1], self.born[merges[:, 2]])
         whole &= self.born[merges[:, 2]] == np.arange(len(merges))
-        usable = {int(k) for k in merges[whole, 2]} | {
-            k for p, k in self.ids.items() if len(p) == 1
-        }
+        usable = {k for p, k in self.ids.items() if len(p) == 1}
+        for left, right, made in merges[whole].tolist():
+            if left in usable and right in usable:
+                usable.add(made)
         self.proposed = {p: k for p, k in self.ids.items() if k in usable}
+        self.usable = np.zeros(self.width, bool)
+        self.usable[list(usable)] = True
         self.longest = max(map(len, self.proposed), default=1)
-        self.cut = regex.compile(WORDS)
+        self.cut, self.cut_plain = regex.compile(WORDS), plain_words()
         self.specials = (
             regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
             if self.special
@@ -151,6 +178,43 @@ class Codec:
                 raise ValueError("the vocabulary lacks a byte")
         return found
 
+    def propose_each(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Proposals for words of any length, as ``propose_all`` gives them."""
+        guesses = [self.propose(word) for word in words]
+        flat = np.array([number for guess in guesses for number in guess], np.int64)
+        return flat, np.cumsum([len(guess) for guess in guesses])
+
+    def propose_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Proposals for short words: their ids one after the other, and where each word ends.
+
+        Of pairs with the same rank that overlap, every second is merged, as from the left.
+        """
+        ids = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        if (ids < 0).any():
+            raise ValueError("the vocabulary lacks a byte")
+        last = np.zeros(len(ids), bool)
+        last[np.cumsum([len(word) for word in words], dtype=np.int64) - 1] = True
+        rank = np.full(len(ids), _NEVER)  # of each id and the next of its word
+        stale = np.flatnonzero(~last)
+        while len(stale):
+            rank[stale] = self._rank(ids[stale], ids[stale + 1])
+            ready = np.flatnonzero(rank < _NEVER)
+            own = rank[ready]
+            ready = ready[(own <= rank[ready - 1]) & (own <= rank[ready + 1])]
+            place = np.arange(len(ready))
+            begins = np.diff(ready, prepend=-2) > 1
+            ready = ready[(place - np.maximum.accumulate(place * begins)) % 2 == 0]
+            ids[ready] = self.made_ids[rank[ready]]
+            last[ready] = last[ready + 1]
+            rank[ready] = _NEVER
+            stays = np.ones(len(ids), bool)
+            stays[ready + 1] = False
+            ids, last, rank = ids[stays], last[stays], rank[stays]
+            ready -= np.arange(len(ready))
+            stale = np.concatenate([ready, ready - 1])
+            stale = stale[~last[stale]]
+        return ids, np.flatnonzero(last) + 1
+
     def merge(self, word: bytes) -> list[int]:
         """The encoding by the merges themselves: lowest rank first, leftmost first."""
         ids = [self.bytes[byte] for byte in word]
@@ -195,39 +259,51 @@ class Codec:
         return [number for number in ids if number >= 0]
 
     def learn(self, words: set[str]) -> None:
-        """Encodes words that are not known yet, all at once."""
-        if not words:
-            return
-        names = list(words)
-        guesses = [self.propose(name.encode()) for name in names]
-        sizes = np.array([len(guess) for guess in guesses])
-        flat = np.array([number for guess in guesses for number in guess], np.int64)
+        """Encodes words that are not known yet, many at once."""
+        data = {name: name.encode() for name in words}
+        short = [name for name, word in data.items() if len(word) <= SHORT]
+        long = [name for name, word in data.items() if len(word) > SHORT]
+        for names, propose in ((short, self.propose_all), (long, self.propose_each)):
+            for start in range(0, len(names), LEARNT):
+                some = names[start : start + LEARNT]
+                coded = [data[name] for name in some]
+                self._learn(some, coded, *propose(coded))
+
+    def _learn(self, names: list[str], data: list[bytes], flat: np.ndarray, ends: np.ndarray) -> None:
+        """Keeps the proposals that are right, and merges the other words."""
         pairs = flat[:-1] * self.width + flat[1:]
         unique, place = np.unique(pairs, return_inverse=True)
         apart = self._stay_apart(
             unique // self.width, unique % self.width, np.full(len(unique), _NEVER)
         )[place]
-        ends = np.cumsum(sizes)
         apart[ends[:-1] - 1] = True  # the seam between two words
-        wrong = np.concatenate([[0], np.cumsum(~apart)])
-        starts = ends - sizes
-        for name, guess, bad in zip(names, guesses, wrong[ends - 1] - wrong[starts], strict=True):
-            exact = self.merge(name.encode()) if bad else guess
-            self.known[name] = packed = np.array(exact, np.int32).tobytes()
-            self.known_bytes += ENTRY_BYTES + 2 * len(name) + len(packed)
+        wrong = ~self.usable[flat]
+        wrong[:-1] |= ~apart
+        wrong = np.concatenate([[0], np.cumsum(wrong)])[np.concatenate([[0], ends])]
+        packed, cuts = flat.astype(np.int32).tobytes(), pairwise([0, *(4 * ends).tolist()])
+        self.known.update(zip(names, (packed[start:end] for start, end in cuts), strict=True))
+        self.known_bytes += ENTRY_BYTES * len(names) + 2 * sum(map(len, names)) + len(packed)
+        for k in np.flatnonzero(np.diff(wrong)).tolist():
+            exact = np.array(self.merge(data[k]), np.int32).tobytes()
+            self.known_bytes += len(exact) - len(self.known[names[k]])
+            self.known[names[k]] = exact
+
+    def words(self, text: str) -> list[str]:
+        plain = len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
+        return (self.cut_plain if plain else self.cut).findall(text)
 
     def parts(self, text: str) -> Iterator[tuple[list[str], int | None]]:
         """Words up to each special token, and its id."""
         place = 0
         for match in self.specials.finditer(text) if self.specials else ():
-            yield self.cut.findall(text[place : match.start()]), self.special[match[0]]
+            yield self.words(text[place : match.start()]), self.special[match[0]]
             place = match.end()
-        yield self.cut.findall(text[place:] if place else text), None
+        yield self.words(text[place:] if place else text), None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, packed as 32-bit integers."""
         cut = [list(self.parts(text)) for text in texts]
-        words = {word for parts in cut for part, _ in parts for word in part}
+        words = set().union(*(part for parts in cut for part, _ in parts))
         if self.known_bytes > KNOWN_BYTES:
             self.forget()
         self.learn(words.difference(self.known))

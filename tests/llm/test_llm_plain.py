@@ -75,6 +75,58 @@ def test_bpe_speculation_fails_sometimes_and_is_then_merged(codec):
     assert all(ids(codec, w) == codec.merge(w.encode()) for w in words)
 
 
+def test_bpe_merges_few_words_one_by_one(tokenizer, monkeypatch):
+    dice = random.Random(7)
+    parts = "the tion ing er and st nd en ou ha wh ble ed on re ly sh ti in ea né que aux ung".split()
+    text = " ".join("".join(dice.choices(parts, k=dice.randint(1, 6))) for _ in range(3000))
+    codec, merged = Codec(read_vocabulary(VOCABULARY)), []
+    exact = codec.merge
+    monkeypatch.setattr(codec, "merge", lambda word: merged.append(word) or exact(word))
+    assert ids(codec, text) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert 0 < len(merged) < 0.1 * len(set(text.split()))
+
+
+def test_bpe_on_runs_of_one_letter_and_words_around_the_length_for_guesses(codec, tokenizer):
+    dice = random.Random(9)
+    texts = [letter * k for letter in "a=é漢😀" for k in range(1, 60)]
+    texts += ["".join(dice.choices("aab=", k=dice.randint(40, 56))) for _ in range(200)]
+    for text, packed in zip(texts, codec.encode(texts), strict=True):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packed, np.int32).tolist() == want
+
+
+def test_bpe_with_any_merges_equals_merging_one_by_one():
+    for seed in range(150):
+        dice = random.Random(seed)
+        pieces, merges, seen = {k: bytes([k]) for k in range(256)}, [], set()
+        used = [ord(letter) for letter in "abc"]
+        for _ in range(dice.randint(0, 25)):
+            left, right = dice.choices(used, k=2)
+            joined = pieces[left] + pieces[right]
+            if joined not in seen:
+                seen.add(joined)
+                used.append(len(pieces))
+                merges.append((left, right, len(pieces)))
+                pieces[len(pieces)] = joined
+        codec = Codec(
+            {"pieces": pieces, "special": {}, "merges": np.array(merges, np.int64).reshape(-1, 3)}
+        )
+        sizes = dice.choices([1, 2, 3, 5, 8, 20, 47, 48, 49, 90], k=60)
+        words = ["".join(dice.choices("abc", k=size)) for size in sizes]
+        got = [np.frombuffer(packed, np.int32).tolist() for packed in codec.encode(words)]
+        assert got == [codec.merge(word.encode()) for word in words]
+
+
+def test_both_ways_to_cut_words_agree(codec):
+    dice = random.Random(11)
+    points = [p for p in range(1 << 16) if not 0xD800 <= p < 0xE000]
+    texts = ["".join(map(chr, points)), "".join(f" a{chr(p)}" for p in points)]
+    texts += ["".join(map(chr, dice.choices(points[:900], k=60))) for _ in range(300)]
+    texts += ["".join(dice.choices(" 's're\n\t\u00a0\u3000a1!'ll", k=40)) for _ in range(300)]
+    for text in texts:
+        assert codec.cut_plain.findall(text) == codec.cut.findall(text)
+
+
 def test_decoding_broken_utf8_and_unknown_ids(codec, tokenizer):
     for some in ([447], [447, 220, 447], [50256, 172]):
         assert codec.decode(some) == tokenizer.decode(some, skip_special_tokens=False)
